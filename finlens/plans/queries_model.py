@@ -1 +1,423 @@
-"""Registered queries (filled in below)."""
+"""Registered split / preparation / model / evaluation / attribution queries.
+
+The SQL-checked chain is: accounts -> clean -> target present -> md5 split and
+folds -> ordinary least squares of ``log1p(target)`` (closed form in SQL) ->
+bias-corrected real scale -> metrics, comparison, selection, attribution.
+Boosted models, the search and the tree / sampled attributions are checked
+by row count (plus properties in ``tests/``).
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from finlens.functions.exprs import pct_error
+from finlens.operators import clean as cl
+from finlens.operators import evaluate as ev
+from finlens.operators import explain as xp
+from finlens.operators import models as md
+from finlens.operators import prep
+from finlens.operators import split
+from finlens.plans.queries_profile import CLEAN_SQL
+from finlens.plans.registry import ACC_WITH, D_LOG, D_PRED, accounts, load_table, register, rnd
+from finlens.spec import ACCOUNTS
+
+UNIT = 1e6  # accounts money is reported in millions
+OLS_FEATURES = ("volume", "price")
+_H = "(('0x' || SUBSTRING(MD5('{salt}|' || CAST(id AS VARCHAR)), 1, 8))::BIGINT % {m})"
+
+MF_SQL = f"""{ACC_WITH}, c AS ({CLEAN_SQL}),
+mf AS (SELECT *, LN(1 + target) AS y_log, {_H.format(salt='42', m=100)} < 20 AS is_test,
+              CAST({_H.format(salt='fold42', m=5)} AS INTEGER) AS fold
+       FROM c WHERE target IS NOT NULL),
+tr AS (SELECT * FROM mf WHERE NOT is_test), te AS (SELECT * FROM mf WHERE is_test)"""
+
+
+def model_frame(spark, sf_dir) -> DataFrame:
+    df = cl.clean(accounts(spark, sf_dir), ACCOUNTS).where(F.col("target").isNotNull())
+    df = cl.log_target(df, "target")
+    return split.with_folds(split.with_split(df, "id"), "id")
+
+
+def _split(spark, sf_dir):
+    mf = model_frame(spark, sf_dir)
+    return mf.where(~F.col("is_test")), mf.where(F.col("is_test"))
+
+
+def ols_pipeline(features=OLS_FEATURES, label="y_log") -> Pipeline:
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"),
+                            LinearRegression(featuresCol="features", labelCol=label, solver="normal", regParam=0.0)])
+
+
+# -- SQL builders for the least-squares oracle -------------------------------------------------
+def ols_coef_sql(feats, src: str, by: str | None = None) -> str:
+    """Closed-form OLS coefficients (1 or 2 features) from population moments."""
+    g = f"{by}, " if by else ""
+    gb = f" GROUP BY {by}" if by else ""
+    if len(feats) == 1:
+        (a,) = feats
+        return (f"SELECT {g}AVG(y_log) AS my, AVG({a}) AS m1, COVAR_POP({a}, y_log) / VAR_POP({a}) AS b1, "
+                f"0.0 AS m2, 0.0 AS b2 FROM {src}{gb}")
+    a, b = feats
+    return f"""SELECT {g}my, m1, m2, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+       (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM (
+  SELECT {g}AVG(y_log) AS my, AVG({a}) AS m1, AVG({b}) AS m2, VAR_POP({a}) AS s11, VAR_POP({b}) AS s22,
+         COVAR_POP({a}, {b}) AS s12, COVAR_POP({a}, y_log) AS s1y, COVAR_POP({b}, y_log) AS s2y FROM {src}{gb}) m"""
+
+
+def ols_pred_sql(feats, co: str = "co", row: str = "t") -> str:
+    a = feats[0]
+    b = feats[1] if len(feats) > 1 else None
+    return f"({co}.my + {co}.b1 * ({row}.{a} - {co}.m1)" + (f" + {co}.b2 * ({row}.{b} - {co}.m2))" if b else ")")
+
+
+# -- J4 / J5 / J6 / J1 ---------------------------------------------------------------------------
+@register("split", f"{MF_SQL} SELECT id, is_test FROM mf")
+def q_split(spark, sf_dir):
+    return model_frame(spark, sf_dir).select("id", "is_test")
+
+
+@register("folds", f"{MF_SQL} SELECT id, fold FROM mf")
+def q_folds(spark, sf_dir):
+    return model_frame(spark, sf_dir).select("id", "fold")
+
+
+@register("sample", """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY MD5('s42|' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100
+""")
+def q_sample(spark, sf_dir):
+    return split.bounded_sample(load_table(spark, sf_dir, "orders"), "o_orderkey", 100).select("o_orderkey",
+                                                                                                "o_totalprice")
+
+
+@register("test_labels", f"{MF_SQL} SELECT te.id, n.name FROM te JOIN (SELECT DISTINCT id, name FROM accounts) n ON te.id = n.id")
+def q_test_labels(spark, sf_dir):
+    _, te = _split(spark, sf_dir)
+    names = accounts(spark, sf_dir).select("id", "name").dropDuplicates()
+    return split.label_lookup(te.select("id"), names, "id")
+
+
+# -- E1–E8 ---------------------------------------------------------------------------------------
+_NUM = ACCOUNTS.numeric
+
+
+def _impute_sql() -> str:
+    med = ", ".join(f"QUANTILE_CONT({x}, 0.5) AS med_{x}" for x in _NUM)
+    return f"""md AS (SELECT {med} FROM tr),
+mo AS (SELECT sector AS mode_sector FROM tr WHERE sector IS NOT NULL GROUP BY sector ORDER BY COUNT(*) DESC, sector LIMIT 1),
+imp AS (SELECT mf.id, {", ".join(f"COALESCE({x}, med_{x}) AS {x}" for x in _NUM)}, COALESCE(sector, mode_sector) AS sector,
+               mf.is_test FROM mf, md, mo)"""
+
+
+@register("impute", f"""{MF_SQL}, {_impute_sql()}
+SELECT id, {", ".join(f"ROUND({x}, 6) AS {x}" for x in _NUM)}, sector FROM imp""")
+def q_impute(spark, sf_dir):
+    tr, _ = _split(spark, sf_dir)
+    mf = model_frame(spark, sf_dir)
+    imp = prep.ExactMedianImputer(inputCols=list(_NUM), outputCols=list(_NUM)).fit(tr)
+    mode = prep.ModeImputer(inputCol="sector", outputCol="sector").fit(tr)
+    out = mode.transform(imp.transform(mf)).select("id", *_NUM, "sector")
+    return rnd(out, {x: 6 for x in _NUM})
+
+
+def _scale_sql() -> str:
+    q = ", ".join(f"QUANTILE_CONT({x}, 0.25) AS q1_{x}, QUANTILE_CONT({x}, 0.5) AS md_{x}, "
+                  f"QUANTILE_CONT({x}, 0.75) AS q3_{x}" for x in _NUM)
+    sc = ", ".join(f"({x} - md_{x}) / CASE WHEN q3_{x} - q1_{x} = 0 THEN 1.0 ELSE q3_{x} - q1_{x} END AS {x}"
+                   for x in _NUM)
+    return f"""qs AS (SELECT {q} FROM imp WHERE NOT is_test),
+scl AS (SELECT id, {sc}, sector, is_test FROM imp, qs)"""
+
+
+@register("robust_scale", f"""{MF_SQL}, {_impute_sql()}, {_scale_sql()}
+SELECT id, {", ".join(f"ROUND({x}, 6) AS {x}" for x in _NUM)} FROM scl""")
+def q_robust_scale(spark, sf_dir):
+    tr, _ = _split(spark, sf_dir)
+    mf = model_frame(spark, sf_dir)
+    pm = Pipeline(stages=[prep.ExactMedianImputer(inputCols=list(_NUM), outputCols=list(_NUM)),
+                          prep.ExactRobustScaler(inputCols=list(_NUM), outputCols=list(_NUM))]).fit(tr)
+    return rnd(pm.transform(mf).select("id", *_NUM), {x: 6 for x in _NUM})
+
+
+def _onehot_sql() -> str:
+    return """cats AS (SELECT DISTINCT COALESCE(sector, (SELECT mode_sector FROM mo)) AS cat FROM tr),
+oh AS (SELECT imp.id, 'sector=' || cats.cat AS feature, CASE WHEN imp.sector = cats.cat THEN 1.0 ELSE 0.0 END AS value
+       FROM imp, cats)"""
+
+
+@register("one_hot", f"""{MF_SQL}, {_impute_sql()}, {_onehot_sql()}
+SELECT id, feature, value FROM oh""")
+def q_one_hot(spark, sf_dir):
+    out = _prepared_long(spark, sf_dir)
+    return out.where(F.col("feature").startswith("sector=")).withColumn("value", F.round("value", 0))
+
+
+def _prepared_long(spark, sf_dir) -> DataFrame:
+    tr, _ = _split(spark, sf_dir)
+    mf = model_frame(spark, sf_dir)
+    pm = prep.build_prep_pipeline(ACCOUNTS).fit(tr)
+    scored = pm.transform(mf)
+    names = prep.feature_names(scored, spec=ACCOUNTS)
+    arr = scored.select("id", F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    name_col = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("slot") + 1)
+    return arr.select("id", name_col.alias("feature"), "value")
+
+
+@register("prepared", f"""{MF_SQL}, {_impute_sql()}, {_scale_sql()}, {_onehot_sql()}
+{" UNION ALL ".join(f"SELECT id, '{x}' AS feature, ROUND({x}, 6) AS value FROM scl" for x in _NUM)}
+UNION ALL SELECT id, feature, value FROM oh""")
+def q_prepared(spark, sf_dir):
+    return rnd(_prepared_long(spark, sf_dir), {"value": 6})
+
+
+# -- M1 / P12 / A17 / M7 -------------------------------------------------------------------------
+def _ols_fit(spark, sf_dir, features=OLS_FEATURES):
+    tr, te = _split(spark, sf_dir)
+    tr = tr.cache()
+    model = ols_pipeline(features).fit(tr)
+    return model, tr, te
+
+
+@register("ols_predict", f"""{MF_SQL}, co AS ({ols_coef_sql(OLS_FEATURES, 'tr')})
+SELECT t.id, ROUND({ols_pred_sql(OLS_FEATURES)}, {D_PRED}) AS prediction FROM te t, co""")
+def q_ols_predict(spark, sf_dir):
+    model, _, te = _ols_fit(spark, sf_dir)
+    return rnd(model.transform(te).select("id", "prediction"), {"prediction": D_PRED})
+
+
+@register("ols_metrics", f"""{MF_SQL}, co AS ({ols_coef_sql(OLS_FEATURES, 'tr')}),
+p AS (SELECT t.y_log, {ols_pred_sql(OLS_FEATURES)} AS prediction FROM te t, co)
+SELECT COUNT(*) AS n, ROUND(1 - SUM((y_log - prediction) * (y_log - prediction)) / (COUNT(*) * VAR_POP(y_log)), {D_LOG}) AS r2,
+       ROUND(AVG(ABS(y_log - prediction)), {D_LOG}) AS mae,
+       ROUND(SQRT(AVG((y_log - prediction) * (y_log - prediction))), {D_LOG}) AS rmse FROM p""")
+def q_ols_metrics(spark, sf_dir):
+    model, _, te = _ols_fit(spark, sf_dir)
+    m = ev.regression_metrics(model.transform(te), "y_log", "prediction").drop("mse")
+    return rnd(m, {"r2": D_LOG, "mae": D_LOG, "rmse": D_LOG})
+
+
+@register("real_scale", f"""{MF_SQL}, co AS ({ols_coef_sql(OLS_FEATURES, 'tr')}),
+bf AS (SELECT EXP(AVG(t.y_log) - AVG({ols_pred_sql(OLS_FEATURES)})) AS f FROM tr t, co)
+SELECT t.id, ROUND((EXP({ols_pred_sql(OLS_FEATURES)}) - 1) * bf.f / {UNIT}, 4) AS pred_real,
+       ROUND((EXP({ols_pred_sql(OLS_FEATURES)}) - 1) / {UNIT}, 4) AS pred_real_raw,
+       ROUND(t.target / {UNIT}, 4) AS actual FROM te t, co, bf""")
+def q_real_scale(spark, sf_dir):
+    model, tr, te = _ols_fit(spark, sf_dir)
+    f = ev.bias_correction(model.transform(tr))
+    out = ev.to_real(model.transform(te), factor=f)  # F2
+    out = ev.to_real(out, out="pred_real_raw")  # serving path, no correction
+    out = out.select("id", (F.col("pred_real") / UNIT).alias("pred_real"),
+                     (F.col("pred_real_raw") / UNIT).alias("pred_real_raw"), (F.col("target") / UNIT).alias("actual"))
+    return rnd(out, {"pred_real": 4, "pred_real_raw": 4, "actual": 4})
+
+
+# -- M9 ------------------------------------------------------------------------------------------
+def _cv_sql(feats, name: str) -> str:
+    """Per-fold closed-form fit on the other folds, metrics on the held-out one."""
+    return f"""cvf_{name} AS (SELECT f.k, t.* FROM (SELECT DISTINCT fold AS k FROM tr) f JOIN tr t ON t.fold <> f.k),
+cvc_{name} AS ({ols_coef_sql(feats, f'cvf_{name}', by='k')}),
+cvp_{name} AS (SELECT t.fold, t.y_log, {ols_pred_sql(feats, 'co')} AS p FROM tr t JOIN cvc_{name} co ON co.k = t.fold),
+cvm_{name} AS (SELECT fold, 1 - SUM((y_log - p) * (y_log - p)) / (COUNT(*) * VAR_POP(y_log)) AS r2,
+                 AVG(ABS(y_log - p)) AS mae, AVG((y_log - p) * (y_log - p)) AS mse FROM cvp_{name} GROUP BY fold),
+cv_{name} AS (SELECT AVG(r2) AS r2, AVG(mae) AS mae, SQRT(AVG(mse)) AS rmse FROM cvm_{name})"""
+
+
+@register("cv_metrics", f"""{MF_SQL}, {_cv_sql(OLS_FEATURES, 'a')}
+SELECT ROUND(r2, {D_LOG}) AS r2, ROUND(mae, {D_LOG}) AS mae, ROUND(rmse, {D_LOG}) AS rmse FROM cv_a""")
+def q_cv_metrics(spark, sf_dir):
+    tr, _ = _split(spark, sf_dir)
+    m = ev.cv_metrics(ols_pipeline(), tr.cache(), "y_log", "fold", 5)
+    out = spark.createDataFrame([(m["r2"], m["mae"], m["rmse"])], "r2 double, mae double, rmse double")
+    return rnd(out, {"r2": D_LOG, "mae": D_LOG, "rmse": D_LOG})
+
+
+# -- M10 / U1 / J3 / T2 / T3 / C9 ----------------------------------------------------------------
+# Fixed values of the registered comparison: three least-squares feature sets.
+COMPARE = (("ols_volume_price", ("volume", "price")), ("ols_volume", ("volume",)), ("ols_price_high", ("price", "high52")))
+
+
+def _cmp_row_sql(name: str, feats, row_no: int) -> str:
+    pred = ols_pred_sql(feats, "co")
+    return f"""SELECT '{name}' AS model, cv.r2 AS r2_log_cv, cv.mae AS mae_log_cv, cv.rmse AS rmse_log_cv,
+  1 - SUM((t.y_log - {pred}) * (t.y_log - {pred})) / (COUNT(*) * VAR_POP(t.y_log)) AS r2_log,
+  AVG(ABS(t.y_log - {pred})) AS mae_log, SQRT(AVG((t.y_log - {pred}) * (t.y_log - {pred}))) AS rmse_log,
+  1 - SUM((t.target - (EXP({pred}) - 1) * bf.f) * (t.target - (EXP({pred}) - 1) * bf.f)) / (COUNT(*) * VAR_POP(t.target)) AS r2_real,
+  AVG(ABS(t.target - (EXP({pred}) - 1) * bf.f)) / {UNIT} AS mae_real,
+  SQRT(AVG((t.target - (EXP({pred}) - 1) * bf.f) * (t.target - (EXP({pred}) - 1) * bf.f))) / {UNIT} AS rmse_real,
+  {row_no} AS row_no
+FROM te t, ({ols_coef_sql(feats, 'tr')}) co, cv_{name} cv,
+     (SELECT EXP(AVG(t2.y_log) - AVG({ols_pred_sql(feats, 'c2', 't2')})) AS f FROM tr t2, ({ols_coef_sql(feats, 'tr')}) c2) bf
+GROUP BY cv.r2, cv.mae, cv.rmse, bf.f"""
+
+
+def _cmp_sql() -> str:
+    ctes = ", ".join(_cv_sql(f, n) for n, f in COMPARE)
+    rows = " UNION ALL ".join(_cmp_row_sql(n, f, i) for i, (n, f) in enumerate(COMPARE))
+    r = lambda x, d: f"ROUND({x}, {d}) AS {x}"
+    sel = ", ".join([r("r2_log_cv", 4), r("mae_log_cv", 2), r("rmse_log_cv", 2), r("r2_log", 4), r("mae_log", 2),
+                     r("rmse_log", 2), r("r2_real", 4), r("mae_real", 2), r("rmse_real", 2)])
+    return f"""{MF_SQL}, {ctes}, raw AS ({rows}),
+cmp AS (SELECT model, {sel}, 0.0 AS train_time, row_no FROM raw)"""
+
+
+def comparison(spark, sf_dir, cv: bool = True) -> DataFrame:
+    tr, te = _split(spark, sf_dir)
+    tr, te = tr.cache(), te.cache()
+    rows = []
+    for name, feats in COMPARE:
+        pipe = ols_pipeline(feats)
+        model = pipe.fit(tr)
+        rows.append(ev.evaluate_model(name, model, pipe, tr, te, unit=UNIT, cv=cv))
+    return ev.comparison_table(rows)
+
+
+@register("comparison", f"{_cmp_sql()} SELECT * FROM cmp")
+def q_comparison(spark, sf_dir):
+    return comparison(spark, sf_dir)
+
+
+@register("best_model", f"""{_cmp_sql()}
+SELECT 'best' AS rule, (SELECT model FROM cmp ORDER BY r2_real DESC, train_time, model LIMIT 1) AS model
+UNION ALL
+SELECT 'serving' AS rule, (SELECT model FROM cmp ORDER BY r2_real DESC, row_no LIMIT 1) AS model""")
+def q_best_model(spark, sf_dir):
+    t = comparison(spark, sf_dir).cache()
+    return spark.createDataFrame([("best", ev.best_model_name(t)), ("serving", ev.serving_model_name(t))],
+                                 "rule string, model string")
+
+
+@register("comparison_long", f"""{_cmp_sql()}
+SELECT model, metric, value FROM cmp
+UNPIVOT (value FOR metric IN (r2_log_cv, mae_log_cv, rmse_log_cv, r2_real, mae_real, rmse_real))""")
+def q_comparison_long(spark, sf_dir):
+    return ev.comparison_long(comparison(spark, sf_dir))
+
+
+# -- M5 ------------------------------------------------------------------------------------------
+# Fixed values of the registered vote: two least-squares members and weights.
+ENSEMBLE = ((("volume", "price"), 0.7), (("volume",), 0.3))
+
+
+@register("ensemble", f"""{MF_SQL}, c1 AS ({ols_coef_sql(ENSEMBLE[0][0], 'tr')}), c2 AS ({ols_coef_sql(ENSEMBLE[1][0], 'tr')})
+SELECT t.id, ROUND(({ENSEMBLE[0][1]} * {ols_pred_sql(ENSEMBLE[0][0], 'c1')} + {ENSEMBLE[1][1]} * {ols_pred_sql(ENSEMBLE[1][0], 'c2')})
+                   / {ENSEMBLE[0][1] + ENSEMBLE[1][1]}, {D_PRED}) AS prediction FROM te t, c1, c2""")
+def q_ensemble(spark, sf_dir):
+    tr, te = _split(spark, sf_dir)
+    asm = [VectorAssembler(inputCols=list(f), outputCol=f"f{i}") for i, (f, _) in enumerate(ENSEMBLE)]
+    members = [LinearRegression(featuresCol=f"f{i}", labelCol="y_log", solver="normal", regParam=0.0)
+               for i in range(len(ENSEMBLE))]
+    vote = md.VotingRegressor(members=members, weights=[w for _, w in ENSEMBLE], labelCol="y_log")
+    model = Pipeline(stages=[*asm, vote]).fit(tr)
+    return rnd(model.transform(te).select("id", "prediction"), {"prediction": D_PRED})
+
+
+# -- M2–M4, M6, M8 (rows) ------------------------------------------------------------------------
+def _family_predict(spark, sf_dir, family: str) -> DataFrame:
+    tr, te = _split(spark, sf_dir)
+    model, secs = md.train_model(family, {}, prep.build_prep_pipeline(ACCOUNTS), tr.cache())
+    return model.transform(te).select("id", "prediction", F.lit(family).alias("model"))
+
+
+@register("gbt")
+def q_gbt(spark, sf_dir):
+    return _family_predict(spark, sf_dir, "GradientBoosting")
+
+
+@register("gbt_subsample")
+def q_gbt_subsample(spark, sf_dir):
+    return _family_predict(spark, sf_dir, "XGBoost")
+
+
+@register("gbt_leaves")
+def q_gbt_leaves(spark, sf_dir):
+    return _family_predict(spark, sf_dir, "LightGBM")
+
+
+# Budget of the registered search (the surveyed job uses 10 trials; pass
+# ``trials=10`` to ``models.search`` for the full budget).
+SEARCH_TRIALS = 2
+
+
+@register("search")
+def q_search(spark, sf_dir):
+    tr, _ = _split(spark, sf_dir)
+    best, scores = md.search("GradientBoosting", prep.build_prep_pipeline(ACCOUNTS), tr.cache(),
+                             trials=SEARCH_TRIALS, parallelism=SEARCH_TRIALS)
+    draws = md.draw_params("GradientBoosting", SEARCH_TRIALS)
+    rows = [(i, str(sorted(d.items())), scores[i] if i < len(scores) else None, d == best)
+            for i, d in enumerate(draws)]
+    return spark.createDataFrame(rows, "trial int, params string, r2_cv double, best boolean")
+
+
+# -- X1 / X5 / X6 / A18 / T4 / T5 / C10 ----------------------------------------------------------
+def _linear_attrib(spark, sf_dir):
+    model, tr, te = _ols_fit(spark, sf_dir)
+    return xp.linear_attributions(model, tr, te, list(OLS_FEATURES), key="id"), model, tr, te
+
+
+_ATTR_SQL = f"""{MF_SQL}, co AS ({ols_coef_sql(OLS_FEATURES, 'tr')}),
+att AS ({" UNION ALL ".join(f"SELECT t.id, '{x}' AS feature, co.b{i + 1} * (t.{x} - co.m{i + 1}) AS phi, t.{x} AS value FROM te t, co"
+                            for i, x in enumerate(OLS_FEATURES))})"""
+
+
+@register("linear_attrib", f"{_ATTR_SQL} SELECT id, feature, ROUND(phi, 6) AS phi, ROUND(value, 6) AS value FROM att")
+def q_linear_attrib(spark, sf_dir):
+    att, *_ = _linear_attrib(spark, sf_dir)
+    return rnd(att, {"phi": 6, "value": 6})
+
+
+@register("insights", f"""{_ATTR_SQL}, imp AS (SELECT feature, AVG(ABS(phi)) AS mean_abs FROM att GROUP BY feature)
+SELECT feature, ROUND(mean_abs, 4) AS mean_abs, ROW_NUMBER() OVER (ORDER BY mean_abs DESC, feature) AS pos,
+       '- ' || feature || ': mean impact ' || printf('%.4f', mean_abs) AS line
+FROM imp ORDER BY mean_abs DESC LIMIT 5""")
+def q_insights(spark, sf_dir):
+    att, *_ = _linear_attrib(spark, sf_dir)
+    return rnd(xp.insights(att, top=5), {"mean_abs": 4})
+
+
+def _worst_sql(k: int = 3) -> str:
+    pred = ols_pred_sql(OLS_FEATURES)
+    return f"""bf AS (SELECT EXP(AVG(t.y_log) - AVG({pred})) AS f FROM tr t, co),
+sc AS (SELECT t.id, t.name, t.target, (EXP({pred}) - 1) * bf.f AS pred_real FROM te t, co, bf),
+w AS (SELECT *, ABS(pred_real - target) AS abs_err FROM sc ORDER BY abs_err DESC, id LIMIT {k})"""
+
+
+@register("worst_errors", f"""{_ATTR_SQL}, {_worst_sql()}
+SELECT id, name, ROUND(target / {UNIT}, 4) AS actual, ROUND(pred_real / {UNIT}, 4) AS predicted,
+       ROUND(CASE WHEN target <> 0 THEN (pred_real - target) / target * 100 ELSE 0 END, 2) AS pct_error,
+       ROW_NUMBER() OVER (ORDER BY abs_err, id) AS pos FROM w""")
+def q_worst_errors(spark, sf_dir):
+    att, model, tr, te = _linear_attrib(spark, sf_dir)
+    w = xp.worst_errors(model, tr, te, key="id", target="target", k=3)
+    out = w.select("id", "name", (F.col("target") / UNIT).alias("actual"), (F.col("pred_real") / UNIT).alias("predicted"),
+                   pct_error("pred_real", "target").alias("pct_error"), "pos")
+    return rnd(out, {"actual": 4, "predicted": 4, "pct_error": 2})
+
+
+@register("waterfall", f"""{_ATTR_SQL}, {_worst_sql()},
+r AS (SELECT a.id, a.feature, a.phi, ROW_NUMBER() OVER (PARTITION BY a.id ORDER BY ABS(a.phi) DESC, a.feature) AS rk
+      FROM att a JOIN w ON a.id = w.id)
+SELECT id, CASE WHEN rk < 10 THEN feature ELSE 'other' END AS feature, ROUND(SUM(phi), 6) AS phi, MIN(rk) AS rk
+FROM r GROUP BY id, CASE WHEN rk < 10 THEN feature ELSE 'other' END""")
+def q_waterfall(spark, sf_dir):
+    att, model, tr, te = _linear_attrib(spark, sf_dir)
+    w = xp.worst_errors(model, tr, te, key="id", target="target", k=3).select("id")
+    return rnd(xp.waterfall(att, w, key="id", max_lines=10), {"phi": 6})
+
+
+@register("tree_attrib")
+def q_tree_attrib(spark, sf_dir):
+    tr, te = _split(spark, sf_dir)
+    model, _ = md.train_model("GradientBoosting", {"n_estimators": 20}, prep.build_prep_pipeline(ACCOUNTS), tr.cache())
+    return xp.tree_attributions(model, tr, te, key="id", background=100, explain_rows=None)
+
+
+@register("sampled_attrib")
+def q_sampled_attrib(spark, sf_dir):
+    model, tr, te = _ols_fit(spark, sf_dir)
+    return xp.sampled_attributions(model, tr, te, list(OLS_FEATURES), key="id", background=100, permutations=8)
