@@ -147,7 +147,7 @@ def spearman(df: DataFrame, cols: Sequence[str], buckets: int = ranks.DEFAULT_BU
     entries = [F.when(c(a).isNotNull() & c(b).isNotNull(), F.struct(
         F.lit(a).alias("a"), F.lit(b).alias("b"),
         F.lit(b if b in has_null else "").alias("cond_a"), F.lit(a if a in has_null else "").alias("cond_b"),
-        c(a).cast("double").alias("va"), c(b).cast("double").alias("vb"))) for a, b in pairs]
+        ranks.as_value(c(a)).alias("va"), ranks.as_value(c(b)).alias("vb"))) for a, b in pairs]
     pr = df.select(F.inline(F.filter(F.array(*entries), lambda x: x.isNotNull())))
     pr = pr.groupBy("a", "b", "cond_a", "cond_b", "va", "vb").agg(F.count(F.lit(1)).alias("w"))
     ra = rt.select(F.col("column").alias("a"), F.col("cond").alias("cond_a"), F.col("value").alias("va"),

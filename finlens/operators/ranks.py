@@ -37,6 +37,12 @@ DEFAULT_ACCURACY = 10000
 _INF = float("inf")
 
 
+def as_value(col) -> Column:
+    """Double with signed zero normalised (``-0.0 + 0.0 == 0.0``): Java's
+    array search orders -0.0 below 0.0, SQL equality does not."""
+    return col.cast("double") + F.lit(0.0)
+
+
 def _splits(cuts) -> list[float]:
     vals = sorted({float(x) for x in (cuts or []) if x is not None and x == x})
     vals = [v for v in vals if v not in (_INF, -_INF)]
@@ -61,7 +67,7 @@ def bucketize(df: DataFrame, cols: Sequence[str], splits: dict[str, list[float]]
         return df
     tmp = [f"__v_{i}" for i in range(len(cols))]
     out = [f"{prefix}{i}" for i in range(len(cols))]
-    staged = df.select("*", *[c(col).cast("double").alias(t) for col, t in zip(cols, tmp)])
+    staged = df.select("*", *[as_value(c(col)).alias(t) for col, t in zip(cols, tmp)])
     b = Bucketizer(inputCols=tmp, outputCols=out, splitsArray=[splits[col] for col in cols],
                    handleInvalid="keep")
     return b.transform(staged).drop(*tmp)
@@ -81,7 +87,7 @@ def long_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
     entries = []
     conds = conds or {}
     for i, col in enumerate(cols):
-        v = c(col).cast("double")
+        v = as_value(c(col))
         b = F.col(f"__b_{i}").cast("int")
         entries.append(F.when(v.isNotNull(), F.struct(F.lit(col).alias("column"), F.lit("").alias("cond"),
                                                       v.alias("value"), b.alias("bucket"))))
