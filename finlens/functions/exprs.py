@@ -115,6 +115,15 @@ def round_half_away(x, digits: int = 0) -> Column:
     return r / F.lit(m)
 
 
+def explode_rows(df, rows, keep=()):
+    """Unpivot: every input row yields one output row per ``(condition,
+    fields)`` entry whose condition holds.  ``inline`` of a struct array plus a
+    plain ``where`` stays in generated code (a ``filter`` lambda over the array
+    is interpreted and several times slower)."""
+    arr = F.array(*[F.struct(cond.alias("__keep"), *fields) for cond, fields in rows])
+    return df.select(*[col_of(k) for k in keep], F.inline(arr)).where(F.col("__keep")).drop("__keep")
+
+
 def hash_bucket(key, salt: str, modulo: int) -> Column:
     """Deterministic bucket in [0, modulo) from md5(salt|key).
 

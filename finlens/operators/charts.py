@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlens.functions.exprs import c, log_feature
+from finlens.functions.exprs import c, explode_rows, log_feature
 from finlens.operators import ranks
 
 # Box-plot whisker reach (1.5 IQR) and notch constant (1.57).
@@ -58,13 +58,13 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30, transform=None
             continue
         b = bin_expr(F.col(f"__v{i}"), lo, hi, bins)
         w = (hi - lo) / bins
-        entries.append(F.when(F.col(f"__v{i}").isNotNull(), F.struct(
+        entries.append((F.col(f"__v{i}").isNotNull(), [
             F.lit(x).alias("column"), b.alias("bin"),
             (F.lit(lo) + b.cast("double") * F.lit(w)).alias("lo_edge"),
-            (F.lit(lo) + (b + 1).cast("double") * F.lit(w)).alias("hi_edge"))))
+            (F.lit(lo) + (b + 1).cast("double") * F.lit(w)).alias("hi_edge")]))
     if not entries:
         return df.sparkSession.createDataFrame([], "column string, bin int, lo_edge double, hi_edge double, count long")
-    long_df = src.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    long_df = explode_rows(src, entries)
     return long_df.groupBy("column", "bin", "lo_edge", "hi_edge").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -101,17 +101,16 @@ def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     bd = bounds(df, cols)
     ok = [x for x in cols if bd[x][0] is not None]
     bx = {x: bin_expr(c(x).cast("double"), bd[x][0], bd[x][1], bins) for x in ok}
-    entries = [F.when(c(a).isNotNull() & c(b).isNotNull(), F.struct(
-        F.lit(a).alias("a"), F.lit(b).alias("b"), bx[a].alias("bin_a"), bx[b].alias("bin_b")))
+    entries = [(c(a).isNotNull() & c(b).isNotNull(), [
+        F.lit(a).alias("a"), F.lit(b).alias("b"), bx[a].alias("bin_a"), bx[b].alias("bin_b")])
         for i, a in enumerate(ok) for b in ok[i + 1:]]
-    long_df = df.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    long_df = explode_rows(df, entries)
     return long_df.groupBy("a", "b", "bin_a", "bin_b").agg(F.count(F.lit(1)).alias("count"))
 
 
 def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
-    entries = [F.when(c(x).isNotNull(), F.struct(F.lit(x).alias("column"), c(x).cast("double").alias("value")))
-               for x in cols]
-    return df.select(*[c(b) for b in by], F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    return explode_rows(df, [(c(x).isNotNull(), [F.lit(x).alias("column"), c(x).cast("double").alias("value")])
+                             for x in cols], keep=by)
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

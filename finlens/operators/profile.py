@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlens.functions.exprs import c, guarded_ratio, log_feature
+from finlens.functions.exprs import c, explode_rows, guarded_ratio, log_feature
 from finlens.operators import ranks
 
 
@@ -136,19 +136,21 @@ def spearman(df: DataFrame, cols: Sequence[str], buckets: int = ranks.DEFAULT_BU
     column when it has missing values, else "").  Pair rows are pre-aggregated
     to distinct ``(pair, va, vb)`` with a weight before the rank joins.
     """
-    stats = df.agg(*[F.sum(F.when(c(x).isNull(), 1).otherwise(0)).alias(f"__m{i}") for i, x in enumerate(cols)]).first()
+    # one pass: cut points and the missing counts that decide the conditions
+    splits = ranks.cut_points(df, cols, buckets, extra=[
+        F.sum(F.when(c(x).isNull(), 1).otherwise(0)).alias(f"__m{i}") for i, x in enumerate(cols)])
+    stats = splits["__extra"]
     has_null = {x for i, x in enumerate(cols) if (stats[f"__m{i}"] or 0) > 0}
     conds = {x: c(x).isNotNull() for x in has_null}
-    splits = ranks.cut_points(df, cols, buckets)
     rt = ranks.rank_table(ranks.long_values(df, cols, splits=splits, conds=conds), keys=("column", "cond"))
     rt = rt.select("column", "cond", "value", "avg_rank")
 
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    entries = [F.when(c(a).isNotNull() & c(b).isNotNull(), F.struct(
+    entries = [(c(a).isNotNull() & c(b).isNotNull(), [
         F.lit(a).alias("a"), F.lit(b).alias("b"),
         F.lit(b if b in has_null else "").alias("cond_a"), F.lit(a if a in has_null else "").alias("cond_b"),
-        ranks.as_value(c(a)).alias("va"), ranks.as_value(c(b)).alias("vb"))) for a, b in pairs]
-    pr = df.select(F.inline(F.filter(F.array(*entries), lambda x: x.isNotNull())))
+        ranks.as_value(c(a)).alias("va"), ranks.as_value(c(b)).alias("vb")]) for a, b in pairs]
+    pr = explode_rows(df, entries)
     pr = pr.groupBy("a", "b", "cond_a", "cond_b", "va", "vb").agg(F.count(F.lit(1)).alias("w"))
     ra = rt.select(F.col("column").alias("a"), F.col("cond").alias("cond_a"), F.col("value").alias("va"),
                    F.col("avg_rank").alias("ra"))

@@ -30,10 +30,13 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlens.functions.exprs import c
+from finlens.functions.exprs import c, explode_rows
+from finlens.session import ensure_checkpoint_dir
 
 DEFAULT_BUCKETS = 64
 DEFAULT_ACCURACY = 10000
+# distinct values a single (key, target) selection window may hold
+MAX_BRACKET = 2_000_000
 _INF = float("inf")
 
 
@@ -52,12 +55,20 @@ def _splits(cuts) -> list[float]:
 
 
 def cut_points(df: DataFrame, cols: Sequence[str], buckets: int = DEFAULT_BUCKETS,
-               accuracy: int = DEFAULT_ACCURACY) -> dict[str, list[float]]:
-    """Bucket splits per column from one ``percentile_approx`` pass."""
+               accuracy: int | None = None, extra: Sequence[Column] = ()) -> dict[str, list[float]]:
+    """Bucket splits per column from one ``percentile_approx`` pass.
+
+    Cut points only balance the buckets (their error moves rows between
+    neighbouring buckets, never breaks exactness), so the sketch accuracy is
+    kept proportional to the bucket count.  ``extra`` aggregates ride along in
+    the same pass; their values are returned under ``"__extra"``."""
+    accuracy = accuracy or max(1000, 50 * buckets)
     probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(*[F.percentile_approx(c(col).cast("double"), probs, accuracy).alias(f"q{i}")
-                   for i, col in enumerate(cols)]).first()
-    return {col: _splits(row[f"q{i}"]) for i, col in enumerate(cols)}
+    row = df.agg(*[F.percentile_approx(as_value(c(col)), probs, accuracy).alias(f"q{i}")
+                   for i, col in enumerate(cols)], *extra).first()
+    out = {col: _splits(row[f"q{i}"]) for i, col in enumerate(cols)}
+    out["__extra"] = row
+    return out
 
 
 def bucketize(df: DataFrame, cols: Sequence[str], splits: dict[str, list[float]],
@@ -84,20 +95,19 @@ def long_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
     if splits is None:
         splits = cut_points(df, cols)
     bdf = bucketize(df, cols, splits)
-    entries = []
+    rows = []
     conds = conds or {}
     for i, col in enumerate(cols):
         v = as_value(c(col))
         b = F.col(f"__b_{i}").cast("int")
-        entries.append(F.when(v.isNotNull(), F.struct(F.lit(col).alias("column"), F.lit("").alias("cond"),
-                                                      v.alias("value"), b.alias("bucket"))))
+        rows.append((v.isNotNull(), [F.lit(col).alias("column"), F.lit("").alias("cond"), v.alias("value"),
+                                     b.alias("bucket")]))
         for name, cond in conds.items():
             if name == col:
                 continue
-            entries.append(F.when(v.isNotNull() & cond, F.struct(F.lit(col).alias("column"), F.lit(name).alias("cond"),
-                                                                 v.alias("value"), b.alias("bucket"))))
-    arr = F.filter(F.array(*entries), lambda x: x.isNotNull())
-    return bdf.select(*[c(k) for k in keys], F.inline(arr))
+            rows.append((v.isNotNull() & cond, [F.lit(col).alias("column"), F.lit(name).alias("cond"),
+                                                v.alias("value"), b.alias("bucket")]))
+    return explode_rows(bdf, rows, keep=keys)
 
 
 def rank_table(long_df: DataFrame, keys: Sequence[str] = ("column",)) -> DataFrame:
@@ -148,26 +158,122 @@ def quantiles_from_ranks(ranks: DataFrame, keys: Sequence[str], probs: Sequence[
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     names: Sequence[str] | None = None, by: Sequence[str] = (),
-                    buckets: int = DEFAULT_BUCKETS, approx_accuracy: int | None = None) -> DataFrame:
+                    accuracy: int = DEFAULT_ACCURACY, approx_accuracy: int | None = None,
+                    max_bracket: int = MAX_BRACKET) -> DataFrame:
     """Quantiles of ``cols`` (optionally per ``by`` group) in long form:
-    ``(by..., column, n, <name per prob>)``.  Missing values are ignored.
+    ``(by..., column, n, <name per prob>)``.  Missing values are ignored;
+    linear interpolation as pandas ``quantile`` / SQL ``quantile_cont``.
 
-    ``approx_accuracy`` switches to ``percentile_approx`` (one bounded sketch per
-    group, no exact guarantee) for very large inputs where exactness is not needed.
-    """
+    Exact by distributed selection (see :func:`bracket_quantiles`).
+    ``approx_accuracy`` switches to plain ``percentile_approx`` (one bounded
+    sketch per group, no exact guarantee)."""
     by = list(by)
     names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
+    long_df = explode_rows(df, [(c(x).isNotNull(), [F.lit(x).alias("column"), as_value(c(x)).alias("value")])
+                                for x in cols], keep=by)
     if approx_accuracy:
-        stacked = df.select(*[c(b) for b in by], F.inline(F.array(*[
-            F.struct(F.lit(col).alias("column"), c(col).cast("double").alias("value")) for col in cols])))
-        agg = stacked.where(F.col("value").isNotNull()).groupBy(*by, "column").agg(
-            F.count("value").alias("n"),
-            F.percentile_approx("value", list(probs), approx_accuracy).alias("__q"))
+        agg = long_df.groupBy(*by, "column").agg(
+            F.count(F.lit(1)).alias("n"), F.percentile_approx("value", list(probs), approx_accuracy).alias("__q"))
         return agg.select(*by, "column", "n", *[F.col("__q")[i].alias(nm) for i, nm in enumerate(names)])
-    splits = cut_points(df, cols, buckets)
-    long_df = long_values(df, cols, keys=by, splits=splits).drop("cond")
-    ranks = rank_table(long_df, keys=[*by, "column"])
-    return quantiles_from_ranks(ranks, [*by, "column"], probs, names)
+    return bracket_quantiles(long_df, [*by, "column"], probs, names, accuracy, max_bracket)
+
+
+def bracket_quantiles(long_df: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str],
+                      accuracy: int = DEFAULT_ACCURACY, max_bracket: int = MAX_BRACKET) -> DataFrame:
+    """Exact quantiles by bracketing (distributed selection).
+
+    1. *sketch* — per key ``n`` and ``percentile_approx`` at ``p ± 2/A``: the
+       exact value of rank ``r`` lies in ``[lo, hi]`` and at most about
+       ``4n/A`` distinct values lie inside (Greenwald–Khanna rank guarantee);
+    2. *refine* (only when ``4n/A > max_bracket``) — a sketch restricted to the
+       bracket rows narrows it by another factor ``A``;
+    3. *select* — every row below ``lo`` maps to one group per target (so the
+       partial aggregate collapses them map-side), rows inside the bracket are
+       pre-aggregated per distinct value; a window over ``<= max_bracket`` rows
+       per ``(key, target)`` gives the exact ranks.
+
+    A target that the bracket does not cover (guarantee violated) would come
+    out null; it is re-run with an unbounded bracket, so the result is always
+    exact."""
+    keys = list(keys)
+    sizes = long_df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.select(F.max("n").alias("m")).first()["m"] or 0
+    if largest <= max_bracket:
+        # every key fits one bounded window: rank all its distinct values
+        d = long_df.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))
+        w = Window.partitionBy(*keys).orderBy("value")
+        ranked = d.withColumn("cum", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))) \
+            .withColumn("n", F.sum("cnt").over(Window.partitionBy(*keys)))
+        return quantiles_from_ranks(ranked, keys, probs, names)
+    eps = 2.0 / accuracy
+    probes = sorted({min(1.0, max(0.0, x)) for p in probs for x in (p - eps, p + eps)})
+    sk = long_df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                    F.percentile_approx("value", probes, accuracy).alias("__s"))
+    tg = []
+    for t, p in enumerate(probs):
+        lo_i, hi_i = probes.index(min(1.0, max(0.0, p - eps))), probes.index(min(1.0, max(0.0, p + eps)))
+        h = (F.col("n") - 1).cast("double") * F.lit(float(p))
+        tg.append(F.struct(F.lit(t).alias("t"), F.col("__s")[lo_i].alias("lo"), F.col("__s")[hi_i].alias("hi"),
+                           (F.floor(h) + 1).alias("rl"), (F.ceil(h) + 1).alias("ru"), (h - F.floor(h)).alias("fr")))
+    # #keys x #probs rows, written to the shared checkpoint folder so the
+    # sketch pass runs once (and the lineage is cut)
+    ensure_checkpoint_dir(long_df.sparkSession)
+    targets = sk.select(*keys, "n", F.inline(F.array(*tg))).checkpoint(eager=True)
+    wide = targets.select(F.max("n").alias("m")).first()["m"] or 0
+    if 4.0 * wide / accuracy > max_bracket:
+        targets = _refine(long_df, keys, targets, accuracy)
+    # the selected result is tiny (#keys x #probs rows): checkpointed so the
+    # coverage check below does not recompute the selection
+    res = _select(long_df, keys, targets).checkpoint(eager=True)
+    missing = res.where(F.col("lo_v").isNull() | F.col("hi_v").isNull()).limit(1).count()
+    if missing:  # never expected; exactness first: fall back to an unbounded bracket
+        res = _select(long_df, keys, targets.withColumn("lo", F.lit(None).cast("double"))
+                      .withColumn("hi", F.lit(None).cast("double")))
+    out = res.select(*keys, "n", "t", (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.col("fr")).alias("q"))
+    return out.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("t") == t, F.col("q"))).alias(nm)
+                                                            for t, nm in enumerate(names)])
+
+
+def _refine(long_df, keys, targets, accuracy):
+    """One narrowing round: sketch only the bracket rows of each target."""
+    j = long_df.join(targets, keys)
+    inside = (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
+    st = j.groupBy(*keys, "t").agg(
+        F.first("n").alias("n"), F.first("rl").alias("rl"), F.first("ru").alias("ru"), F.first("fr").alias("fr"),
+        F.first("lo").alias("lo0"), F.first("hi").alias("hi0"),
+        F.count(F.when(F.col("value") < F.col("lo"), 1)).alias("below"),
+        F.count(F.when(inside, 1)).alias("m"),
+        F.percentile_approx(F.when(inside, F.col("value")), [x / 64.0 for x in range(65)], accuracy).alias("__g"))
+    # pick the grid cells around the wanted in-bracket ranks; widen by one cell each side
+    g = F.col("__g")
+    pos_l = ((F.col("rl") - F.col("below")) / F.greatest(F.col("m"), F.lit(1)) * 64).cast("int")
+    pos_u = ((F.col("ru") - F.col("below")) / F.greatest(F.col("m"), F.lit(1)) * 64).cast("int")
+    lo = F.element_at(g, F.greatest(pos_l - 1, F.lit(0)) + 1)
+    hi = F.element_at(g, F.least(pos_u + 2, F.lit(64)) + 1)
+    return st.select(*keys, "n", "t", "rl", "ru", "fr",
+                     F.coalesce(F.greatest(lo, F.col("lo0")), F.col("lo0")).alias("lo"),
+                     F.coalesce(F.least(hi, F.col("hi0")), F.col("hi0")).alias("hi"))
+
+
+def _select(long_df, keys, targets):
+    """Exact values at ranks ``rl`` / ``ru`` from below-counts + bracket values.
+    ``targets`` holds ``#keys x #probs`` rows; AQE broadcasts it when small."""
+    j = long_df.join(targets, keys)
+    lo, hi = F.col("lo"), F.col("hi")
+    below = lo.isNotNull() & (F.col("value") < lo)
+    keep = hi.isNull() | (F.col("value") <= hi)
+    v = F.when(below, F.lit(None).cast("double")).otherwise(F.col("value"))
+    d = j.where(keep).groupBy(*keys, "t", v.alias("v")).agg(
+        F.count(F.lit(1)).alias("cnt"), F.first("n").alias("n"), F.first("rl").alias("rl"),
+        F.first("ru").alias("ru"), F.first("fr").alias("fr"))
+    w = Window.partitionBy(*keys, "t").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    r = d.withColumn("cum", F.sum("cnt").over(w)).where(F.col("v").isNotNull())
+    start = F.col("cum") - F.col("cnt") + 1
+    return r.groupBy(*keys, "t").agg(
+        F.first("n").alias("n"), F.first("fr").alias("fr"),
+        F.max(F.when((start <= F.col("rl")) & (F.col("cum") >= F.col("rl")), F.col("v"))).alias("lo_v"),
+        F.max(F.when((start <= F.col("ru")) & (F.col("cum") >= F.col("ru")), F.col("v"))).alias("hi_v"))
 
 
 def median_and_iqr(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

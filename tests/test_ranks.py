@@ -19,18 +19,20 @@ def _frame(spark, n=3000, seed=1):
 
 def test_exact_quantiles_match_linear_interpolation(spark):
     pdf, sdf = _frame(spark)
-    q = ranks.exact_quantiles(sdf, ["a", "b"], (0.1, 0.25, 0.5, 0.75, 0.99), ("p10", "q1", "med", "q3", "p99"),
-                              buckets=16).toPandas().set_index("column")
-    for col in ["a", "b"]:
-        want = pdf[col].quantile([0.1, 0.25, 0.5, 0.75, 0.99]).to_numpy()
-        got = q.loc[col, ["p10", "q1", "med", "q3", "p99"]].to_numpy(dtype=float)
-        assert np.allclose(got, want, rtol=0, atol=1e-9), (col, got, want)
-        assert q.loc[col, "n"] == pdf[col].notna().sum()
+    # small sketch accuracy (wide brackets), and a forced refinement round
+    for kw in ({"accuracy": 50}, {"accuracy": 10000}, {"accuracy": 100, "max_bracket": 10}):
+        q = ranks.exact_quantiles(sdf, ["a", "b"], (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0),
+                                  ("p0", "p10", "q1", "med", "q3", "p99", "p100"), **kw).toPandas().set_index("column")
+        for col in ["a", "b"]:
+            want = pdf[col].quantile([0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]).to_numpy()
+            got = q.loc[col, ["p0", "p10", "q1", "med", "q3", "p99", "p100"]].to_numpy(dtype=float)
+            assert np.allclose(got, want, rtol=0, atol=1e-9), (kw, col, got, want)
+            assert q.loc[col, "n"] == pdf[col].notna().sum()
 
 
 def test_grouped_quantiles(spark):
     pdf, sdf = _frame(spark)
-    q = ranks.exact_quantiles(sdf, ["a"], (0.5,), ("med",), by=("g",), buckets=8).toPandas().set_index("g")
+    q = ranks.exact_quantiles(sdf, ["a"], (0.5,), ("med",), by=("g",), accuracy=30).toPandas().set_index("g")
     want = pdf.groupby("g")["a"].median()
     for g, v in want.items():
         assert abs(q.loc[g, "med"] - v) < 1e-9
