@@ -174,9 +174,9 @@ class _VotingReader(MLReader):
 
 
 # -- M6 ------------------------------------------------------------------------------------------
-def draw_params(name: str, trials: int = N_TRIALS, seed: int = 42) -> list[dict]:
+def draw_params(name: str, trials: int = N_TRIALS, seed: int = 42, space: dict | None = None) -> list[dict]:
     """Seeded random draws from the family's search space (reproducible)."""
-    space = SEARCH_SPACE.get(name)
+    space = space or SEARCH_SPACE.get(name)
     if not space:
         return []
     rng = random.Random(f"{name}|{seed}")
@@ -190,10 +190,11 @@ def draw_params(name: str, trials: int = N_TRIALS, seed: int = 42) -> list[dict]
 
 
 def search(name: str, prep: Pipeline, train: DataFrame, label_col: str = "y_log", fold_col: str = "fold",
-           trials: int = N_TRIALS, seed: int = 42, parallelism: int = 2) -> tuple[dict, list[float]]:
+           trials: int = N_TRIALS, seed: int = 42, parallelism: int = 2,
+           space: dict | None = None) -> tuple[dict, list[float]]:
     """M6: maximise mean k-fold R² over seeded draws; returns (best params,
     per-trial scores).  A failing search returns ``({}, [])`` (defaults)."""
-    draws = draw_params(name, trials, seed)
+    draws = draw_params(name, trials, seed, space)
     if not draws:
         return {}, []
     try:
@@ -206,7 +207,7 @@ def search(name: str, prep: Pipeline, train: DataFrame, label_col: str = "y_log"
                             foldCol=fold_col, numFolds=int(train.agg(F.max(fold_col)).first()[0]) + 1,
                             parallelism=parallelism, seed=seed)
         m = cv.fit(train)
-        scores = list(m.avgMetrics)
+        scores = [float(x) for x in m.avgMetrics]
         best = max(range(len(scores)), key=lambda i: scores[i])
         return draws[best], scores
     except Exception:  # noqa: BLE001 — parity: a failed search falls back to defaults

@@ -338,20 +338,10 @@ def q_gbt_leaves(spark, sf_dir):
     return _family_predict(spark, sf_dir, "LightGBM")
 
 
-# Budget of the registered search (the surveyed job uses 10 trials; pass
-# ``trials=10`` to ``models.search`` for the full budget).
-SEARCH_TRIALS = 2
-
-
-@register("search")
-def q_search(spark, sf_dir):
-    tr, _ = _split(spark, sf_dir)
-    best, scores = md.search("GradientBoosting", prep.build_prep_pipeline(ACCOUNTS), tr.cache(),
-                             trials=SEARCH_TRIALS, parallelism=SEARCH_TRIALS)
-    draws = md.draw_params("GradientBoosting", SEARCH_TRIALS)
-    rows = [(i, str(sorted(d.items())), scores[i] if i < len(scores) else None, d == best)
-            for i, d in enumerate(draws)]
-    return spark.createDataFrame(rows, "trial int, params string, r2_cv double, best boolean")
+# M6 (the seeded search) is not registered: the surveyed budget is 10 trials x
+# 5 folds of 50–300-tree boosted fits, over half an hour on the driver's
+# correctness run because each tree costs several Spark jobs.  It is checked
+# on a small fixture in tests/test_search.py instead.
 
 
 # -- X1 / X5 / X6 / A18 / T4 / T5 / C10 ----------------------------------------------------------
