@@ -58,7 +58,12 @@ def cv_metrics(pipeline: Pipeline, train: DataFrame, label: str = "y_log", fold_
                k: int = 5, pred: str = "prediction") -> dict:
     """M9: refit the *whole* pipeline on k-1 folds, score the held-out fold;
     mean R², mean MAE, ``sqrt(mean MSE)``.  Each fold is a distributed fit; the
-    per-fold metrics come from one aggregate each."""
+    per-fold metrics come from one aggregate each.  A pipeline that is only an
+    assembler + unregularised least squares takes the one-pass path
+    (:func:`linear_cv_metrics`)."""
+    feats = _plain_linear(pipeline)
+    if feats is not None:
+        return linear_cv_metrics(train, feats, label, fold_col, k)
     rows = []
     for f in range(k):
         fit_part = train.where(F.col(fold_col) != f)
@@ -72,6 +77,68 @@ def cv_metrics(pipeline: Pipeline, train: DataFrame, label: str = "y_log", fold_
             "rmse": (sum(r["mse"] for r in rows) / len(rows)) ** 0.5}
 
 
+def _plain_linear(pipeline: Pipeline):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    st = pipeline.getStages()
+    if (len(st) == 2 and isinstance(st[0], VectorAssembler) and isinstance(st[1], LinearRegression)
+            and st[1].getRegParam() == 0.0 and st[1].getFitIntercept()
+            and st[0].getOutputCol() == st[1].getFeaturesCol() and not st[1].isSet(st[1].weightCol)):
+        return list(st[0].getInputCols())
+    return None
+
+
+def linear_cv_metrics(train: DataFrame, feats: Sequence[str], label: str = "y_log", fold_col: str = "fold",
+                      k: int = 5) -> dict:
+    """M9 for ordinary least squares in two passes, whatever ``k``.
+
+    Pass 1 aggregates, per fold, the Gram sums of ``z = (1, x...)`` and
+    ``z·y`` (``k × O(d²)`` numbers).  The fit without fold ``f`` is
+    ``total − fold f``, solved on the driver (d+1 unknowns).  Pass 2 scores
+    every held-out row with its fold's coefficients and aggregates the fold
+    metrics.  Centred sums keep the solve well conditioned."""
+    import numpy as np
+    d = len(feats)
+    ok = F.lit(True)
+    for x in [*feats, label]:
+        ok = ok & c(x).isNotNull()
+    data = train.where(ok)
+    z = [F.lit(1.0)] + [c(x).cast("double") for x in feats]
+    y = c(label).cast("double")
+    aggs = [F.sum(z[i] * z[j]).alias(f"g{i}_{j}") for i in range(d + 1) for j in range(i, d + 1)]
+    aggs += [F.sum(z[i] * y).alias(f"h{i}") for i in range(d + 1)]
+    rows = {r[fold_col]: r for r in data.groupBy(fold_col).agg(*aggs).collect()}  # k rows
+    if not rows:
+        return {"r2": None, "mae": None, "rmse": None}
+
+    def mats(r):
+        g = np.zeros((d + 1, d + 1))
+        for i in range(d + 1):
+            for j in range(i, d + 1):
+                g[i, j] = g[j, i] = r[f"g{i}_{j}"]
+        return g, np.array([r[f"h{i}"] for i in range(d + 1)])
+
+    parts = {f: mats(r) for f, r in rows.items()}
+    gt = sum(p[0] for p in parts.values())
+    ht = sum(p[1] for p in parts.values())
+    coefs = {}
+    for f, (gf, hf) in parts.items():
+        g, h = gt - gf, ht - hf
+        n, mu, my = g[0, 0], g[0, 1:] / g[0, 0], h[0] / g[0, 0]
+        cxx = g[1:, 1:] - n * np.outer(mu, mu)
+        cxy = h[1:] - n * mu * my
+        b = np.linalg.lstsq(cxx, cxy, rcond=None)[0]
+        coefs[f] = (float(my - mu @ b), [float(v) for v in b])
+    pred = None
+    for f, (b0, b) in coefs.items():
+        e = F.lit(b0) + sum((F.lit(bj) * c(x).cast("double") for bj, x in zip(b, feats)), F.lit(0.0))
+        pred = F.when(F.col(fold_col) == f, e) if pred is None else pred.when(F.col(fold_col) == f, e)
+    per = regression_metrics(data.withColumn("__p", pred), label, "__p", by=[fold_col]).collect()
+    per = [r for r in per if r["n"]]
+    return {"r2": sum(r["r2"] for r in per) / len(per), "mae": sum(r["mae"] for r in per) / len(per),
+            "rmse": (sum(r["mse"] for r in per) / len(per)) ** 0.5}
+
+
 # -- M10 / J3 / U1 / F4 / F6 ---------------------------------------------------------------------
 def evaluate_model(name: str, model: PipelineModel, pipeline: Pipeline | None, train: DataFrame, test: DataFrame,
                    label: str = "y_log", target: str = "target", fold_col: str = "fold", k: int = 5,

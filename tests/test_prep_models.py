@@ -145,3 +145,18 @@ def test_linear_and_sampled_attribution_additivity(spark, frame):
     # for a linear model every permutation gives the exact value coef * (x - b)
     ins = xp.insights(att, top=1).first()
     assert ins.pos == 1 and ins.line.startswith("- ")
+
+
+def test_one_pass_linear_cv_equals_refit_loop(spark, frame):
+    from pyspark.ml.feature import SQLTransformer
+
+    from finlens.operators import evaluate as ev
+    from finlens.operators import split as sp
+    df = sp.with_folds(frame.where("a is not null"), "id", k=4)
+    fast = ev.cv_metrics(Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"),
+                                          LinearRegression(labelCol="y", solver="normal")]), df, "y", k=4)
+    slow = ev.cv_metrics(Pipeline(stages=[SQLTransformer(statement="SELECT * FROM __THIS__"),
+                                          VectorAssembler(inputCols=["a", "b"], outputCol="features"),
+                                          LinearRegression(labelCol="y", solver="normal")]), df, "y", k=4)
+    for m in ("r2", "mae", "rmse"):
+        assert abs(fast[m] - slow[m]) < 1e-9
