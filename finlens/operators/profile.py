@@ -127,7 +127,7 @@ def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return agg.select(_stack(rows + diag)).withColumn("abs_r", F.abs("r"))
 
 
-def spearman(df: DataFrame, cols: Sequence[str], buckets: int = ranks.DEFAULT_BUCKETS) -> DataFrame:
+def spearman(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> DataFrame:
     """A11 via W1: pairwise-complete Spearman, long ``(a, b, r, abs_r)``.
 
     For the pair (a, b) the ranks are taken over rows where both are present.
@@ -135,6 +135,9 @@ def spearman(df: DataFrame, cols: Sequence[str], buckets: int = ranks.DEFAULT_BU
     rank table keyed by ``(column, cond)`` serves every pair (cond = the other
     column when it has missing values, else "").  Pair rows are pre-aggregated
     to distinct ``(pair, va, vb)`` with a weight before the rank joins.
+    ``buckets`` defaults to the session's shuffle partitions
+    (:func:`ranks.session_buckets`), so the rank windows shrink as the cluster
+    is sized up for the data.
     """
     # one pass: cut points and the missing counts that decide the conditions
     splits = ranks.cut_points(df, cols, buckets, extra=[

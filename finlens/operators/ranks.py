@@ -34,6 +34,11 @@ from finlens.functions.exprs import c, explode_rows
 from finlens.session import ensure_checkpoint_dir
 
 DEFAULT_BUCKETS = 64
+# upper bound on buckets per column: the driver receives that many cut points
+MAX_BUCKETS = 100_000
+# sketch accuracy for cut points is capped: its error only moves rows between
+# neighbouring buckets, and a larger sketch costs executor memory per task
+MAX_CUT_ACCURACY = 1_000_000
 DEFAULT_ACCURACY = 10000
 # distinct values a single (key, target) selection window may hold
 MAX_BRACKET = 2_000_000
@@ -54,15 +59,29 @@ def _splits(cuts) -> list[float]:
     return [-_INF, *vals, _INF]
 
 
-def cut_points(df: DataFrame, cols: Sequence[str], buckets: int = DEFAULT_BUCKETS,
+def session_buckets(spark) -> int:
+    """Buckets per column when the caller gives none: the session's shuffle
+    partition count (which a cluster sizes to its data), at least
+    ``DEFAULT_BUCKETS`` and at most ``MAX_BUCKETS``.  One ``(column, bucket)``
+    window then holds about one shuffle partition's worth of values, and the
+    rank step runs in as many parallel tasks as the cluster is sized for."""
+    try:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions", str(DEFAULT_BUCKETS)))
+    except ValueError:  # "auto" on some platforms
+        n = DEFAULT_BUCKETS
+    return max(DEFAULT_BUCKETS, min(MAX_BUCKETS, n))
+
+
+def cut_points(df: DataFrame, cols: Sequence[str], buckets: int | None = None,
                accuracy: int | None = None, extra: Sequence[Column] = ()) -> dict[str, list[float]]:
     """Bucket splits per column from one ``percentile_approx`` pass.
 
     Cut points only balance the buckets (their error moves rows between
     neighbouring buckets, never breaks exactness), so the sketch accuracy is
-    kept proportional to the bucket count.  ``extra`` aggregates ride along in
-    the same pass; their values are returned under ``"__extra"``."""
-    accuracy = accuracy or max(1000, 50 * buckets)
+    kept proportional to the bucket count (capped).  ``extra`` aggregates ride
+    along in the same pass; their values are returned under ``"__extra"``."""
+    buckets = buckets or session_buckets(df.sparkSession)
+    accuracy = accuracy or min(MAX_CUT_ACCURACY, max(1000, 50 * buckets))
     probs = [i / buckets for i in range(1, buckets)]
     row = df.agg(*[F.percentile_approx(as_value(c(col)), probs, accuracy).alias(f"q{i}")
                    for i, col in enumerate(cols)], *extra).first()

@@ -4,6 +4,8 @@ from finlens.operators import clean as cl
 from finlens.operators import split
 from finlens.spec import ACCOUNTS
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def test_dedupe_nulls_equal_and_clean(spark):
     df = spark.createDataFrame([(1, None, -5.0, 10.0), (1, None, -5.0, 10.0), (2, "a", 3.0, 0.0), (3, "b", None, None)],
@@ -35,3 +37,14 @@ def test_split_disjoint_complete_and_folds(spark):
     s1 = [r.k for r in split.bounded_sample(df.repartition(3), "k", 50).collect()]
     s2 = [r.k for r in split.bounded_sample(df, "k", 50).collect()]
     assert s1 == s2 and len(s1) == 50
+
+
+def test_accounts_view_equals_its_sql(spark):
+    from finlens.sources.tables import ACCOUNTS_SQL, accounts, load_table
+
+    for t in ("customer", "orders"):
+        load_table(spark, SF_SMALL, t).createOrReplaceTempView(t)
+    df = accounts(spark, SF_SMALL)
+    sql = spark.sql(ACCOUNTS_SQL)
+    assert df.count() == sql.count()
+    assert df.exceptAll(sql).isEmpty() and sql.exceptAll(df).isEmpty()

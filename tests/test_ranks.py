@@ -52,3 +52,28 @@ def test_approx_switch(spark):
     pdf, sdf = _frame(spark)
     q = ranks.exact_quantiles(sdf, ["b"], (0.5,), ("med",), approx_accuracy=10000).first()
     assert q["med"] == pdf["b"].median()
+
+
+def test_session_buckets_follow_shuffle_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert ranks.session_buckets(spark) == ranks.DEFAULT_BUCKETS
+        spark.conf.set("spark.sql.shuffle.partitions", "4000")
+        assert ranks.session_buckets(spark) == 4000
+        spark.conf.set("spark.sql.shuffle.partitions", str(10 * ranks.MAX_BUCKETS))
+        assert ranks.session_buckets(spark) == ranks.MAX_BUCKETS
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_ranks_exact_with_more_buckets_than_values(spark):
+    pdf, sdf = _frame(spark, n=400)
+    splits = ranks.cut_points(sdf, ["a", "b"], 1000)
+    rt = ranks.rank_table(ranks.long_values(sdf, ["a", "b"], splits=splits), keys=("column", "cond")).toPandas()
+    for col in ("a", "b"):
+        sub = rt[rt["column"] == col]
+        got = dict(zip(sub["value"], sub["avg_rank"]))
+        want = pdf[col].dropna().rank(method="average")
+        for v, r in zip(pdf[col].dropna(), want):
+            assert got[v] == r
