@@ -17,9 +17,14 @@ scale, so ranks are computed in four bounded steps:
 
 The result, one row per distinct ``(key, value)``, gives each value the 1-based
 rank interval ``[cum - cnt + 1, cum]``; its average (pandas ``rank()``) is
-``cum - (cnt - 1) / 2``.  Exact linear quantiles read the values at ranks
-``floor(h)+1`` and ``ceil(h)+1`` with ``h = (n - 1) p`` — the same definition as
-pandas ``quantile`` and SQL ``quantile_cont``.
+``cum - (cnt - 1) / 2``.
+
+Quantiles need only the values at two ranks per target, so they skip the full
+rank table: a histogram over a data-independent monotone bucket locates exact
+brackets, and only the rows inside them are ranked (:func:`bracket_quantiles`).
+Exact linear quantiles read the values at ranks ``floor(h)+1`` and
+``ceil(h)+1`` with ``h = (n - 1) p`` — the same definition as pandas
+``quantile`` and SQL ``quantile_cont``.
 """
 
 from __future__ import annotations
@@ -39,10 +44,23 @@ MAX_BUCKETS = 100_000
 # sketch accuracy for cut points is capped: its error only moves rows between
 # neighbouring buckets, and a larger sketch costs executor memory per task
 MAX_CUT_ACCURACY = 1_000_000
+# sub-buckets per narrowing round of a quantile bracket
 DEFAULT_ACCURACY = 10000
-# distinct values a single (key, target) selection window may hold
+# rows a single (key, target) selection bracket may hold before it is narrowed
 MAX_BRACKET = 2_000_000
+# narrowing rounds (each divides a bracket by ``accuracy``; doubles run out of
+# distinct values long before this)
+MAX_ROUNDS = 8
+# log buckets per power of two in the first histogram pass
+LOG_STEPS = 16
+# targets (#keys x #probs rows, ~100 bytes each) broadcast up to this many rows;
+# beyond it the bracket join shuffles on the keys
+MAX_BROADCAST_TARGETS = 500_000
 _INF = float("inf")
+# bucket ids: magnitudes of finite non-zero doubles land in [1, 2 * _LOG_OFFSET]
+_LOG_OFFSET = 1100 * LOG_STEPS
+_INF_BUCKET = 4 * _LOG_OFFSET
+_NAN_BUCKET = 5 * _LOG_OFFSET
 
 
 def as_value(col) -> Column:
@@ -183,7 +201,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ``(by..., column, n, <name per prob>)``.  Missing values are ignored;
     linear interpolation as pandas ``quantile`` / SQL ``quantile_cont``.
 
-    Exact by distributed selection (see :func:`bracket_quantiles`).
+    Exact by distributed selection (see :func:`bracket_quantiles`);
+    ``accuracy`` is the number of sub-buckets per narrowing round.
     ``approx_accuracy`` switches to plain ``percentile_approx`` (one bounded
     sketch per group, no exact guarantee)."""
     by = list(by)
@@ -197,97 +216,123 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return bracket_quantiles(long_df, [*by, "column"], probs, names, accuracy, max_bracket)
 
 
+def _log_bucket(v: Column) -> Column:
+    """Data-independent bucket id that never decreases as ``v`` grows:
+    ``LOG_STEPS`` buckets per power of two, mirrored for negatives, 0 for zero,
+    the extremes for infinities and NaN (which SQL orders last)."""
+    mag = F.floor(F.log2(F.abs(v)) * LOG_STEPS).cast("long") + F.lit(_LOG_OFFSET + 1)
+    return (F.when(F.isnan(v), F.lit(_NAN_BUCKET))
+            .when(v == F.lit(_INF), F.lit(_INF_BUCKET))
+            .when(v == F.lit(-_INF), F.lit(-_INF_BUCKET))
+            .when(v > 0, mag)
+            .when(v < 0, -mag)
+            .otherwise(F.lit(0)).cast("long"))
+
+
+def _linear_bucket(v: Column, lo: Column, hi: Column, steps: int) -> Column:
+    """Equal-width sub-bucket of ``[lo, hi]`` (never decreasing in ``v``)."""
+    return F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(steps))).cast("long"), F.lit(steps - 1))
+
+
+def _band_join(long_df: DataFrame, keys: Sequence[str], targets: DataFrame) -> DataFrame:
+    """Rows of ``long_df`` inside each target's ``[lo, hi]``: a null-safe
+    equi-join on the keys with the band test evaluated inside the join."""
+    tk = targets.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                        *[x for x in targets.columns if x not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    on += [F.col("value") >= F.col("lo"), F.col("value") <= F.col("hi")]
+    return long_df.join(tk, on).drop(*[f"__k{i}" for i in range(len(keys))])
+
+
+def _brackets(hist: DataFrame, keys: Sequence[str], bucket: str, offset: str | None = None) -> DataFrame:
+    """From ``(keys..., bucket, bc, bmin, bmax)`` with absolute cumulative
+    counts, the bucket holding each target rank gives an exact bracket:
+    every row of an earlier bucket is smaller than ``bmin`` (the bucket id
+    never decreases with the value), so the value at rank ``r`` lies in
+    ``[bmin, bmax]`` of the bucket whose cumulative range covers ``r``.
+    ``offset`` names a column of rows below the histogram's range."""
+    w = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hb = hist.withColumn("bcum", F.sum("bc").over(w) + (F.col(offset) if offset else F.lit(0)))
+    first = F.col("bcum") - F.col("bc") + 1
+    covers_l = (first <= F.col("rl")) & (F.col("bcum") >= F.col("rl"))
+    covers_u = (first <= F.col("ru")) & (F.col("bcum") >= F.col("ru"))
+    overlaps = (F.col("bcum") >= F.col("rl")) & (first <= F.col("ru"))
+    return hb.groupBy(*keys).agg(
+        F.first("n").alias("n"), F.first("rl").alias("rl"), F.first("ru").alias("ru"), F.first("fr").alias("fr"),
+        F.min(F.when(covers_l, F.col("bmin"))).alias("lo"), F.max(F.when(covers_u, F.col("bmax"))).alias("hi"),
+        F.min(F.when(covers_l, first - 1)).alias("below"),
+        F.sum(F.when(overlaps, F.col("bc")).otherwise(F.lit(0))).alias("rows"))
+
+
 def bracket_quantiles(long_df: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str],
                       accuracy: int = DEFAULT_ACCURACY, max_bracket: int = MAX_BRACKET) -> DataFrame:
-    """Exact quantiles by bracketing (distributed selection).
-
-    1. *sketch* — per key ``n`` and ``percentile_approx`` at ``p ± 2/A``: the
-       exact value of rank ``r`` lies in ``[lo, hi]`` and at most about
-       ``4n/A`` distinct values lie inside (Greenwald–Khanna rank guarantee);
-    2. *refine* (only when ``4n/A > max_bracket``) — a sketch restricted to the
-       bracket rows narrows it by another factor ``A``;
-    3. *select* — every row below ``lo`` maps to one group per target (so the
-       partial aggregate collapses them map-side), rows inside the bracket are
-       pre-aggregated per distinct value; a window over ``<= max_bracket`` rows
-       per ``(key, target)`` gives the exact ranks.
-
-    A target that the bracket does not cover (guarantee violated) would come
-    out null; it is re-run with an unbounded bracket, so the result is always
-    exact."""
+    """Exact quantiles by histogram selection (distributed, sketch-free).
+
+    1. *histogram* — one partial aggregate of ``(key, log bucket) -> count,
+       min, max`` (a few thousand rows per key at most, whatever the size);
+       cumulative counts over it locate, for each target rank, the bucket
+       that holds it, and that bucket's ``[min, max]`` is an exact bracket;
+    2. *narrow* (only for brackets over ``max_bracket`` rows whose ends
+       differ) — the same over ``accuracy`` equal-width sub-buckets of the
+       bracket (only bracket rows pass the join; the rows below it are
+       already counted);
+    3. *select* — a window over the distinct bracket values of each
+       ``(key, target)`` gives the values at the exact ranks.
+
+    A value holding a third of all rows is one histogram entry and one
+    distinct bracket value; no task ever sorts a whole column."""
     keys = list(keys)
-    sizes = long_df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.select(F.max("n").alias("m")).first()["m"] or 0
-    if largest <= max_bracket:
-        # every key fits one bounded window: rank all its distinct values
-        d = long_df.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))
-        w = Window.partitionBy(*keys).orderBy("value")
-        ranked = d.withColumn("cum", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))) \
-            .withColumn("n", F.sum("cnt").over(Window.partitionBy(*keys)))
-        return quantiles_from_ranks(ranked, keys, probs, names)
-    eps = 2.0 / accuracy
-    probes = sorted({min(1.0, max(0.0, x)) for p in probs for x in (p - eps, p + eps)})
-    sk = long_df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                    F.percentile_approx("value", probes, accuracy).alias("__s"))
+    tk = [*keys, "t"]
+    spark = long_df.sparkSession
+    ensure_checkpoint_dir(spark)
     tg = []
     for t, p in enumerate(probs):
-        lo_i, hi_i = probes.index(min(1.0, max(0.0, p - eps))), probes.index(min(1.0, max(0.0, p + eps)))
         h = (F.col("n") - 1).cast("double") * F.lit(float(p))
-        tg.append(F.struct(F.lit(t).alias("t"), F.col("__s")[lo_i].alias("lo"), F.col("__s")[hi_i].alias("hi"),
-                           (F.floor(h) + 1).alias("rl"), (F.ceil(h) + 1).alias("ru"), (h - F.floor(h)).alias("fr")))
-    # #keys x #probs rows, written to the shared checkpoint folder so the
-    # sketch pass runs once (and the lineage is cut)
-    ensure_checkpoint_dir(long_df.sparkSession)
-    targets = sk.select(*keys, "n", F.inline(F.array(*tg))).checkpoint(eager=True)
-    wide = targets.select(F.max("n").alias("m")).first()["m"] or 0
-    if 4.0 * wide / accuracy > max_bracket:
-        targets = _refine(long_df, keys, targets, accuracy)
-    # the selected result is tiny (#keys x #probs rows): checkpointed so the
-    # coverage check below does not recompute the selection
-    res = _select(long_df, keys, targets).checkpoint(eager=True)
-    missing = res.where(F.col("lo_v").isNull() | F.col("hi_v").isNull()).limit(1).count()
-    if missing:  # never expected; exactness first: fall back to an unbounded bracket
-        res = _select(long_df, keys, targets.withColumn("lo", F.lit(None).cast("double"))
-                      .withColumn("hi", F.lit(None).cast("double")))
+        tg.append(F.struct(F.lit(t).alias("t"), (F.floor(h) + 1).alias("rl"), (F.ceil(h) + 1).alias("ru"),
+                           (h - F.floor(h)).alias("fr")))
+    hist = long_df.groupBy(*keys, _log_bucket(F.col("value")).alias("b")).agg(
+        F.count(F.lit(1)).alias("bc"), F.min("value").alias("bmin"), F.max("value").alias("bmax"))
+    hist = hist.withColumn("n", F.sum("bc").over(Window.partitionBy(*keys)))
+    hist = hist.select("*", F.inline(F.array(*tg)))
+    # #keys x #probs rows, written to the shared checkpoint folder: the
+    # histogram pass runs once and the lineage is cut
+    targets = _brackets(hist, tk, "b").checkpoint(eager=True)
+    # narrow only finite brackets whose ends differ (a one-value bracket is a
+    # single distinct value however many rows it holds)
+    wide = (F.col("rows") > max_bracket) & (F.col("lo") < F.col("hi")) & ~F.isnan("hi") & \
+        (F.col("hi") - F.col("lo") < F.lit(_INF))
+    st = targets.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(wide, 1)).alias("wide")).first()
+    # a checkpointed table has no size estimate, so the planner would pick the
+    # wrong build side: broadcast it explicitly once its row count is checked
+    side = F.broadcast if st["n"] <= MAX_BROADCAST_TARGETS else (lambda x: x)
+    steps = max(2, int(accuracy))
+    rounds = 0
+    while st["wide"] and rounds < MAX_ROUNDS:
+        j = _band_join(long_df, keys, side(targets.where(wide)))
+        sub = j.groupBy(*tk, _linear_bucket(F.col("value"), F.col("lo"), F.col("hi"), steps).alias("sb")).agg(
+            F.count(F.lit(1)).alias("bc"), F.min("value").alias("bmin"), F.max("value").alias("bmax"),
+            F.first("n").alias("n"), F.first("rl").alias("rl"), F.first("ru").alias("ru"), F.first("fr").alias("fr"),
+            F.first("below").alias("below0"))
+        targets = targets.where(~wide).unionByName(_brackets(sub, tk, "sb", "below0")).checkpoint(eager=True)
+        st = targets.agg(F.count(F.when(wide, 1)).alias("wide")).first()
+        rounds += 1
+    res = _select(long_df, keys, side(targets))
     out = res.select(*keys, "n", "t", (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.col("fr")).alias("q"))
     return out.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("t") == t, F.col("q"))).alias(nm)
                                                             for t, nm in enumerate(names)])
 
 
-def _refine(long_df, keys, targets, accuracy):
-    """One narrowing round: sketch only the bracket rows of each target."""
-    j = long_df.join(targets, keys)
-    inside = (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
-    st = j.groupBy(*keys, "t").agg(
-        F.first("n").alias("n"), F.first("rl").alias("rl"), F.first("ru").alias("ru"), F.first("fr").alias("fr"),
-        F.first("lo").alias("lo0"), F.first("hi").alias("hi0"),
-        F.count(F.when(F.col("value") < F.col("lo"), 1)).alias("below"),
-        F.count(F.when(inside, 1)).alias("m"),
-        F.percentile_approx(F.when(inside, F.col("value")), [x / 64.0 for x in range(65)], accuracy).alias("__g"))
-    # pick the grid cells around the wanted in-bracket ranks; widen by one cell each side
-    g = F.col("__g")
-    pos_l = ((F.col("rl") - F.col("below")) / F.greatest(F.col("m"), F.lit(1)) * 64).cast("int")
-    pos_u = ((F.col("ru") - F.col("below")) / F.greatest(F.col("m"), F.lit(1)) * 64).cast("int")
-    lo = F.element_at(g, F.greatest(pos_l - 1, F.lit(0)) + 1)
-    hi = F.element_at(g, F.least(pos_u + 2, F.lit(64)) + 1)
-    return st.select(*keys, "n", "t", "rl", "ru", "fr",
-                     F.coalesce(F.greatest(lo, F.col("lo0")), F.col("lo0")).alias("lo"),
-                     F.coalesce(F.least(hi, F.col("hi0")), F.col("hi0")).alias("hi"))
-
-
 def _select(long_df, keys, targets):
-    """Exact values at ranks ``rl`` / ``ru`` from below-counts + bracket values.
-    ``targets`` holds ``#keys x #probs`` rows; AQE broadcasts it when small."""
-    j = long_df.join(targets, keys)
-    lo, hi = F.col("lo"), F.col("hi")
-    below = lo.isNotNull() & (F.col("value") < lo)
-    keep = hi.isNull() | (F.col("value") <= hi)
-    v = F.when(below, F.lit(None).cast("double")).otherwise(F.col("value"))
-    d = j.where(keep).groupBy(*keys, "t", v.alias("v")).agg(
+    """Exact values at ranks ``rl`` / ``ru``: only rows inside each bracket
+    pass the join, and ``below`` (rows under the bracket, known from the
+    histogram) makes the in-bracket running counts absolute ranks.
+    ``targets`` holds ``#keys x #probs`` rows."""
+    j = _band_join(long_df, keys, targets)
+    d = j.groupBy(*keys, "t", F.col("value").alias("v")).agg(
         F.count(F.lit(1)).alias("cnt"), F.first("n").alias("n"), F.first("rl").alias("rl"),
-        F.first("ru").alias("ru"), F.first("fr").alias("fr"))
-    w = Window.partitionBy(*keys, "t").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    r = d.withColumn("cum", F.sum("cnt").over(w)).where(F.col("v").isNotNull())
+        F.first("ru").alias("ru"), F.first("fr").alias("fr"), F.first("below").alias("below"))
+    w = Window.partitionBy(*keys, "t").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = d.withColumn("cum", F.sum("cnt").over(w) + F.col("below"))
     start = F.col("cum") - F.col("cnt") + 1
     return r.groupBy(*keys, "t").agg(
         F.first("n").alias("n"), F.first("fr").alias("fr"),

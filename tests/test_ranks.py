@@ -77,3 +77,31 @@ def test_ranks_exact_with_more_buckets_than_values(spark):
         want = pdf[col].dropna().rank(method="average")
         for v, r in zip(pdf[col].dropna(), want):
             assert got[v] == r
+
+
+def test_histogram_selection_edges(spark):
+    rng = np.random.default_rng(7)
+    vals = np.concatenate([
+        -np.round(rng.lognormal(3, 1, 300), 3),  # negatives
+        np.zeros(50), -np.zeros(50),  # signed zeros
+        1e6 + rng.integers(0, 400, 500) * 1e-9,  # tight cluster: one log bucket, needs narrowing rounds
+        rng.uniform(1e-300, 1e-299, 20),  # tiny magnitudes
+    ])
+    keys = rng.choice(["p", "q"], len(vals))
+    sdf = spark.createDataFrame([(float(v), str(k)) for v, k in zip(vals, keys)], "v double, k string")
+    probs = (0.0, 0.05, 0.25, 0.5, 0.6, 0.75, 0.95, 1.0)
+    for kw in ({}, {"max_bracket": 5, "accuracy": 4}, {"max_bracket": 1, "accuracy": 2}):
+        q = ranks.exact_quantiles(sdf, ["v"], probs, by=("k",), **kw).toPandas().set_index("k")
+        for k in ("p", "q"):
+            want = np.quantile(vals[keys == k], probs)
+            got = q.loc[k, [f"q{int(round(p * 100))}" for p in probs]].to_numpy(dtype=float)
+            assert np.allclose(got, want, rtol=1e-15, atol=0), (kw, k, got, want)
+
+
+def test_null_group_keeps_its_quantiles(spark):
+    rows = [(float(v), None if v % 3 == 0 else "a") for v in range(200)]
+    sdf = spark.createDataFrame(rows, "v double, g string")
+    for kw in ({}, {"max_bracket": 3, "accuracy": 3}):
+        q = {r["g"]: r["med"] for r in ranks.exact_quantiles(sdf, ["v"], (0.5,), ("med",), by=("g",), **kw).collect()}
+        assert q[None] == np.median([v for v, g in rows if g is None])
+        assert q["a"] == np.median([v for v, g in rows if g == "a"])
