@@ -131,27 +131,35 @@ def spearman(df: DataFrame, cols: Sequence[str], buckets: int | None = None) ->
     """A11 via W1: pairwise-complete Spearman, long ``(a, b, r, abs_r)``.
 
     For the pair (a, b) the ranks are taken over rows where both are present.
-    The rank of ``a`` then depends only on whether ``b`` can be missing, so one
-    rank table keyed by ``(column, cond)`` serves every pair (cond = the other
-    column when it has missing values, else "").  Pair rows are pre-aggregated
-    to distinct ``(pair, va, vb)`` with a weight before the rank joins.
+    The rank of ``a`` then depends only on whether ``b`` is missing on a row
+    where ``a`` is present, so one rank table keyed by ``(column, cond)``
+    serves every pair (cond = the other column when that happens, else "").
+    Pair rows are pre-aggregated to distinct ``(pair, va, vb)`` with a weight
+    before the rank joins.
     ``buckets`` defaults to the session's shuffle partitions
     (:func:`ranks.session_buckets`), so the rank windows shrink as the cluster
     is sized up for the data.
     """
-    # one pass: cut points and the missing counts that decide the conditions
+    # one pass: cut points and, per ordered pair (a, b), the rows where a is
+    # present and b missing.  Only when there are such rows does the rank of a
+    # within the pair differ from its plain rank, so only those (column,
+    # condition) variants are built (exact either way, far fewer rows when
+    # columns go missing together).
+    ordered = [(i, a, j, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i != j]
     splits = ranks.cut_points(df, cols, buckets, extra=[
-        F.sum(F.when(c(x).isNull(), 1).otherwise(0)).alias(f"__m{i}") for i, x in enumerate(cols)])
+        F.sum(F.when(c(a).isNotNull() & c(b).isNull(), 1).otherwise(0)).alias(f"__x{i}_{j}")
+        for i, a, j, b in ordered])
     stats = splits["__extra"]
-    has_null = {x for i, x in enumerate(cols) if (stats[f"__m{i}"] or 0) > 0}
-    conds = {x: c(x).isNotNull() for x in has_null}
-    rt = ranks.rank_table(ranks.long_values(df, cols, splits=splits, conds=conds), keys=("column", "cond"))
+    need = {(a, b) for i, a, j, b in ordered if (stats[f"__x{i}_{j}"] or 0) > 0}
+    conds = {b: c(b).isNotNull() for _, b in need}
+    rt = ranks.rank_table(ranks.long_values(df, cols, splits=splits, conds=conds, only=need),
+                          keys=("column", "cond"))
     rt = rt.select("column", "cond", "value", "avg_rank")
 
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     entries = [(c(a).isNotNull() & c(b).isNotNull(), [
         F.lit(a).alias("a"), F.lit(b).alias("b"),
-        F.lit(b if b in has_null else "").alias("cond_a"), F.lit(a if a in has_null else "").alias("cond_b"),
+        F.lit(b if (a, b) in need else "").alias("cond_a"), F.lit(a if (b, a) in need else "").alias("cond_b"),
         ranks.as_value(c(a)).alias("va"), ranks.as_value(c(b)).alias("vb")]) for a, b in pairs]
     pr = explode_rows(df, entries)
     pr = pr.groupBy("a", "b", "cond_a", "cond_b", "va", "vb").agg(F.count(F.lit(1)).alias("w"))

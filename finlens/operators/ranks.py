@@ -122,12 +122,15 @@ def bucketize(df: DataFrame, cols: Sequence[str], splits: dict[str, list[float]]
 
 
 def long_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
-                splits: dict[str, list[float]] | None = None, conds: dict[str, Column] | None = None) -> DataFrame:
+                splits: dict[str, list[float]] | None = None, conds: dict[str, Column] | None = None,
+                only: set[tuple[str, str]] | None = None) -> DataFrame:
     """Unpivot to ``(keys..., column, cond, value, bucket)`` without nulls.
 
     ``conds`` maps a condition name to a boolean Column; for each condition an
     extra copy of every value is emitted where the condition holds (used for
-    pairwise-complete ranks).  Condition ``""`` (all rows) is always present.
+    pairwise-complete ranks).  ``only`` restricts those copies to the listed
+    ``(column, condition)`` pairs.  Condition ``""`` (all rows) is always
+    present.
     """
     if splits is None:
         splits = cut_points(df, cols)
@@ -140,7 +143,7 @@ def long_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
         rows.append((v.isNotNull(), [F.lit(col).alias("column"), F.lit("").alias("cond"), v.alias("value"),
                                      b.alias("bucket")]))
         for name, cond in conds.items():
-            if name == col:
+            if name == col or (only is not None and (col, name) not in only):
                 continue
             rows.append((v.isNotNull() & cond, [F.lit(col).alias("column"), F.lit(name).alias("cond"),
                                                 v.alias("value"), b.alias("bucket")]))

@@ -102,3 +102,25 @@ def test_histogram_counts_sum(data):
     h = ch.histogram(sdf, ["x", "y"], 10).toPandas()
     assert h.groupby("column")["count"].sum().to_dict() == {"x": 400, "y": int(pdf["y"].notna().sum())}
     assert h["bin"].between(0, 9).all()
+
+
+def test_spearman_columns_missing_together(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    n = 400
+    x = np.round(rng.normal(size=n), 1)
+    y = np.round(x + rng.normal(size=n), 1)
+    z = np.round(rng.normal(size=n), 1)
+    gone = rng.random(n) < 0.2  # x and y missing together
+    x[gone], y[gone] = np.nan, np.nan
+    z[rng.random(n) < 0.1] = np.nan  # z missing on its own
+    pdf = pd.DataFrame({"x": x, "y": y, "z": z})
+    sdf = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in pdf.itertuples(index=False)],
+                                "x double, y double, z double")
+    got = pf.spearman(sdf, ["x", "y", "z"], buckets=8).toPandas().set_index(["a", "b"])["r"]
+    want = pdf.corr(method="spearman")
+    for a in "xyz":
+        for b in "xyz":
+            assert abs(got[(a, b)] - want.loc[a, b]) < 1e-12, (a, b)
