@@ -307,7 +307,8 @@ def bracket_quantiles(long_df: DataFrame, keys: Sequence[str], probs: Sequence[f
     st = targets.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(wide, 1)).alias("wide")).first()
     # a checkpointed table has no size estimate, so the planner would pick the
     # wrong build side: broadcast it explicitly once its row count is checked
-    side = F.broadcast if st["n"] <= MAX_BROADCAST_TARGETS else (lambda x: x)
+    small = st["n"] <= MAX_BROADCAST_TARGETS
+    side = F.broadcast if small else (lambda x: x)
     steps = max(2, int(accuracy))
     rounds = 0
     while st["wide"] and rounds < MAX_ROUNDS:
@@ -321,8 +322,14 @@ def bracket_quantiles(long_df: DataFrame, keys: Sequence[str], probs: Sequence[f
         rounds += 1
     res = _select(long_df, keys, side(targets))
     out = res.select(*keys, "n", "t", (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.col("fr")).alias("q"))
-    return out.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("t") == t, F.col("q"))).alias(nm)
-                                                            for t, nm in enumerate(names)])
+    result = out.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("t") == t, F.col("q"))).alias(nm)
+                                                              for t, nm in enumerate(names)])
+    # one row per key (fewer than the targets, whose count was checked): callers
+    # join it back to the data on the keys, and a table read from a checkpoint
+    # has no size estimate, so it is marked for broadcast explicitly — else the
+    # planner builds from the data side or shuffles the data on a few keys
+    result = result.checkpoint(eager=True)
+    return side(result)
 
 
 def _select(long_df, keys, targets):
