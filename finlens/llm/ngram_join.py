@@ -7,11 +7,11 @@ order: ordinary ones by hash, those that repeat most in the corpus behind them,
 2. *Prefixes.*  Two sets with Jaccard >= t share a shingle among the first ``n - ceil(t n) + 1`` of each, so
    only those are shuffled.  Shingles seen in one node alone are dropped by a streaming scan of the sorted
    shuffle; the rest are the buckets.
-3. *Stars.*  Each bucket compares its best-connected node with its other nodes: as many pairs as rows, never
-   all pairs of a group.  Components of the links so far settle almost every bucket.
-4. *Rest, exactly.*  In buckets that still hold several components, pairs from different components are tested
-   in blocks against a parity bitmap of the sets, whose Hamming distance never exceeds the sets' symmetric
-   difference.  Only pairs that pass leave the task.
+3. *Stars.*  Each bucket compares its best-connected node, the centre, with its other nodes: as many pairs as
+   rows, never all pairs of a group.  A parity bitmap of each set, whose Hamming distance never exceeds the sets'
+   symmetric difference, rules most pairs out; components of the links so far settle most buckets.
+4. *Rest, exactly.*  Nodes around the same centre that are still in different components are tested against
+   each other's bitmaps in blocks.  Only pairs that pass leave the task.
 5. *Vertical count.*  The global order is cut into fragments; the segments of a pair are joined fragment by
    fragment, partial overlaps counted separately and summed per pair, and the Jaccard condition is decided on
    the exact sum.
@@ -36,6 +36,7 @@ from finlens.llm.kit import NOT_SPACE, arrow_map, byte_words, mix, ranges, shing
 HEAVY = 1 << 17        # shingles ranked by repetition; the rest rank by hash alone (order only, never results)
 HEAVY_WINDOW = 1 << 21  # shingles counted together in a task when looking for repeated ones
 FRAGMENTS = 8
+FILTER_BITS = 1 << 28   # 32 MB: bound of the bitmap of wanted documents
 BLOCK = 1024           # nodes of a bucket compared with each other in one step
 
 
@@ -58,16 +59,18 @@ class JaccardJoin:
             yield from enumerate(shingle_sets(hashes, first, self.width), lo)
 
     def members(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, n_shingles, node); node is the set's signature, null for an empty set."""
+        """(doc_id, n_shingles, node, bits): node is the set's signature, null for an empty set; bits its bitmap."""
         def run(batches):
             for b in batches:
-                n, node = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
+                n, node, bits = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), []
                 for i, s in self._sets(b):
                     n[i], node[i] = len(s), _signature(s)
+                    bits.append(_bitmap(s))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(n), pa.array(node, mask=n == 0)], names=["doc_id", "n_shingles", "node"])
+                    [b.column(0), pa.array(n), pa.array(node, mask=n == 0), _lists(bits)],
+                    names=["doc_id", "n_shingles", "node", "bits"])
         kind = dict(docs.dtypes)["doc_id"]
-        return arrow_map(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_shingles long, node long")
+        return arrow_map(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_shingles long, node long, bits array<long>")
 
     def repeated(self, docs: DataFrame) -> np.ndarray:
         """The shingles that repeat most, least first; a bounded table (``heavy`` hashes).  Counts come from all
@@ -88,9 +91,20 @@ class JaccardJoin:
                         held, size = [], 0
             if held:
                 yield counted()
-        top = (arrow_map(docs.select("doc_id", "text"), run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-               .orderBy(F.desc("c"), "h").limit(self.heavy).toPandas())
-        return top["h"].to_numpy(np.int64)[::-1].copy().view(np.uint64)
+        counts = stored(arrow_map(docs.select("doc_id", "text"), run, "h long, c long")
+                        .groupBy("h").agg(F.sum("c").alias("c")), "repeated")
+        # the least count that keeps the table within its bound, from a histogram of a few hundred rows
+        step = F.floor(F.log2("c") * 16)
+        room, least = self.heavy, None
+        for row in counts.groupBy(step.alias("k")).count().orderBy(F.desc("k")).collect():
+            room -= row["count"]
+            if room < 0:
+                break
+            least = row["k"]
+        if least is None:
+            return np.zeros(0, np.uint64)
+        top = counts.where(step >= least).toPandas().sort_values(["c", "h"])
+        return top["h"].to_numpy(np.int64).copy().view(np.uint64)
 
     def _ordered(self, s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarray:
         """The set in the global order; heavy is sorted, rank its place by repetition."""
@@ -123,42 +137,43 @@ class JaccardJoin:
                     yield _rows(h=np.concatenate(hs).view(np.int64), node=np.concatenate(nodes), n=np.concatenate(ns).astype(np.int32))
         return arrow_map(docs.select("doc_id", "text"), run, "h long, node long, n int")
 
-    def segments(self, docs: DataFrame) -> DataFrame:
-        """(node, n, fragment, toks): each set cut along the global order; fragment -1 holds the parity bitmap.
+    def segments(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+        """(node, fragment, toks): the sets of the documents in ``wanted`` (doc_id), cut along the global order.
 
         Segments follow the hash order: a fragment is a range of hashes, so the partial overlaps of a pair in
-        all fragments add up to its whole overlap."""
+        all fragments add up to its whole overlap.  Texts are not shuffled: tasks skip the documents that a bitmap
+        of the wanted ids (``FILTER_BITS`` at most) rules out; sets that pass by chance join with nothing later."""
+        bits = 1 << min(FILTER_BITS.bit_length() - 1, max(16, (16 * wanted.count()).bit_length()))
+        slot = F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("slot")
+        held = np.zeros(bits // 8, np.uint8)
+        for row in (wanted.select(slot).groupBy(F.bitmap_bucket_number(F.col("slot") + 1).alias("k"))
+                    .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot") + 1)).alias("m")).collect()):
+            at = (row["k"] - 1) * 4096
+            part = np.frombuffer(bytes(row["m"]), np.uint8)
+            held[at : at + 4096] |= part[: max(0, len(held) - at)]
+        table = docs.sparkSession.sparkContext.broadcast(held)
         f = self.fragments
 
         def run(batches):
             for b in batches:
-                node, n, frag, lens, toks, size = [], [], [], [], [], 0
-
-                def out():
-                    flat = np.concatenate(toks)
-                    offs = np.concatenate(([0], np.cumsum(lens))).astype(np.int32)
-                    return pa.RecordBatch.from_arrays(
-                        [pa.array(np.array(node, np.int64)), pa.array(np.array(n, np.int32)), pa.array(np.array(frag, np.int32)),
-                         pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], names=["node", "n", "fragment", "toks"])
+                at = b.column(2).to_numpy()
+                b = b.filter(pa.array((table.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+                node, frag, toks, size = [], [], [], 0
                 for _, s in self._sets(b):
                     if not len(s):
                         continue
                     cut = np.searchsorted(s >> np.uint64(32), np.arange(f + 1, dtype=np.uint64) * np.uint64(2**32) // np.uint64(f))
                     cut[-1] = len(s)
                     sig, v = _signature(s), s.view(np.int64)
-                    for k in range(f):
-                        if cut[k + 1] > cut[k]:
-                            node.append(sig), n.append(len(s)), frag.append(k), lens.append(int(cut[k + 1] - cut[k]))
-                            toks.append(v[cut[k] : cut[k + 1]])
-                    bits = _bitmap(s)
-                    node.append(sig), n.append(len(s)), frag.append(-1), lens.append(len(bits)), toks.append(bits)
+                    for k in np.flatnonzero(np.diff(cut)).tolist():
+                        node.append(sig), frag.append(k), toks.append(v[cut[k] : cut[k + 1]])
                     size += len(s)
                     if size > 1 << 17:
-                        yield out()
-                        node, n, frag, lens, toks, size = [], [], [], [], [], 0
+                        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(frag, pa.int32()), _lists(toks)], names=["node", "fragment", "toks"])
+                        node, frag, toks, size = [], [], [], 0
                 if node:
-                    yield out()
-        return arrow_map(docs.select("doc_id", "text"), run, "node long, n int, fragment int, toks array<long>")
+                    yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(frag, pa.int32()), _lists(toks)], names=["node", "fragment", "toks"])
+        return arrow_map(docs.select("doc_id", "text", slot), run, "node long, fragment int, toks array<long>")
 
     # -- candidates -----------------------------------------------------------------------------------------
     def buckets(self, prefixes: DataFrame) -> DataFrame:
@@ -190,32 +205,60 @@ class JaccardJoin:
         return F.least(a, b) * self.den >= F.greatest(a, b) * self.num
 
     def stars(self, buckets: DataFrame) -> DataFrame:
-        """(a, b, na, nb): each bucket's best-connected node against its other nodes."""
+        """(a, b, na, nb): each bucket's best-connected node against its other nodes, whatever their sizes."""
         degree = buckets.groupBy("node").agg(F.count("*").alias("d"))
         hub = (buckets.join(degree, "node").groupBy("h")
                .agg(F.max(F.struct("d", "node", "n")).alias("hub"))
                .select("h", F.col("hub.node").alias("a"), F.col("hub.n").alias("na")))
         return (buckets.join(hub, "h").select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb"))
-                .where("a <> b").where(self._similar_sizes()).distinct())
+                .where("a <> b").distinct())
 
-    def verified(self, pairs: DataFrame, segments: DataFrame) -> DataFrame:
-        """Pairs (a, b, na, nb) whose sets are similar enough; overlaps are counted per fragment and summed."""
-        cut = segments.where("fragment >= 0").select("node", "fragment", "toks")
+    def possible(self, pairs: DataFrame, maps: DataFrame) -> DataFrame:
+        """Pairs (a, b, na, nb) whose bitmaps allow the similarity.  maps: (node, bits)."""
+        num, den = self.num, self.den
+
+        def run(batches):
+            for t in batches:
+                na, nb = t.column(2).to_numpy().astype(np.int64), t.column(3).to_numpy().astype(np.int64)
+                sizes, classes = [], []
+                for c in (4, 5):
+                    lens, flat, at = _unlisted(t.column(c))
+                    sizes.append(lens)
+                    classes.append((flat, at))
+                ok = np.zeros(t.num_rows, bool)
+                for wa, wb in {*zip(*(x.tolist() for x in sizes), strict=True)}:
+                    rows = np.flatnonzero((sizes[0] == wa) & (sizes[1] == wb))
+                    ma, mb = (_fold(flat[ranges(at[rows], lens[rows])].reshape(len(rows), w), min(wa, wb))
+                              for (flat, at), lens, w in zip(classes, sizes, (wa, wb), strict=True))
+                    differ = np.bitwise_count((ma ^ mb).view(np.uint64)).sum(1)
+                    ok[rows] = differ * (num + den) <= (den - num) * (na[rows] + nb[rows])
+                yield pa.RecordBatch.from_arrays([t.column(i).filter(pa.array(ok)) for i in range(4)], names=["a", "b", "na", "nb"])
+        both = (pairs.join(maps.toDF("a", "bits_a"), "a").join(maps.toDF("b", "bits_b"), "b")
+                .select("a", "b", "na", "nb", "bits_a", "bits_b"))
+        return arrow_map(both, run, "a long, b long, na int, nb int").distinct()
+
+    def verified(self, pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+        """Pairs (a, b, na, nb) whose sets are similar enough; overlaps are counted per fragment and summed.
+        reps: (node, rep), the document whose text stands for a node."""
+        pool = pairs.select("a").union(pairs.select("b")).distinct().toDF("node").join(reps, "node")
+        cut = stored(self.segments(docs, pool.select(F.col("rep").alias("doc_id"))), "segments")
         left = cut.select(F.col("node").alias("a"), "fragment", F.col("toks").alias("ta"))
         right = cut.select(F.col("node").alias("b"), "fragment", F.col("toks").alias("tb"))
         parts = (pairs.join(left, "a").join(right, ["b", "fragment"])
-                 .select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("part")))
-        return (parts.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("overlap"))
+                 .select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("ta", "tb")).alias("part")))
+        # a repeated row of a document repeats its segments, hence the maximum
+        return (parts.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("part").alias("part"))
+                .groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("overlap"))
                 .where((F.col("overlap") * self.den) >= self.num * (F.col("na") + F.col("nb") - F.col("overlap"))))
 
-    def rest(self, buckets: DataFrame, found: DataFrame, segments: DataFrame) -> DataFrame:
-        """(a, b, na, nb): pairs of different components that share a bucket, have similar sizes and whose bitmaps
-        allow the similarity.  found: (node, component)."""
-        held = (buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
-        # the star already compared its hub with every other node: buckets of two, or of one component, are done
+    def rest(self, stars: DataFrame, found: DataFrame, maps: DataFrame) -> DataFrame:
+        """(a, b, na, nb): pairs of different components around the same centre, of similar sizes, whose bitmaps allow
+        the similarity.  Nodes that share a bucket share its centre.  found: (node, component)."""
+        held = (stars.select(F.col("a").alias("h"), F.col("b").alias("node"), F.col("nb").alias("n"))
+                .join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        # the centre itself was compared with all; centres whose other nodes form one component are done
         open_ = (held.groupBy("h").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-                 .where("c > 2 and lo <> hi").withColumn("k", F.ceil(F.col("c") / F.lit(self.block)).cast("int")).select("h", "k"))
-        maps = segments.where("fragment = -1").select("node", F.col("toks").alias("bits"))
+                 .where("lo <> hi").withColumn("k", F.ceil(F.col("c") / F.lit(self.block)).cast("int")).select("h", "k"))
         mine = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
         rows = (held.join(open_, "h").withColumn("own", mine)
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
@@ -248,18 +291,19 @@ class JaccardJoin:
         between nodes.
 
         component_id is the least doc_id reachable by links.  A null or wordless text has n_shingles 0 and is its
-        own component; a null doc_id never becomes a component_id unless its whole component has none; rows that
-        share a doc_id are grouped each by its own text.  Columns other than doc_id and text are not read."""
+        own component; a row without doc_id is grouped with equal texts only; rows that share a doc_id are grouped
+        each by its own text.  Columns other than doc_id and text are not read."""
         members = stored(self.members(docs), "members")
         prefixes = self.prefixes(docs, self.repeated(docs))
         buckets = stored(self.buckets(prefixes), "buckets")
         reps = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
-        pool = buckets.select("node").distinct().join(reps, "node").select(F.col("rep").alias("doc_id"))
-        segments = stored(self.segments(docs.select("doc_id", "text").join(pool, "doc_id", "left_semi"))
-                          .dropDuplicates(["node", "fragment"]), "segments")
-        links = stored(self.verified(self.stars(buckets), segments), "stars")
+        pool = stored(buckets.select("node").distinct().join(reps, "node"), "pool")
+        maps = stored(members.join(pool, "node").where(F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "bits"), "maps")
+        stars = stored(self.stars(buckets), "stars")
+        near = self.possible(stars.where(self._similar_sizes()), maps)
+        links = stored(self.verified(stored(near, "star-pairs"), docs, pool), "star-links")
         found = components(links.select("a", "b"))
-        more = self.verified(stored(self.rest(buckets, found, segments), "rest"), segments)
+        more = self.verified(stored(self.rest(stars, found, maps), "rest-pairs"), docs, pool)
         links = stored(links.union(more), "links")
         found = components(links.select("a", "b"))
         named = (reps.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
@@ -279,9 +323,22 @@ def _rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
 
 
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    offs = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate([np.zeros(0, np.int64), *values])))
+
+
+def _unlisted(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths, flat values and starts of a list column without nulls."""
+    offs = column.offsets.to_numpy().astype(np.int64)
+    return np.diff(offs), column.values.to_numpy(), offs[:-1]
+
+
 def _bitmap(s: np.ndarray) -> np.ndarray:
     """Parity bitmap of at least 2 bits a member, 64 times a power of two bits; larger ones fold to smaller ones by
     XOR of their halves."""
+    if not len(s):
+        return np.zeros(0, np.int64)
     words = 1 << max(0, int(2 * len(s) - 1).bit_length() - 6)
     bit = np.bincount((mix(s) & np.uint64(words * 64 - 1)).astype(np.int64), minlength=words * 64) & 1
     return np.packbits(bit.astype(np.uint8), bitorder="little").view(np.int64)
@@ -296,13 +353,11 @@ def _fold(bits: np.ndarray, words: int) -> np.ndarray:
 
 def _across(parts, num: int, den: int):
     """Pairs of one block that come from different components and may be similar."""
-    t = pa.concat_tables(parts)
+    t = pa.concat_tables(parts).combine_chunks()
     own, i, j = (t.column(c).to_numpy() for c in ("own", "i", "j"))
     node, n, comp = t.column("node").to_numpy(), t.column("n").to_numpy(), t.column("component").to_numpy()
-    bits = t.column("bits").combine_chunks()
-    lens = np.diff(bits.offsets.to_numpy())
-    flat = bits.values.to_numpy()[bits.offsets[0].as_py():]
-    at = np.concatenate(([0], np.cumsum(lens)))
+    bits = t.column("bits")
+    lens, flat, at = _unlisted(pa.concat_arrays(bits.chunks) if isinstance(bits, pa.ChunkedArray) else bits)
     order = np.argsort(n, kind="stable")
     classes = [(w, order[lens[order] == w]) for w in np.unique(lens)]
     maps = {w: flat[ranges(at[rows], lens[rows])].reshape(len(rows), w) for w, rows in classes}
