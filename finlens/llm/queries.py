@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finlens.llm import bpe
 from finlens.llm.ngram_join import jaccard_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +21,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file() -> str:
+    """Where the public vocabulary files are; the folder can be named in FINLENS_TOKENIZERS."""
+    folder, name = os.environ.get("FINLENS_TOKENIZERS"), "byte_bpe_50k.json"
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -46,3 +57,8 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 JOIN (SELECT node, min(root) AS component_id FROM r GROUP BY node) m ON m.node = d.doc_id""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), width=5, num=80, den=100)
+
+
+@register("op5_bpe_encode_decode")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_table(spark, sf_dir, "documents"), tokenizer_file())
