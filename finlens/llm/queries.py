@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlens.llm import bpe
+from finlens.llm.chat import format_chats, read_chats
+from finlens.llm.classify import remainder
+from finlens.llm.decontaminate import Decontaminator
+from finlens.llm.langid import RankProfiles
 from finlens.llm.ngram_join import jaccard_groups
+from finlens.llm.quality import NbSvm
+from finlens.llm.toxicity import OrdinalToxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -62,3 +68,86 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_bpe_encode_decode")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {ASCII_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+# One more conversation, whose texts hold control strings (fixed by the query's contract).
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@register("op2_chat_formatting", f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{CONTROL_TEXT}'), (-7, 1, 'assistant', '{CONTROL_TEXT}')),
+e AS (
+  SELECT *, row_number() OVER w AS k, lag(role) OVER w AS prev,
+         length(regexp_replace(text, '([<\\[])(\\\\*)(\\||/?s>|/?INST\\]|/?SYS>)', '\\1\\\\\\2\\3', 'g')) AS body,
+         length(regexp_replace(role, '([<\\[])(\\\\*)(\\||/?s>|/?INST\\]|/?SYS>)', '\\1\\\\\\2\\3', 'g')) AS name
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY k), '')) AS loss_sha256,
+       CAST(sum(body + CASE WHEN prev = role THEN 7 WHEN k = 1 THEN 16 + name ELSE 23 + name END) + 7 AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{CONTROL_TEXT}'), (-7L, 1L, 'assistant', '{CONTROL_TEXT}') AS t(conv_id, turn, role, text)")
+    read = read_chats(format_chats(rows.union(own)))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.encode(F.array_join(lines, ""), "UTF-8"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.encode("loss_text", "UTF-8"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@register("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    engine = RankProfiles()
+    profiles = engine.learn(docs.where(~held_out))
+    return engine.predict(docs, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register("op6_benchmark_decontamination", f"""
+WITH iw AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS l, unnest(CASE
+      WHEN len(w) >= 10 THEN list_transform(range(1, len(w) - 8), lambda i: array_to_string(w[i:i+9], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM iw),
+dw AS (SELECT doc_id, {WORDS} AS w FROM documents),
+lens AS (SELECT DISTINCT l FROM win),
+dg AS (
+  SELECT doc_id, l, i, array_to_string(w[i:i+l-1], ' ') AS g
+  FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM dw, lens WHERE len(w) >= l)),
+hit AS (SELECT DISTINCT doc_id, dg.l, i, item_id FROM dg JOIN win ON dg.l = win.l AND dg.g = win.g),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM hit) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(s, ',' ORDER BY s)) AS h
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+SELECT dw.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos ON pos.doc_id = dw.doc_id LEFT JOIN it ON it.doc_id = dw.doc_id""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = Decontaminator(window=10).scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    held_out = remainder("doc_id", 5) == 0
+    engine = NbSvm()
+    model = engine.fit(docs, labels.where(~held_out), "quality")
+    return engine.predict(docs, model, 0.3).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@register("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    held_out = remainder("doc_id", 5) == 0
+    engine = OrdinalToxicity()
+    model = engine.fit(docs, labels.where(~held_out), "toxic")
+    return engine.predict(docs, model, 0.5).select("doc_id", held_out.alias("held_out"), "toxicity", "severity", "grade", "toxic")
