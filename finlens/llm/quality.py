@@ -1,6 +1,7 @@
 """Quality classifier: a linear support vector machine on n-gram indicators scaled by Naive Bayes log-count ratios.
 
-Indicators of character n-grams (hashed bytes, 2 to 4, as written) are scaled by the log ratio of their counts in
+Indicators of character n-grams (hashed bytes, 2 to 4, as written) and of how many word pairs are one word twice
+are scaled by the log ratio of their counts in
 the two classes; a hinge-loss model is fitted to them by dual coordinate descent and its margin turned into a
 probability on rows kept out of the fit.  The model is fitted on a bounded sample of labelled rows (``train_rows``,
 about as many of either label as there are, at most); every text is scored whole.
@@ -16,9 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlens.llm.classify import bounded_sample
-from finlens.llm.kit import arrow_map, mix, text_slices
+from finlens.llm.kit import NOT_SPACE, arrow_map, byte_words, mix, text_slices
 
 _ORDERS = (2, 3, 4)
+_TWICE = (1e-9, 0.01, 0.03, 0.1, 0.3, 0.6)  # shares of word pairs that are one word twice, an indicator each
 SLICE = 1 << 19
 
 
@@ -46,6 +48,13 @@ def _features(data: np.ndarray, offs: np.ndarray, bits: int) -> list[np.ndarray]
     for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
         v = np.sort(np.concatenate([c[a : max(a, b - k + 1)] for k, c in zip(_ORDERS, codes, strict=True)]))
         out.append(v[np.concatenate(([True], v[1:] != v[:-1]))] if len(v) else v)
+    _, _, words, first = byte_words(data, offs, NOT_SPACE)
+    same = np.concatenate(([0], np.cumsum(words[1:] == words[:-1]))) if len(words) else np.zeros(1, np.int64)
+    for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
+        if b - a > 1:
+            level = int(np.searchsorted(_TWICE, (same[b - 1] - same[a]) / (b - a - 1), side="right"))
+            if level:
+                out[i] = np.append(out[i], np.arange(1 << bits, (1 << bits) + level, dtype=np.int32))
     return out
 
 
@@ -76,7 +85,7 @@ class NbSvm:
         return self._fitted([x[i] for i in order], np.array([y[i] for i in order], np.int64))
 
     def _fitted(self, x: list[np.ndarray], y: np.ndarray) -> Model:
-        size = 1 << self.bits
+        size = (1 << self.bits) + len(_TWICE)
         if not (y == 0).any() or not (y == 1).any():
             # one label only, or none: nothing separates the texts
             return Model(np.zeros(size), 0.0, 0.0, 30.0 if (y == 1).any() else -30.0 if len(y) else 0.0)

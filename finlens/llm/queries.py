@@ -12,10 +12,14 @@ from finlens.llm import bpe
 from finlens.llm.chat import format_chats, read_chats
 from finlens.llm.classify import remainder
 from finlens.llm.decontaminate import Decontaminator
+from finlens.llm.html_text import extract
+from finlens.llm.kit import scratch
 from finlens.llm.langid import RankProfiles
 from finlens.llm.ngram_join import jaccard_groups
 from finlens.llm.quality import NbSvm
 from finlens.llm.toxicity import OrdinalToxicity
+from finlens.llm.vectors import VectorLinks
+from finlens.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -150,4 +154,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder("doc_id", 5) == 0
     engine = OrdinalToxicity()
     model = engine.fit(docs, labels.where(~held_out), "toxic")
-    return engine.predict(docs, model, 0.5).select("doc_id", held_out.alias("held_out"), "toxicity", "severity", "grade", "toxic")
+    return engine.predict(docs, model, 0.7).select("doc_id", held_out.alias("held_out"), "toxicity", "severity", "grade", "toxic")
+
+
+@register("op4_embedding_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return VectorLinks(cosine=0.9).links(_table(spark, sf_dir, "embeddings"))
+
+
+@register("op8_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keep FROM p)
+SELECT page_id, octet_length(encode(t)) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((CAST('0x' || substr(h, CAST(1 + 5 * (k // 4) AS INTEGER), 5) AS BIGINT) >> CAST(5 * (3 - k % 4) AS INTEGER)) & 31 AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+       CAST(CASE WHEN page_id = keep THEN NULL ELSE keep END AS BIGINT) AS refers_to
+FROM r""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    folder = scratch(spark, "warc")
+    manifest = write_archives(pages, folder)
+    return read_archives(manifest, folder, id_type=dict(pages.dtypes)["page_id"]).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op7_html_extraction")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract(_table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))

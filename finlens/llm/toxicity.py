@@ -1,9 +1,10 @@
 """Toxicity: cumulative-link ordinal regression of a severity grade on sparse word features.
 
 P(grade <= k) is a logistic function of ``threshold[k] - w . x``: one weight vector shared by all ordered
-thresholds.  Words that stand out in the toxic training texts (chi-square, from a bounded sample of labelled rows)
-are the features, log-scaled counts their values.  Labels say toxic or not; grades of the toxic rows, where the
-labels give none, are the thirds of the share of such words.  Every text is scored whole.
+thresholds.  Features are the words and word beginnings that stand out in the toxic training texts (chi-square,
+from a bounded sample of labelled rows), each with two values: its log-scaled count, and its log-scaled count per
+thousand words.  Labels say toxic or not; grades of the toxic rows, where the labels give none, are the thirds of the
+share of such words.  Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -16,57 +17,77 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlens.llm.classify import bounded_sample
-from finlens.llm.kit import ALNUM, arrow_map, byte_words, text_slices
+from finlens.llm.kit import _BYTE_KEY, ALNUM, arrow_map, byte_words, mix, ranges, span_hashes, text_slices
+
+SLICE = 1 << 19
 
 
 @dataclass(frozen=True)
 class Model:
-    words: np.ndarray       # sorted hashes of the feature words
-    weights: np.ndarray
+    words: np.ndarray       # sorted hashes of the features
+    weights: np.ndarray     # 2 x features: of the counts, of the counts per thousand words
     thresholds: np.ndarray  # ascending, one less than grades
 
-    def at_least(self, x: np.ndarray) -> np.ndarray:
-        """P(grade > k) for each threshold k; x: rows of feature values."""
-        return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - (x @ self.weights)[:, None], -30, 30)))
+
+BEGINNINGS = (5, 6, 7)  # bytes of a word beginning
+
+
+def _features(data, offs):
+    """Feature hashes of a slice's words, the text that each stands in, and the number of words of each text."""
+    starts, ends, hashes, first = byte_words(data, offs, ALNUM)
+    doc = np.repeat(np.arange(len(offs) - 1), np.diff(first))
+    low = np.where((data >= 65) & (data <= 90), data + 32, data)
+    all_, of = [hashes], [doc]
+    for k in BEGINNINGS:
+        long = np.flatnonzero(ends - starts >= k)
+        n = np.full(len(long), k)
+        all_.append(mix(span_hashes(_BYTE_KEY[low[ranges(starts[long], n)]], n) + np.uint64(k)))
+        of.append(doc[long])
+    return np.concatenate(all_), np.concatenate(of), np.diff(first)
 
 
 def _counts(data, offs):
-    """Of each text: distinct word hashes and their counts."""
-    _, _, hashes, first = byte_words(data, offs, ALNUM)
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        yield np.unique(hashes[a:b], return_counts=True)
+    """Of each text: distinct feature hashes, their counts, and the number of words."""
+    hashes, doc, n = _features(data, offs)
+    order = np.argsort(doc, kind="stable")
+    hashes, cut = hashes[order], np.searchsorted(doc[order], np.arange(len(offs)))
+    for i, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+        yield *np.unique(hashes[a:b], return_counts=True), int(n[i])
 
 
 @dataclass(frozen=True)
 class OrdinalToxicity:
-    train_rows: int = 4000   # of each side, about; never over twice as many
-    least_docs: int = 5      # toxic training texts that a feature word must stand in
+    train_rows: int = 2000   # of each side, about; never over twice as many
+    least_docs: int = 3      # toxic training texts that a feature word must stand in,
+    least_share: float = 0.01  # and the share of them
     chi_square: float = 30.0
-    most_words: int = 2000
+    most_words: int = 300
     grades: int = 3          # of toxic rows, where the labels give none
-    penalty: float = 1e-3
-    rounds: int = 400
+    penalty: float = 3e-4
+    rounds: int = 800
 
     def fit(self, docs: DataFrame, labels: DataFrame, grade: str = "toxic") -> Model:
         """labels: (doc_id, grade), grades from 0; null grades and unknown ids teach nothing."""
         def run(batches):
             for b in batches:
-                words, counts = [], []
-                for _, _, d, o in text_slices(b.column(1)):
-                    for v, c in _counts(d, o):
-                        words.append(v.tobytes()), counts.append(c.astype("<i4").tobytes())
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.binary()), pa.array(counts, pa.binary())], names=["grade", "words", "counts"])
+                words, counts, sizes = [], [], []
+                for _, _, d, o in text_slices(b.column(1), SLICE):
+                    for v, c, n in _counts(d, o):
+                        words.append(v.tobytes()), counts.append(c.astype("<i4").tobytes()), sizes.append(n)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.binary()), pa.array(counts, pa.binary()), pa.array(sizes, pa.int64())],
+                                                 names=["grade", "words", "counts", "size"])
         known = labels.where(F.col(grade) >= 0).select("doc_id", F.col(grade).cast("int").alias("grade"))
         picked = [bounded_sample(known.where(side), self.train_rows, "doc_id") for side in ("grade = 0", "grade > 0")]
         few = F.broadcast(picked[0].union(picked[1]))  # 4 * train_rows rows at most
         rows = arrow_map(docs.select("doc_id", "text").join(few, "doc_id").select("grade", "text"), run,
-                         "grade int, words binary, counts binary").toPandas().sort_values(["grade", "words", "counts"])
+                         "grade int, words binary, counts binary, size long").toPandas().sort_values(["grade", "words", "counts"])
+        rows = rows.drop_duplicates(["grade", "words"])  # copies of a text are one witness
         return self._fitted([np.frombuffer(w, np.uint64) for w in rows["words"]],
-                            [np.frombuffer(c, "<i4") for c in rows["counts"]], rows["grade"].to_numpy())
+                            [np.frombuffer(c, "<i4") for c in rows["counts"]], rows["size"].to_numpy(), rows["grade"].to_numpy())
 
-    def _fitted(self, words: list[np.ndarray], counts: list[np.ndarray], y: np.ndarray) -> Model:
+    def _fitted(self, words: list[np.ndarray], counts: list[np.ndarray], sizes: np.ndarray, y: np.ndarray) -> Model:
         toxic = y > 0
-        none = Model(np.zeros(0, np.uint64), np.zeros(0), np.array([20.0]))
+        none = Model(np.zeros(0, np.uint64), np.zeros((2, 0)), np.array([20.0]))
         if not toxic.any() or toxic.all():
             return none
         flat = np.concatenate(words)
@@ -77,15 +98,20 @@ class OrdinalToxicity:
         n1, n0 = float(toxic.sum()), float((~toxic).sum())
         c, d = n1 - a, n0 - b
         chi = (n1 + n0) * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * n1 * n0, 1e-9)
-        good = (a >= self.least_docs) & (chi >= self.chi_square) & (a / n1 > b / n0)
+        good = (a >= max(self.least_docs, self.least_share * n1)) & (chi >= self.chi_square) & (a / n1 > b / n0)
+        # features that stand in the very same texts are one: the strongest of them, then the first by hash
+        text = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        alike = np.bincount(at, np.random.default_rng(0).random(len(words))[text], len(v))
         best = np.flatnonzero(good)
-        best = np.sort(best[np.lexsort((v[best], -chi[best]))][: self.most_words])
+        best = best[np.lexsort((v[best], -chi[best]))]
+        best = np.sort(best[np.sort(np.unique(alike[best].round(9), return_index=True)[1])][: self.most_words])
         if not len(best):
             return none
         kept = v[best]
-        x = np.stack([_values(kept, w, k) for w, k in zip(words, counts, strict=True)])
+        n = np.stack([_values(kept, w, k) for w, k in zip(words, counts, strict=True)])
+        x = np.concatenate((np.log1p(n), np.log1p(1000 * n / np.maximum(sizes, 1)[:, None])), 1)
         if y.max() == 1 and self.grades > 1:
-            share = np.array([c[np.isin(w, kept, assume_unique=True)].sum() / max(c.sum(), 1) for w, c in zip(words, counts, strict=True)])
+            share = n.sum(1) / np.maximum(sizes, 1)
             cuts = np.quantile(share[toxic], np.arange(1, self.grades) / self.grades)
             y = np.where(toxic, 1 + np.searchsorted(cuts, share, side="left"), 0)
         return self._ordinal(kept, x, y)
@@ -116,9 +142,9 @@ class OrdinalToxicity:
                 grad[f + k] = -(up - down).mean() * gaps[k - 1]
             m, s = 0.9 * m + 0.1 * grad, 0.999 * s + 0.001 * grad**2
             p = p - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-8)
-        return Model(kept, p[:f], p[f] + np.concatenate(([0.0], np.cumsum(np.exp(p[f + 1 :])))))
+        return Model(kept, p[:f].reshape(2, -1), p[f] + np.concatenate(([0.0], np.cumsum(np.exp(p[f + 1 :])))))
 
-    def predict(self, docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    def predict(self, docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
         """All columns of docs with toxicity (P(grade > 0)), severity (expected grade), grade (the most thresholds passed
         with even odds) and toxic (toxicity >= threshold).  A null or wordless text has no features.  New columns
         replace old ones of these names."""
@@ -132,14 +158,17 @@ class OrdinalToxicity:
             m = table.value
             for b in batches:
                 line = []
-                for _, _, data, offs in text_slices(b.column(where)):
-                    _, _, hashes, first = byte_words(data, offs, ALNUM)
-                    at = np.searchsorted(m.words, hashes)
-                    hit = np.flatnonzero(m.words[np.minimum(at, len(m.words) - 1)] == hashes) if len(m.words) else np.zeros(0, np.int64)
-                    doc = np.searchsorted(first, hit, side="right") - 1
-                    pair, n = np.unique(doc * max(len(m.words), 1) + at[hit], return_counts=True)
+                for _, _, data, offs in text_slices(b.column(where), SLICE):
+                    hashes, doc, sizes = _features(data, offs)
                     k = max(len(m.words), 1)
-                    line.append(np.bincount(pair // k, np.log1p(n) * m.weights[pair % k], len(offs) - 1) if len(pair) else np.zeros(len(offs) - 1))
+                    at = np.searchsorted(m.words, hashes)
+                    hit = np.flatnonzero(m.words[np.minimum(at, k - 1)] == hashes) if len(m.words) else np.zeros(0, np.int64)
+                    pair, n = np.unique(doc[hit] * k + at[hit], return_counts=True)
+                    each, word = pair // k, pair % k
+                    gain = np.zeros(0)
+                    if len(pair):
+                        gain = np.log1p(n) * m.weights[0][word] + np.log1p(1000 * n / sizes[each]) * m.weights[1][word]
+                    line.append(np.bincount(each, gain, len(offs) - 1))
                 s = np.concatenate([np.zeros(0), *line])
                 over = 1 / (1 + np.exp(np.clip(m.thresholds[None, :] - s[:, None], -30, 30)))
                 cols = [pa.array(over[:, 0]), pa.array(over.sum(1)), pa.array((over >= 0.5).sum(1).astype(np.int32))]
@@ -154,5 +183,5 @@ def _values(kept: np.ndarray, words: np.ndarray, counts: np.ndarray) -> np.ndarr
     out = np.zeros(len(kept))
     at = np.minimum(np.searchsorted(kept, words), len(kept) - 1)
     hit = kept[at] == words
-    out[at[hit]] = np.log1p(counts[hit])
+    out[at[hit]] = counts[hit]
     return out
