@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding through a table of distinct words.
 
 Texts are cut into the tokenizer's words by vectorised rules.  Blocks of documents (a bounded number of text bytes
-each) send every distinct word once; equal words meet in one Spark partition and are encoded once; the ids go back
-to the blocks by the word's position in the block's word list, where documents are put together.  What moves is
-the compressed text and the blocks' distinct words, never a row per word of the corpus.
+each) list their distinct words in order of their hashes and send them cut by ranges of the hash; equal words meet in
+one range, where each is encoded once; the ids go back to the blocks by the word's position in the block's list,
+where documents are put together.  What moves is the compressed text and the blocks' distinct words, packed,
+never a row per word of the corpus.
 Decoding joins ids to the pieces of the vocabulary, whose size bounds what is broadcast.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 
 from finlens.llm.kit import _BYTE_KEY, arrow_map, ranges, span_hashes, text_slices
 
-BLOCK_BYTES = 24 << 20   # text of a block
+BLOCK_BYTES = 12 << 20   # text of a block
+RANGES_EACH = 4          # hash ranges for each shuffle partition
 SPECIAL = "<|endoftext|>"  # fixed value: the vocabulary's one added token
 OTHER, LETTER, NUMBER, SPACE, MARK, MARK_REST = range(6)
 # Unicode white space, and the endings split off after an apostrophe.
@@ -117,18 +120,20 @@ def _blocks(batches, limit: int):
 
 
 def _words(table: pa.Table, kinds: np.ndarray):
-    """Of a block: its key, first bytes and lengths of its distinct words in order of their hashes (with the bytes
-    they point into), the distinct word of each word, and the number of words of each text."""
-    texts = table.column(1).combine_chunks()
-    parts = [(d, *word_starts(d, o, kinds)) for _, _, d, o in text_slices(texts)]
-    data = np.concatenate([p[0] for p in parts])
-    begin = np.cumsum([0, *(len(p[0]) for p in parts)])
-    starts = np.concatenate([p[1] + b for p, b in zip(parts, begin, strict=False)])
-    counts = np.concatenate([np.diff(p[2]) for p in parts])
-    lens = np.diff(np.append(starts, len(data)))
-    hashes = np.concatenate([span_hashes(_BYTE_KEY[p[0]], np.diff(np.append(p[1], len(p[0])))) for p in parts])
-    _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-    return _key(table), data, starts[at], lens[at], which, counts
+    """Of a block: its key, its bytes, the hashes, first bytes and lengths of its distinct words in order of their
+    hashes, the distinct word of each word, and the number of words of each text."""
+    data, starts, hashes, counts, base = [], [], [], [], 0
+    for _, _, d, o in text_slices(table.column(1).combine_chunks()):
+        at, first = word_starts(d, o, kinds)
+        hashes.append(span_hashes(_BYTE_KEY[d], np.diff(np.append(at, len(d)))))
+        starts.append((at + base).astype(np.int32))
+        counts.append(np.diff(first))
+        data.append(d)
+        base += len(d)
+    data, starts, counts = np.concatenate(data), np.concatenate(starts), np.concatenate(counts)
+    known, at, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    ends = np.append(starts[1:], np.int32(len(data)))
+    return _key(table), data, known, starts[at], (ends - starts)[at], which.astype(np.int32), counts
 
 
 def encode(docs: DataFrame, tokenizer_file: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -142,46 +147,49 @@ def encode(docs: DataFrame, tokenizer_file: str, block_bytes: int = BLOCK_BYTES)
     vocabulary = docs.sparkSession.sparkContext.broadcast(definition)
     table = docs.sparkSession.sparkContext.broadcast(classes(definition))
 
+    n_ranges = RANGES_EACH * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def words(batches):
         for t in _blocks(batches, block_bytes):
-            key, data, starts, lens, _, _ = _words(t, table.value)
-            for lo in range(0, len(starts), 1 << 16):
-                s, n = starts[lo : lo + (1 << 16)], lens[lo : lo + (1 << 16)]
-                offs = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
-                word = pa.BinaryArray.from_buffers(pa.binary(), len(s), [None, pa.py_buffer(offs), pa.py_buffer(data[ranges(s, n)])])
-                yield pa.RecordBatch.from_arrays([word, pa.array(np.full(len(s), key)), pa.array(np.arange(lo, lo + len(s), dtype=np.int32))],
-                                                 names=["word", "block", "place"])
+            key, data, known, starts, lens, _, _ = _words(t, table.value)
+            # range of a hash: its upper 32 bits times the number of ranges, over 2^32
+            part = ((known >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int64)
+            cut = np.searchsorted(part, np.arange(n_ranges + 1))
+            some = np.flatnonzero(np.diff(cut))
+            bodies = []
+            for k in some.tolist():
+                s, n = starts[cut[k] : cut[k + 1]].astype(np.int64), lens[cut[k] : cut[k + 1]].astype(np.int64)
+                bodies.append(zlib.compress(np.int32(len(n)).tobytes() + n.astype("<i4").tobytes() + data[ranges(s, n)].tobytes(), 3))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some.astype(np.int32)), pa.array(np.full(len(some), key)), pa.array(cut[some].astype(np.int32)), pa.array(bodies, pa.binary())],
+                names=["part", "block", "place", "body"])
 
     def ids(batches):
         tokenizer = _tokenizer(vocabulary.value)
-        last, last_ids, held, size = None, b"", {}, 0
-
-        def out():
-            rows = [(k, b"".join(x)) for k, x in held.items()]
-            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array(np.zeros(len(rows), np.int32)),
-                                               pa.array([x for _, x in rows], pa.binary())], names=["block", "kind", "body"])
+        now, code_of = None, {}
         for b in batches:
-            word, block, place = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_numpy()
-            new = list(dict.fromkeys(w for w in word if w != last))
-            code_of = dict(zip(new, (np.array(e.ids, "<i4").tobytes() for e in tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)), strict=True))
-            code_of[last] = last_ids
-            for w, k, p in zip(word, block, place, strict=True):
-                code = code_of[w]
-                held.setdefault(k, []).append(np.array([p, len(code) // 4], "<i4").tobytes() + code)
-                size += len(code) + 8
-            last, last_ids = word[-1], code_of[word[-1]]
-            if size > 16 << 20:
-                yield out()
-                held, size = {}, 0
-        if held:
-            yield out()
+            out = []
+            for part, place, body in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                if part != now:
+                    now, code_of = part, {}
+                raw = zlib.decompress(body)
+                n = int(np.frombuffer(raw, "<i4", 1)[0])
+                ends = np.cumsum(np.frombuffer(raw, "<i4", n, 4), dtype=np.int64) + 4 + 4 * n
+                list_ = [raw[x:y] for x, y in zip([4 + 4 * n, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+                new = [w for w in list_ if w not in code_of]
+                for w, e in zip(new, tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False), strict=True):
+                    code_of[w] = np.array(e.ids, "<u4").tobytes()
+                codes = [code_of[w] for w in list_]
+                sizes = np.array([len(c) // 4 for c in codes], "<i4")
+                out.append(zlib.compress(np.array([place, n], "<i4").tobytes() + sizes.tobytes() + b"".join(codes), 3))
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(np.zeros(b.num_rows, np.int32)), pa.array(out, pa.binary())], names=["block", "kind", "body"])
 
     def texts(batches):
         for t in _blocks(batches, block_bytes):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                 w.write_table(t)
-            yield pa.RecordBatch.from_arrays([pa.array([_key(t)]), pa.array([1], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array([_key(t)], pa.int64()), pa.array([1], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
                                              names=["block", "kind", "body"])
 
     def joined(batches):
@@ -196,7 +204,7 @@ def encode(docs: DataFrame, tokenizer_file: str, block_bytes: int = BLOCK_BYTES)
                 t = pa.ipc.open_stream(body).read_all()
                 yield from _encoded(t, packs, table.value)
 
-    known = arrow_map(docs, words, "word binary, block long, place int").repartition("word").sortWithinPartitions("word")
+    known = arrow_map(docs, words, "part int, block long, place int, body binary").repartition("part").sortWithinPartitions("part")
     shape = "block long, kind int, body binary"
     both = arrow_map(known, ids, shape).union(arrow_map(docs, texts, shape))
     return arrow_map(both.repartition("block").sortWithinPartitions("block", "kind"), joined, f"doc_id {kind}, ids binary")
@@ -213,17 +221,18 @@ def _key(t: pa.Table) -> int:
 
 def _encoded(t: pa.Table, packs: list[bytes], kinds: np.ndarray):
     """Rows (doc_id, ids) of a block from the ids of its distinct words."""
-    _, _, starts, _, which, counts = _words(t, kinds)
-    at, size, flat, base = np.full(len(starts), -1, np.int64), np.zeros(len(starts), np.int64), [], 0
+    _, _, known, _, _, which, counts = _words(t, kinds)
+    at, size, flat, base = np.full(len(known), -1, np.int64), np.zeros(len(known), np.int64), [], 0
     for body in packs:
-        ints = np.frombuffer(body, "<i4")
-        flat.append(ints)
-        p = _entries(ints)
-        at[ints[p]], size[ints[p]] = base + p + 2, ints[p + 1]
-        base += len(ints)
+        raw = zlib.decompress(body)
+        place, n = np.frombuffer(raw, "<i4", 2).tolist()
+        lens = np.frombuffer(raw, "<i4", n, 8).astype(np.int64)
+        flat.append(np.frombuffer(raw, "<u4", -1, 8 + 4 * n))
+        at[place : place + n], size[place : place + n] = base + np.cumsum(lens) - lens, lens
+        base += len(flat[-1])
     if (at < 0).any():
         raise RuntimeError("words of a block are missing: the input changed between two reads; store it first")
-    flat = np.concatenate(flat) if flat else np.zeros(0, "<i4")
+    flat = np.concatenate(flat) if flat else np.zeros(0, "<u4")
     first = np.cumsum(np.concatenate(([0], counts)))
     lo = 0
     while lo < t.num_rows:
@@ -231,23 +240,13 @@ def _encoded(t: pa.Table, packs: list[bytes], kinds: np.ndarray):
         while hi < t.num_rows and first[hi + 1] - first[lo] <= 1 << 19:
             hi += 1
         w = which[first[lo] : first[hi]]
-        body = flat[ranges(at[w], size[w])].astype("<u4")
+        body = flat[ranges(at[w], size[w])]
         ends = np.concatenate(([0], np.cumsum(size[w])))[first[lo : hi + 1] - first[lo]] * 4
         ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(body)])
         yield pa.RecordBatch.from_arrays([t.column(0).slice(lo, hi - lo).combine_chunks(), ids.cast(pa.binary())], names=["doc_id", "ids"])
         lo = hi
 
 
-def _entries(ints: np.ndarray) -> np.ndarray:
-    """Starts of the entries (place, count, ids ...) of a pack."""
-    out, p, n = [], 0, len(ints)
-    values = ints.tolist()
-    while p < n:
-        out.append(p)
-        p += 2 + values[p + 1]
-    return np.array(out, np.int64)
-
-
 @lru_cache(1)
 def _tokenizer(definition: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
