@@ -54,14 +54,10 @@ def _unit(column) -> tuple[np.ndarray, list]:
     out = []
     for v in column.to_pylist():
         x = np.array(v, np.float64) if v and None not in v else np.zeros(0)
-        n = np.sqrt((x**2).sum()) if len(x) and np.isfinite(x).all() else 0.0
-        if n and not np.isfinite(n) or 0 < n < 1e-150:  # squares overflow or vanish: scale first
-            x = x / np.abs(x).max()
-            n = np.sqrt((x**2).sum())
-        elif not n and len(x) and np.isfinite(x).all() and np.abs(x).max() > 0:
-            x = x / np.abs(x).max()
-            n = np.sqrt((x**2).sum())
-        out.append(x / n if n else None)
+        top = np.abs(x).max() if len(x) and np.isfinite(x).all() else 0.0
+        if top and not 1e-100 < top < 1e100:  # squares would overflow or vanish
+            x = x / top
+        out.append(x / np.sqrt((x**2).sum()) if top else None)
     return np.array([x is not None for x in out], bool), out
 
 

@@ -1,7 +1,8 @@
 """WARC archives of a pages table: a deterministic sharded writer, and a reader.
 
-Pages are range-sorted by id into shards; a task writes its shard's records in order, each a gzip member, and
-starts a new file whenever the compressed size passes a limit.  Headers and digests are made anew from the
+Pages are range-sorted by id into shards, whose bounds are quantiles of a sample that a hash of the id picks, so
+the same pages give the same files.  A task writes a shard's records in order, each a gzip member, and starts a new
+file whenever the compressed size passes a limit.  Headers and digests are made anew from the
 payload.  A file is written under a temporary name that holds the task attempt and renamed when complete; the
 manifest, written by Spark when all tasks are done, names the files that count, so what a lost or repeated attempt
 leaves behind is never read.  Files go to a folder of a file system that pyarrow opens by its URI.
@@ -19,9 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finlens.llm.classify import bounded_sample
 from finlens.llm.kit import arrow_map, stored
 
 ROLL_BYTES = 64 << 20
+SAMPLE = 100  # ids for each shard that its bounds are taken from
 DATE = "1970-01-01T00:00:00Z"  # the pages have no crawl time; a fixed one keeps the archives reproducible
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
@@ -69,8 +72,8 @@ def write_archives(pages: DataFrame, folder: str, shards: int | None = None, rol
 
     def run(batches):
         filesystem, top = _filesystem(folder)
-        ctx = TaskContext.get()
-        shard, attempt = ctx.partitionId(), ctx.taskAttemptId()
+        attempt = TaskContext.get().taskAttemptId()
+        shard = -1
         out, size, records, files, done = None, 0, 0, 0, []
         page, plan, seen = None, {}, set()
 
@@ -81,7 +84,11 @@ def write_archives(pages: DataFrame, folder: str, shards: int | None = None, rol
             done.append((shard, name, records, size))
 
         for b in batches:
-            for page_id, kind, digest, keep, url, payload in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for at, page_id, kind, digest, keep, url, payload in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if at != shard:
+                    if out is not None:
+                        close()
+                    out, shard, files = None, at, 0
                 if page_id != page:
                     page, plan, seen = page_id, {}, set()
                 if kind == 0:
@@ -121,8 +128,12 @@ def write_archives(pages: DataFrame, folder: str, shards: int | None = None, rol
 
     filesystem, top = _filesystem(folder)
     filesystem.create_dir(top, recursive=True)
-    order = rows.select("page_id", "kind", "digest", "keep", "url", "payload")
-    sorted_rows = order.repartitionByRange(shards, "page_id").sortWithinPartitions("page_id", "kind", "payload")
+    picked = bounded_sample(pages.select("page_id").where("page_id is not null"), SAMPLE * shards, "page_id")  # ids, twice that at most
+    ids = sorted(r[0] for r in picked.collect())
+    bounds = F.array(*map(F.lit, sorted({ids[len(ids) * k // shards] for k in range(1, shards)} if ids else ()))).cast(f"array<{dict(pages.dtypes)['page_id']}>")
+    shard = F.when(F.col("page_id").isNull(), 0).otherwise(F.size(F.filter(bounds, lambda x: x <= F.col("page_id")))).cast("int").alias("shard")
+    order = rows.select(shard, "page_id", "kind", "digest", "keep", "url", "payload")
+    sorted_rows = order.repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "kind", "payload", "url")
     return stored(arrow_map(sorted_rows, run, "shard int, file string, records long, bytes long"), "warc-manifest")
 
 
