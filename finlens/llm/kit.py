@@ -150,9 +150,13 @@ def ship(spark: SparkSession) -> None:
     sc._finlens_shipped = True
 
 
+BATCH_BYTES = 8 << 20  # of an Arrow batch, which the JVM and the Python worker hold at once
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """mapInArrow with this library at hand in the tasks."""
+    """mapInArrow with this library at hand in the tasks, in batches of bounded bytes (a session setting)."""
     ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 
