@@ -31,6 +31,22 @@ def nan_to_null(x) -> Column:
     return F.when(F.isnan(x), F.lit(None)).otherwise(x)
 
 
+def no_nan(df, cols=None):
+    """NaN in the float columns (of ``cols``) becomes null: a missing value, as in pandas."""
+    kinds = dict(df.dtypes)
+    own = [x for x in (cols or df.columns) if kinds.get(x) in ("double", "float")]
+    return df.withColumns({x: nan_to_null(x) for x in own}) if own else df
+
+
+def correlation(a, b) -> Column:
+    """Aggregate: Pearson correlation over rows where both sides are present, null if either is constant there
+    (the built-in one divides by zero under ANSI rules)."""
+    a, b = col_of(a).cast("double"), col_of(b).cast("double")
+    both = a.isNotNull() & b.isNotNull()
+    spread = F.sqrt(F.var_pop(F.when(both, a)) * F.var_pop(F.when(both, b)))
+    return F.when(spread > 0, F.try_divide(F.covar_pop(a, b), spread))
+
+
 def clip_lower(x, lower: float = 0.0) -> Column:
     """``x.clip(lower=...)``: values below ``lower`` become ``lower``; null stays null."""
     x = col_of(x)

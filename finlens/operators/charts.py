@@ -88,10 +88,11 @@ def binned_density(hist: DataFrame, stats: DataFrame) -> DataFrame:
     e = h.join(grid, "column").select("column", "count", "n", "bw",
                                       ((F.col("lo_edge") + F.col("hi_edge")) / 2.0).alias("mid"),
                                       F.explode("grid").alias("g"))
-    z = (F.col("g.x") - F.col("mid")) / F.col("bw")
+    # a constant column has no bandwidth and no density
+    z = F.try_divide(F.col("g.x") - F.col("mid"), F.col("bw"))
     k = F.col("count") * F.exp(-0.5 * z * z)
     return e.groupBy("column", F.col("g.at").alias("bin"), F.col("g.x").alias("x")).agg(
-        (F.sum(k) / (F.first("n") * F.first("bw") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
+        F.try_divide(F.sum(k), F.first("n") * F.first("bw") * F.lit(math.sqrt(2 * math.pi))).alias("density"))
 
 
 def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:

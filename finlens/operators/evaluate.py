@@ -28,7 +28,9 @@ def metric_aggs(label: str, pred: str) -> list[Column]:
 
 
 def metric_cols() -> list[Column]:
-    r2 = F.lit(1.0) - F.col("sse") / (F.col("n") * F.col("var_y"))
+    # a constant label: 1 if predicted exactly, else 0
+    r2 = (F.when(F.col("var_y") > 0, F.lit(1.0) - F.try_divide(F.col("sse"), F.col("n") * F.col("var_y")))
+          .when(F.col("n") > 0, F.when(F.col("sse") == 0, 1.0).otherwise(0.0)))
     return [r2.alias("r2"), F.col("mae"), F.sqrt(F.col("mse")).alias("rmse"), F.col("mse")]
 
 
@@ -96,14 +98,20 @@ def linear_cv_metrics(train: DataFrame, feats: Sequence[str], label: str = "y_lo
     ``z·y`` (``k × O(d²)`` numbers).  The fit without fold ``f`` is
     ``total − fold f``, solved on the driver (d+1 unknowns).  Pass 2 scores
     every held-out row with its fold's coefficients and aggregates the fold
-    metrics.  Centred sums keep the solve well conditioned."""
+    metrics.  A first pass takes the means, so the sums are of centred values
+    and the solve is well conditioned.  A missing feature or label is an error,
+    as it is for the assembler that this stands for."""
     import numpy as np
     d = len(feats)
     ok = F.lit(True)
     for x in [*feats, label]:
         ok = ok & c(x).isNotNull()
-    data = train.where(ok)
-    z = [F.lit(1.0)] + [c(x).cast("double") for x in feats]
+    data = train
+    first = train.agg(F.count(F.when(~ok, 1)).alias("bad"), *[F.avg(c(x)).alias(f"m{i}") for i, x in enumerate(feats)]).first()
+    if first["bad"]:
+        raise ValueError(f"{first['bad']} rows have a missing feature or label")
+    centred = [c(x).cast("double") - F.lit(float(first[f"m{i}"] or 0.0)) for i, x in enumerate(feats)]
+    z = [F.lit(1.0)] + centred
     y = c(label).cast("double")
     aggs = [F.sum(z[i] * z[j]).alias(f"g{i}_{j}") for i in range(d + 1) for j in range(i, d + 1)]
     aggs += [F.sum(z[i] * y).alias(f"h{i}") for i in range(d + 1)]
@@ -131,7 +139,7 @@ def linear_cv_metrics(train: DataFrame, feats: Sequence[str], label: str = "y_lo
         coefs[f] = (float(my - mu @ b), [float(v) for v in b])
     pred = None
     for f, (b0, b) in coefs.items():
-        e = F.lit(b0) + sum((F.lit(bj) * c(x).cast("double") for bj, x in zip(b, feats)), F.lit(0.0))
+        e = F.lit(b0) + sum((F.lit(bj) * x for bj, x in zip(b, centred)), F.lit(0.0))
         pred = F.when(F.col(fold_col) == f, e) if pred is None else pred.when(F.col(fold_col) == f, e)
     per = regression_metrics(data.withColumn("__p", pred), label, "__p", by=[fold_col]).collect()
     per = [r for r in per if r["n"]]

@@ -20,6 +20,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 import os
 import uuid
@@ -39,6 +40,9 @@ from finlens.operators import split
 from finlens.operators.evaluate import bias_correction
 from finlens.operators.prep import feature_names
 from finlens.session import scratch_path
+from finlens.spec import Spec
+
+LOG = logging.getLogger("finlens")
 
 
 def _final_model(model: PipelineModel):
@@ -51,7 +55,7 @@ def _features_col(model: PipelineModel) -> str:
 
 # -- X1 ------------------------------------------------------------------------------------------
 def linear_attributions(model: PipelineModel, train: DataFrame, test: DataFrame, names: Sequence[str] | None = None,
-                        key: str = "id") -> DataFrame:
+                        key: str = "id", spec: Spec | None = None) -> DataFrame:
     """Long ``(key, feature, phi, value)`` for a pipeline ending in a linear model."""
     lr = _final_model(model)
     if not isinstance(lr, LinearRegressionModel):
@@ -60,7 +64,7 @@ def linear_attributions(model: PipelineModel, train: DataFrame, test: DataFrame,
     mean = model.transform(train).select(Summarizer.mean(F.col(fc)).alias("m")).first()["m"].toArray().tolist()
     coef = lr.coefficients.toArray().tolist()
     scored = model.transform(test)
-    names = list(names) if names else feature_names(scored, fc)
+    names = list(names) if names else feature_names(scored, fc, spec)
     arr = scored.select(c(key), vector_to_array(fc).alias("z"))
     phi = F.zip_with(F.col("z"), F.array(*[F.lit(float(x)) for x in coef]), lambda z, b: b * z)
     phi = F.zip_with(phi, F.array(*[F.lit(float(b * m)) for b, m in zip(coef, mean)]), lambda p, bm: p - bm)
@@ -200,7 +204,7 @@ def tree_predict(X: np.ndarray, leaves_per_tree, weights) -> np.ndarray:
 
 
 def tree_attributions(model: PipelineModel, train: DataFrame, test: DataFrame, key: str = "id",
-                      background: int = 100, explain_rows: int | None = None, seed: int = 42) -> DataFrame:
+                      background: int = 100, explain_rows: int | None = None, seed: int = 42, spec: Spec | None = None) -> DataFrame:
     """Long ``(key, feature, phi, value, base)`` for a pipeline ending in a
     GBT model.  ``explain_rows`` optionally bounds the explained rows (J6)."""
     spark = train.sparkSession
@@ -212,7 +216,7 @@ def tree_attributions(model: PipelineModel, train: DataFrame, test: DataFrame, k
         vector_to_array(fc).alias("z")).collect()  # <= background rows: bounded
     Bm = np.array([r["z"] for r in bg_rows], dtype=float)
     scored = model.transform(test if explain_rows is None else split.bounded_sample(test, key, explain_rows, seed))
-    names = feature_names(scored, fc)
+    names = feature_names(scored, fc, spec)
     base = float(tree_predict(Bm, leaves, weights).mean()) if len(Bm) else 0.0
     bc = spark.sparkContext.broadcast((leaves, weights, Bm, names, base))
 
@@ -269,3 +273,18 @@ def sampled_attributions(model: PipelineModel, train: DataFrame, test: DataFrame
     base = pred.where(F.col("__k") == 0).groupBy(key).agg(F.avg("prediction").alias("base"))
     phi = m.groupBy(key, "feature").agg(F.avg(F.col("prediction") - F.col("__prev")).alias("phi"))
     return phi.join(base, key)
+
+
+# -- X4 ------------------------------------------------------------------------------------------
+def attributions(model: PipelineModel, train: DataFrame, test: DataFrame, spec: Spec) -> DataFrame:
+    """Attributions by the kind of the final model; a method that fails gives way, with a log entry, to the
+    sampled one, which takes any model."""
+    final = _final_model(model)
+    try:
+        if isinstance(final, LinearRegressionModel):
+            return linear_attributions(model, train, test, key=spec.key, spec=spec)
+        if isinstance(final, GBTRegressionModel):
+            return tree_attributions(model, train, test, key=spec.key, spec=spec)
+    except Exception:  # noqa: BLE001
+        LOG.exception("attributions of %s failed; sampling instead", type(final).__name__)
+    return sampled_attributions(model, train, test, list(spec.features), key=spec.key)

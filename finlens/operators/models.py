@@ -16,6 +16,7 @@ folds, each trial a distributed fit.
 
 from __future__ import annotations
 
+import logging
 import math
 import random
 import time
@@ -30,6 +31,8 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+LOG = logging.getLogger("finlens")
+
 MODEL_NAMES = ("LinearRegression", "GradientBoosting", "XGBoost", "LightGBM", "Ensemble")
 
 # Library defaults of the three boosting families and the search
@@ -210,7 +213,8 @@ def search(name: str, prep: Pipeline, train: DataFrame, label_col: str = "y_log"
         scores = [float(x) for x in m.avgMetrics]
         best = max(range(len(scores)), key=lambda i: scores[i])
         return draws[best], scores
-    except Exception:  # noqa: BLE001 — parity: a failed search falls back to defaults
+    except Exception:  # noqa: BLE001 — parity: a failed search falls back to defaults, and says so
+        LOG.exception("search of %s failed; its defaults are used", name)
         return {}, []
 
 
@@ -254,6 +258,6 @@ def train_all(prep: Pipeline, train: DataFrame, names=MODEL_NAMES, label_col: st
         try:
             models[name], times[name] = train_model(name, p, prep, train, label_col, seed)
             params[name] = p
-        except Exception:  # noqa: BLE001 — a failing family is left out, the others go on
-            continue
+        except Exception:  # noqa: BLE001 — a failing family is left out and reported, the others go on
+            LOG.exception("training of %s failed; it is left out", name)
     return models, params, times

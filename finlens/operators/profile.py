@@ -8,13 +8,12 @@ one-row result and applies it in a second pass.  Results are long tables
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlens.functions.exprs import c, explode_rows, guarded_ratio, log_feature
+from finlens.functions.exprs import c, correlation, explode_rows, guarded_ratio, no_nan
 from finlens.operators import ranks
 
 
@@ -43,6 +42,7 @@ def shape_info(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], approx_accuracy: int | None = None) -> DataFrame:
     """A2: pandas ``describe`` — count, mean, sample std, min, 25/50/75 %, max.
     Moments in one pass; quartiles exact through the distributed rank table."""
+    df = no_nan(df, cols)
     m = df.agg(*[e for i, x in enumerate(cols) for e in (
         F.count(c(x)).alias(f"n{i}"), F.avg(c(x)).alias(f"mean{i}"), F.stddev_samp(c(x)).alias(f"std{i}"),
         F.min(c(x)).cast("double").alias(f"min{i}"), F.max(c(x)).cast("double").alias(f"max{i}"))])
@@ -57,7 +57,8 @@ def describe(df: DataFrame, cols: Sequence[str], approx_accuracy: int | None = N
 
 # -- A3 / P8 -------------------------------------------------------------------------------------
 def missing_table(df: DataFrame, only_missing: bool = True) -> DataFrame:
-    """A3: missing count and percent per column, worst first (``pos``)."""
+    """A3: missing (null or NaN) count and percent per column, worst first (``pos``)."""
+    df = no_nan(df)
     agg = df.agg(F.count(F.lit(1)).alias("__rows"),
                  *[F.sum(F.when(c(x).isNull(), 1).otherwise(0)).alias(f"__m{i}") for i, x in enumerate(df.columns)])
     out = agg.select(_stack([
@@ -99,6 +100,7 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     (and SQL) values are the bias-adjusted G1 / G2.  The normality check is a
     Jarque–Bera test (one pass over moments) with p from chi-square(2).
     """
+    df = no_nan(df, cols)
     agg = df.agg(*[e for i, x in enumerate(cols) for e in (
         F.count(c(x)).alias(f"n{i}"), F.skewness(c(x)).alias(f"g1_{i}"), F.kurtosis(c(x)).alias(f"g2_{i}"))])
     rows = []
@@ -116,14 +118,16 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # -- A10 / A12 / C6 ------------------------------------------------------------------------------
 def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A10: pairwise-complete Pearson matrix, long ``(a, b, r, abs_r)``, one pass.
-    Spark's ``corr`` skips rows where either side is missing."""
+    Rows where either side is missing are left out of a pair; a column that is constant there has no correlation."""
+    df = no_nan(df, cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    agg = df.agg(*[F.corr(c(a), c(b)).alias(f"r{k}") for k, (a, b) in enumerate(pairs)])
+    agg = df.agg(*[correlation(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs)],
+                 *[(F.min(c(a)) < F.max(c(a))).alias(f"v{i}") for i, a in enumerate(cols)])
     rows = []
     for k, (a, b) in enumerate(pairs):
         rows.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{k}").alias("r")))
         rows.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(f"r{k}").alias("r")))
-    diag = [F.struct(F.lit(a).alias("a"), F.lit(a).alias("b"), F.lit(1.0).alias("r")) for a in cols]
+    diag = [F.struct(F.lit(a).alias("a"), F.lit(a).alias("b"), F.when(F.col(f"v{i}"), 1.0).alias("r")) for i, a in enumerate(cols)]
     return agg.select(_stack(rows + diag)).withColumn("abs_r", F.abs("r"))
 
 
@@ -140,6 +144,7 @@ def spearman(df: DataFrame, cols: Sequence[str], buckets: int | None = None) ->
     (:func:`ranks.session_buckets`), so the rank windows shrink as the cluster
     is sized up for the data.
     """
+    df = no_nan(df, cols)
     # one pass: cut points and, per ordered pair (a, b), the rows where a is
     # present and b missing.  Only when there are such rows does the rank of a
     # within the pair differ from its plain rank, so only those (column,
@@ -148,7 +153,7 @@ def spearman(df: DataFrame, cols: Sequence[str], buckets: int | None = None) ->
     ordered = [(i, a, j, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i != j]
     splits = ranks.cut_points(df, cols, buckets, extra=[
         F.sum(F.when(c(a).isNotNull() & c(b).isNull(), 1).otherwise(0)).alias(f"__x{i}_{j}")
-        for i, a, j, b in ordered])
+        for i, a, j, b in ordered] + [(F.min(c(a)) < F.max(c(a))).alias(f"__v{i}") for i, a in enumerate(cols)])
     stats = splits["__extra"]
     need = {(a, b) for i, a, j, b in ordered if (stats[f"__x{i}_{j}"] or 0) > 0}
     conds = {b: c(b).isNotNull() for _, b in need}
@@ -176,9 +181,10 @@ def spearman(df: DataFrame, cols: Sequence[str], buckets: int | None = None) ->
     cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("sw")
     va = F.col("saa") - F.col("sa") * F.col("sa") / F.col("sw")
     vb = F.col("sbb") - F.col("sb") * F.col("sb") / F.col("sw")
-    r = s.select("a", "b", (cov / F.sqrt(va * vb)).alias("r"))
+    # a column that is constant on the pair's rows has no correlation; its variance may be rounding noise
+    r = s.select("a", "b", F.when((va > F.col("saa") * 1e-12) & (vb > F.col("sbb") * 1e-12), cov / F.sqrt(va * vb)).alias("r"))
     both = r.unionByName(r.select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
-    diag = df.sparkSession.createDataFrame([(x, x, 1.0) for x in cols], "a string, b string, r double")
+    diag = df.sparkSession.createDataFrame([(x, x, 1.0 if stats[f"__v{i}"] else None) for i, x in enumerate(cols)], "a string, b string, r double")
     return both.unionByName(diag).withColumn("abs_r", F.abs("r"))
 
 
@@ -193,7 +199,7 @@ def group_profile(df: DataFrame, group: str, target: str, second: str | None = N
     """Per category — target mean / median / sample std / count and the
     second column's mean / median; missing category dropped; sorted by target
     mean descending (``pos``).  Medians are exact (distributed rank table)."""
-    base = df.where(c(group).isNotNull())
+    base = no_nan(df, [target, *([second] if second else [])]).where(c(group).isNotNull())
     aggs = [F.avg(c(target)).alias("target_mean"), F.stddev_samp(c(target)).alias("target_std"),
             F.count(c(target)).alias("target_count")]
     cols = [target]
@@ -214,6 +220,7 @@ def group_profile(df: DataFrame, group: str, target: str, second: str | None = N
 def zscore_outliers(df: DataFrame, cols: Sequence[str], threshold: float = 3.0) -> DataFrame:
     """``|x - mean| / std_pop > threshold`` counts per column.
     Pass 1 fits ``(mean, std_pop)`` (2 doubles per column); pass 2 counts."""
+    df = no_nan(df, cols)
     st = df.agg(*[e for i, x in enumerate(cols) for e in (F.avg(c(x)).alias(f"m{i}"),
                                                           F.stddev_pop(c(x)).alias(f"s{i}"))]).first()
     counts = []
@@ -231,6 +238,7 @@ def zscore_outliers(df: DataFrame, cols: Sequence[str], threshold: float = 3.0)
 
 def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, by: Sequence[str] = ()) -> DataFrame:
     """Exact quartiles + Tukey fences per column (and group)."""
+    df = no_nan(df, cols)
     q = ranks.exact_quantiles(df, cols, (0.25, 0.5, 0.75), ("q1", "median", "q3"), by=by)
     iqr = F.col("q3") - F.col("q1")
     return q.withColumn("iqr", iqr).withColumn("lo_fence", F.col("q1") - k * iqr).withColumn(
@@ -239,6 +247,7 @@ def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, by: Sequence[
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Strict ``x < Q1 - k·IQR or x > Q3 + k·IQR`` counts per column."""
+    df = no_nan(df, cols)
     f = {r["column"]: (r["lo_fence"], r["hi_fence"]) for r in iqr_fences(df, cols, k).collect()}
     counts = []
     for i, x in enumerate(cols):
@@ -255,8 +264,9 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFram
 # -- A16 -----------------------------------------------------------------------------------------
 def feature_check(df: DataFrame, target: str, candidates: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Build ``num / clip(den, 1e-6)`` candidates and correlate with the target."""
+    df = no_nan(df)
     present = [(n, a, b) for n, a, b in candidates if a in df.columns and b in df.columns]
-    agg = df.agg(*[F.corr(guarded_ratio(a, b), c(target)).alias(f"r{i}") for i, (_, a, b) in enumerate(present)])
+    agg = df.agg(*[correlation(guarded_ratio(a, b), c(target)).alias(f"r{i}") for i, (_, a, b) in enumerate(present)])
     return agg.select(_stack([F.struct(F.lit(n).alias("feature"), F.col(f"r{i}").alias("r"))
                               for i, (n, _, _) in enumerate(present)]))
 
@@ -267,16 +277,3 @@ def skewed_columns(moments_df: DataFrame, threshold: float = 1.0) -> list[str]:
     return [r["column"] for r in moments_df.where(F.col("skew") > threshold).select("column").collect()]
 
 
-def log_view(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``log1p(clip(x, 0))`` of the given columns (same names)."""
-    return df.select(*[log_feature(x).alias(x) for x in cols])
-
-
-# -- A18 -----------------------------------------------------------------------------------------
-def mean_abs_attribution(attrib: DataFrame) -> DataFrame:
-    """``(feature, mean_abs)`` from a long ``(id, feature, phi)`` table."""
-    return attrib.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs"))
-
-
-def is_finite(x: float | None) -> bool:
-    return x is not None and not math.isnan(x) and not math.isinf(x)

@@ -14,7 +14,9 @@ from finlens.functions.exprs import c, hash_bucket
 
 
 def test_flag(key: str, seed: int = 42, test_share: float = 0.2):
-    return hash_bucket(key, str(seed), 100) < F.lit(int(round(test_share * 100)))
+    # buckets of a hundredth, or of a millionth where the share is no whole percent
+    parts = 100 if abs(test_share * 100 - round(test_share * 100)) < 1e-9 else 1_000_000
+    return hash_bucket(key, str(seed), parts) < F.lit(int(round(test_share * parts)))
 
 
 def train_test_split(df: DataFrame, key: str, seed: int = 42, test_share: float = 0.2) -> tuple[DataFrame, DataFrame]:

@@ -1,17 +1,22 @@
 """O1: the EDA profile as a dict of DataFrames.
 
-Seven profilers run in order over one (cached) input; each section fails on
-its own and the error is reported in the result, never swallowed silently.
+Seven profilers run in order over one (cached) input; each section is written
+below the checkpoint folder and read back inside its own ``try``, so it fails on
+its own, and the error is reported in the result, never swallowed silently.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlens.operators import charts as ch
 from finlens.operators import clean as cl
 from finlens.operators import profile as pf
+from finlens.session import scratch_path
 from finlens.spec import Spec
 
 
@@ -34,6 +39,9 @@ def profile(df: DataFrame, spec: Spec, bins: int = 30, persist: bool = True) ->
         "missing": lambda: pf.missing_table(df),
         "null_patterns": lambda: ch.null_patterns(df),
         "value_counts": lambda: pf.value_counts(df, spec.category),
+        "value_counts_all": lambda: reduce(DataFrame.unionByName, [
+            pf.value_counts(df, x, with_pos=False).select(F.lit(x).alias("column"), F.col("value").cast("string").alias("value"), "count")
+            for x in cats]),
         "nunique": lambda: pf.nunique(df, cats),
         "moments": lambda: pf.moments(df, num),
         "hist": lambda: ch.histogram(df, num, bins),
@@ -52,11 +60,17 @@ def profile(df: DataFrame, spec: Spec, bins: int = 30, persist: bool = True) ->
     }
     out = {}
     errors = {}
+    run = f"eda-{uuid.uuid4().hex[:12]}"
     for name, fn in sections.items():
         try:
-            out[name] = fn()
+            made = fn()
+            path = scratch_path(df.sparkSession, f"{run}/{name}")
+            made.write.mode("overwrite").parquet(path)
+            out[name] = df.sparkSession.read.schema(made.schema).parquet(path)
         except Exception as e:  # noqa: BLE001 — each section fails on its own
             errors[name] = f"{type(e).__name__}: {e}"
+    if persist:
+        df.unpersist()
     if errors:
         out["errors"] = df.sparkSession.createDataFrame(sorted(errors.items()), "section string, error string")
     return out

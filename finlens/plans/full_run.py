@@ -78,14 +78,7 @@ def run(df: DataFrame, spec: Spec, out_dir: str, names=md.MODEL_NAMES, tune: boo
     res.best = ev.best_model_name(res.comparison)
     best = sinks.load_model(f"{out_dir}/models", res.best) if res.best else None
     if best is not None:
-        final = best.stages[-1]
-        from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
-        if isinstance(final, LinearRegressionModel):
-            res.attributions = xp.linear_attributions(best, tr, te, key=spec.key)
-        elif isinstance(final, GBTRegressionModel):
-            res.attributions = xp.tree_attributions(best, tr, te, key=spec.key)
-        else:
-            res.attributions = xp.sampled_attributions(best, tr, te, list(spec.features), key=spec.key)
+        res.attributions = xp.attributions(best, tr, te, spec)
         res.insights = xp.insights(res.attributions)
         res.worst = xp.worst_errors(best, tr, te, key=spec.key, target=spec.target)
     res.report = sinks.write_report(f"{out_dir}/report", res.comparison, res.best, res.insights)

@@ -22,14 +22,19 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def _string_schema(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-
-
-def read_csv_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv_raw(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """All columns of ``schema`` as text, found by the header's names whatever their order; other columns are left
+    out, a missing one is an error.  Quotes inside a quoted field are doubled.  ``multi_line``: quoted fields may
+    hold line ends (a file is then one task)."""
+    reader = (spark.read.option("header", True).option("mode", "FAILFAST").option("nullValue", None).option("emptyValue", "")
+              .option("escape", '"').option("multiLine", multi_line).option("enforceSchema", False))
     try:
-        return (spark.read.option("header", True).option("mode", "FAILFAST").option("nullValue", None)
-                .option("emptyValue", "").schema(_string_schema(schema)).csv(path))
+        header = reader.csv(path).columns
+        missing = [f.name for f in schema.fields if f.name not in header]
+        if missing:
+            raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
+        have = StructType([StructField(n, StringType(), True) for n in header])
+        return reader.schema(have).csv(path).select(*[c(f.name) for f in schema.fields])
     except AnalysisException as e:  # PATH_NOT_FOUND is raised while the DataFrame is created
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(path) from e
@@ -48,7 +53,7 @@ def typed(raw: DataFrame, schema: StructType, tokens=NA_TOKENS) -> DataFrame:
         if isinstance(f.dataType, StringType):
             out.append(val.otherwise(col).alias(f.name))
         else:
-            out.append(val.otherwise(F.trim(col).try_cast(f.dataType)).alias(f.name))
+            out.append(val.otherwise(F.trim(col).try_cast(f.dataType)).alias(f.name))  # NaN is a missing token
     return raw.select(*out)
 
 
@@ -75,4 +80,4 @@ def write_csv(df: DataFrame, path: str, na: str = "NA", single_file: bool = Fals
     """Write with a header; missing values written as ``na``.  ``single_file``
     only for small report tables (it funnels the data through one task)."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("nullValue", na).csv(path)
+    out.write.mode("overwrite").option("header", True).option("nullValue", na).option("escape", '"').csv(path)

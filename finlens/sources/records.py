@@ -2,7 +2,8 @@
 reason instead of raising.
 
 Fields are parsed as strings first (so a numeric string is accepted, as a lax
-validator would) and cast with ``try_cast``.  ``PERMISSIVE`` parsing marks
+validator would) and cast with ``try_cast``; a string field must be a JSON
+string, a number there is a type error.  ``PERMISSIVE`` parsing marks
 malformed text, but a missing or null field is not an error for the parser, so
 the required-field check is separate.  Output: the typed fields plus ``valid``
 and ``reason`` (comma-joined ``malformed`` / ``missing:<f>`` / ``type:<f>``).
@@ -32,7 +33,10 @@ def parse_records(df: DataFrame, col: str, fields: dict[str, str], keep: Sequenc
     required = list(fields) if required is None else list(required)
     aliases = aliases or {}
     p = F.from_json(c(col), record_schema(fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    parsed = df.select(*[c(k) for k in keep], p.alias("__r"))
+    texts = [n for n, t in fields.items() if t == "string"]
+    kind = {n: F.schema_of_variant(F.try_variant_get(F.try_parse_json(c(col)), f'$["{n}"]', "variant")).alias(f"__k{i}")
+            for i, n in enumerate(texts)}
+    parsed = df.select(*[c(k) for k in keep], p.alias("__r"), *kind.values())
     malformed = F.col("__r").isNull() | F.col(f"__r.{CORRUPT}").isNotNull()
     reasons = [F.when(malformed, F.lit("malformed"))]
     out = {}
@@ -42,7 +46,10 @@ def parse_records(df: DataFrame, col: str, fields: dict[str, str], keep: Sequenc
         out[aliases.get(name, name)] = val
         if name in required:
             reasons.append(F.when(~malformed & raw.isNull(), F.lit(f"missing:{name}")))
-        if typ != "string":
+        if typ == "string":
+            wrong = ~F.coalesce(F.col(f"__k{texts.index(name)}"), F.lit("VOID")).isin("STRING", "VOID")
+            reasons.append(F.when(~malformed & raw.isNotNull() & wrong, F.lit(f"type:{name}")))
+        else:
             reasons.append(F.when(~malformed & raw.isNotNull() & val.isNull(), F.lit(f"type:{name}")))
     reason = F.concat_ws(",", *reasons)
     res = parsed.select(*[c(k) for k in keep], *[v.alias(k) for k, v in out.items()], reason.alias("reason"))
