@@ -9,6 +9,7 @@ about as many of either label as there are, at most); every text is scored whole
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -81,7 +82,7 @@ class NbSvm:
         rows = arrow_map(docs.select("doc_id", "text").join(few, "doc_id").select("label", "text"), run, "label int, features binary").toPandas()
         x = [np.frombuffer(f, "<i4") for f in rows["features"]]
         y = rows["label"].to_numpy()
-        order = sorted((i for i in range(len(x)) if len(x[i])), key=lambda i: (x[i].tobytes(), y[i]))
+        order = sorted((i for i in range(len(x)) if len(x[i])), key=lambda i: (hashlib.blake2b(x[i], digest_size=12).digest(), y[i]))
         return self._fitted([x[i] for i in order], np.array([y[i] for i in order], np.int64))
 
     def _fitted(self, x: list[np.ndarray], y: np.ndarray) -> Model:
@@ -99,20 +100,22 @@ class NbSvm:
         ratio = np.log((counts[1] / counts[1].sum()) / (counts[0] / counts[0].sum()))
         # dual coordinate descent for hinge loss: min 1/2 |w|^2 + C sum max(0, 1 - s w.x), the bias as a feature of 1.
         # Rows are scaled to length 1, so long and short texts weigh alike.
-        v = [ratio[f] / max(np.sqrt((ratio[f] ** 2).sum()), 1e-9) for f in x]
+        size_of = [max(np.sqrt((ratio[f] ** 2).sum()), 1e-9) for f in x]
+        v = lambda i: ratio[x[i]] / size_of[i]
         w, bias, alpha = np.zeros(size), 0.0, np.zeros(len(x))
         sign = np.where(y == 1, 1.0, -1.0)
         cost = np.where(y == 1, len(y) / (2 * (y == 1).sum()), len(y) / (2 * (y == 0).sum())) * self.cost
         for _ in range(self.rounds):
             for i in rng.permutation(fitting):
-                gradient = sign[i] * (w[x[i]] @ v[i] + bias) - 1
+                row = v(i)
+                gradient = sign[i] * (w[x[i]] @ row + bias) - 1
                 new = min(max(alpha[i] - gradient / 2, 0.0), cost[i])
                 if new != alpha[i]:
                     step = (new - alpha[i]) * sign[i]
-                    w[x[i]] += step * v[i]
+                    w[x[i]] += step * row
                     bias += step
                     alpha[i] = new
-        margin = np.array([w[x[i]] @ v[i] + bias for i in checking])
+        margin = np.array([w[x[i]] @ v(i) + bias for i in checking])
         slope, shift = _calibrated(margin, y[checking])
         return Model(np.stack([w * ratio, ratio**2]), bias, slope, shift)
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlens.llm.classify import bounded_sample
-from finlens.llm.kit import _BYTE_KEY, ALNUM, arrow_map, byte_words, mix, ranges, span_hashes, text_slices
+from finlens.llm.kit import _BYTE_KEY, ALNUM, arrow_map, byte_words, mix, ranges, span_hashes, stored, text_slices
 
 SLICE = 1 << 19
 
@@ -68,54 +68,64 @@ class OrdinalToxicity:
 
     def fit(self, docs: DataFrame, labels: DataFrame, grade: str = "toxic") -> Model:
         """labels: (doc_id, grade), grades from 0; null grades and unknown ids teach nothing."""
-        def run(batches):
-            for b in batches:
-                words, counts, sizes = [], [], []
-                for _, _, d, o in text_slices(b.column(1), SLICE):
-                    for v, c, n in _counts(d, o):
-                        words.append(v.tobytes()), counts.append(c.astype("<i4").tobytes()), sizes.append(n)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.binary()), pa.array(counts, pa.binary()), pa.array(sizes, pa.int64())],
-                                                 names=["grade", "words", "counts", "size"])
         known = labels.where(F.col(grade) >= 0).select("doc_id", F.col(grade).cast("int").alias("grade"))
         picked = [bounded_sample(known.where(side), self.train_rows, "doc_id") for side in ("grade = 0", "grade > 0")]
         few = F.broadcast(picked[0].union(picked[1]))  # 4 * train_rows rows at most
-        rows = arrow_map(docs.select("doc_id", "text").join(few, "doc_id").select("grade", "text"), run,
-                         "grade int, words binary, counts binary, size long").toPandas().sort_values(["grade", "words", "counts"])
-        rows = rows.drop_duplicates(["grade", "words"])  # copies of a text are one witness
-        return self._fitted([np.frombuffer(w, np.uint64) for w in rows["words"]],
-                            [np.frombuffer(c, "<i4") for c in rows["counts"]], rows["size"].to_numpy(), rows["grade"].to_numpy())
-
-    def _fitted(self, words: list[np.ndarray], counts: list[np.ndarray], sizes: np.ndarray, y: np.ndarray) -> Model:
-        toxic = y > 0
-        none = Model(np.zeros(0, np.uint64), np.zeros((2, 0)), np.array([20.0]))
-        if not toxic.any() or toxic.all():
-            return none
-        flat = np.concatenate(words)
-        side = np.repeat(toxic, [len(w) for w in words])
-        v, at = np.unique(flat, return_inverse=True)
-        a = np.bincount(at[side], minlength=len(v)).astype(float)
-        b = np.bincount(at[~side], minlength=len(v)).astype(float)
-        n1, n0 = float(toxic.sum()), float((~toxic).sum())
-        c, d = n1 - a, n0 - b
-        chi = (n1 + n0) * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * n1 * n0, 1e-9)
-        good = (a >= max(self.least_docs, self.least_share * n1)) & (chi >= self.chi_square) & (a / n1 > b / n0)
-        # features that stand in the very same texts are one: the strongest of them, then the first by hash
-        text = np.repeat(np.arange(len(words)), [len(w) for w in words])
-        alike = np.bincount(at, np.random.default_rng(0).random(len(words))[text], len(v))
-        best = np.flatnonzero(good)
-        best = best[np.lexsort((v[best], -chi[best]))]
-        best = np.sort(best[np.sort(np.unique(alike[best].round(9), return_index=True)[1])][: self.most_words])
-        if not len(best):
-            return none
-        kept = v[best]
-        n = np.stack([_values(kept, w, k) for w, k in zip(words, counts, strict=True)])
+        # copies of a text are one witness
+        sample = stored(docs.select("doc_id", "text").join(few, "doc_id").where("text is not null").select("grade", "text").dropDuplicates(), "toxicity-sample")
+        sides = {r["toxic"]: r["count"] for r in sample.groupBy((F.col("grade") > 0).alias("toxic")).count().collect()}
+        kept = self._words(sample, sides.get(True, 0), sides.get(False, 0))
+        if not len(kept):
+            return Model(kept, np.zeros((2, 0)), np.array([20.0]))
+
+        def values(batches):
+            for b in batches:
+                out, sizes = [], []
+                for _, _, d, o in text_slices(b.column(1), SLICE):
+                    for v, c, n in _counts(d, o):
+                        out.append(_values(kept, v, c)), sizes.append(n)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.float64())), pa.array(sizes, pa.int64())], names=["grade", "n", "size"])
+        rows = arrow_map(sample, values, "grade int, n array<double>, size long").toPandas()  # most_words numbers a row
+        n, sizes, y = np.stack(rows["n"].to_numpy()), rows["size"].to_numpy(), rows["grade"].to_numpy()
+        order = np.lexsort((*n.T, sizes, y))
+        n, sizes, y = n[order], sizes[order], y[order]
         x = np.concatenate((np.log1p(n), np.log1p(1000 * n / np.maximum(sizes, 1)[:, None])), 1)
         if y.max() == 1 and self.grades > 1:
             share = n.sum(1) / np.maximum(sizes, 1)
-            cuts = np.quantile(share[toxic], np.arange(1, self.grades) / self.grades)
-            y = np.where(toxic, 1 + np.searchsorted(cuts, share, side="left"), 0)
+            cuts = np.quantile(share[y > 0], np.arange(1, self.grades) / self.grades)
+            y = np.where(y > 0, 1 + np.searchsorted(cuts, share, side="left"), 0)
         return self._ordinal(kept, x, y)
 
+    def _words(self, sample: DataFrame, toxic: int, clean: int) -> np.ndarray:
+        """Hashes of the features that stand out, sorted; document counts are summed by Spark."""
+        if not toxic or not clean:
+            return np.zeros(0, np.uint64)
+
+        def run(batches):
+            for b in batches:
+                grades = b.column(0).to_numpy()
+                for lo, _, d, o in text_slices(b.column(1), SLICE):
+                    held, side, sign = [], [], []
+                    for i, (v, _, _) in enumerate(_counts(d, o), lo):
+                        held.append(v)
+                        side.append(np.full(len(v), grades[i] > 0))
+                        sign.append(np.full(len(v), int(mix(v.sum(keepdims=True))[0] >> np.uint64(34))))
+                    v, at = np.unique(np.concatenate(held), return_inverse=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(v.view(np.int64)), pa.array(np.bincount(at[np.concatenate(side)], minlength=len(v)).astype(np.int64)),
+                         pa.array(np.bincount(at, minlength=len(v)).astype(np.int64)),
+                         pa.array(np.bincount(at, np.concatenate(sign), len(v)).astype(np.int64))], names=["h", "toxic", "all", "texts"])
+        a, n1, n0 = F.col("a").cast("double"), float(toxic), float(clean)
+        b = F.col("n").cast("double") - a
+        c, d = F.lit(n1) - a, F.lit(n0) - b
+        chi = (n1 + n0) * F.pow(a * d - b * c, F.lit(2.0)) / ((a + b) * F.greatest(c + d, F.lit(1e-9)) * n1 * n0)
+        found = (arrow_map(sample, run, "h long, toxic long, all long, texts long")
+                 .groupBy("h").agg(F.sum("toxic").alias("a"), F.sum("all").alias("n"), F.sum("texts").alias("texts"))
+                 .where((a >= max(self.least_docs, self.least_share * n1)) & (a / n1 > b / n0)).withColumn("chi", chi).where(F.col("chi") >= self.chi_square))
+        # features that stand in the very same texts are one: that with the least hash
+        best = found.groupBy("a", "n", "texts").agg(F.max("chi").alias("chi"), F.min("h").alias("h")).orderBy(F.desc("chi"), "h").limit(self.most_words)
+        return np.sort(np.array([r["h"] for r in best.collect()], np.int64).view(np.uint64))
+
     def _ordinal(self, kept: np.ndarray, x: np.ndarray, y: np.ndarray) -> Model:
         """Maximum likelihood by Adam steps; thresholds are a first one and positive gaps, so they stay in order."""
         levels = int(y.max())
