@@ -7,6 +7,9 @@ slice of its own).
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -157,7 +160,21 @@ def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """mapInArrow with this library at hand in the tasks, in batches of bounded bytes (a session setting)."""
     ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            _give_back()
+    return df.mapInArrow(run, schema)
+
+
+def _give_back() -> None:
+    """Workers live on for other tasks: hand the memory that this one freed back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
