@@ -138,11 +138,12 @@ class JaccardJoin:
         return arrow_map(docs.select("doc_id", "text"), run, "h long, node long, n int")
 
     def segments(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
-        """(node, fragment, toks): the sets of the documents in ``wanted`` (doc_id), cut along the global order.
+        """(doc_id, node, fragment, toks): the sets of the documents in ``wanted`` (doc_id), cut along the global order.
 
         Segments follow the hash order: a fragment is a range of hashes, so the partial overlaps of a pair in
         all fragments add up to its whole overlap.  Texts are not shuffled: tasks skip the documents that a bitmap
-        of the wanted ids (``FILTER_BITS`` at most) rules out; sets that pass by chance join with nothing later."""
+        of the wanted ids (``FILTER_BITS`` at most) rules out.  Others pass by chance, copies of wanted sets among
+        them, so a later join must ask for the document and not for the node alone."""
         bits = 1 << min(FILTER_BITS.bit_length() - 1, max(16, (16 * wanted.count()).bit_length()))
         slot = F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("slot")
         held = np.zeros(bits // 8, np.uint8)
@@ -153,27 +154,34 @@ class JaccardJoin:
             held[at : at + 4096] |= part[: max(0, len(held) - at)]
         table = docs.sparkSession.sparkContext.broadcast(held)
         f = self.fragments
+        kind = dict(docs.dtypes)["doc_id"]
+
+        def out(b, rows, node, frag, toks):
+            ids = b.column(0).take(pa.array(rows, pa.int64()))
+            return pa.RecordBatch.from_arrays([ids, pa.array(node, pa.int64()), pa.array(frag, pa.int32()), _lists(toks)],
+                                              names=["doc_id", "node", "fragment", "toks"])
 
         def run(batches):
             for b in batches:
                 at = b.column(2).to_numpy()
                 b = b.filter(pa.array((table.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
-                node, frag, toks, size = [], [], [], 0
-                for _, s in self._sets(b):
+                rows, node, frag, toks, size = [], [], [], [], 0
+                for i, s in self._sets(b):
                     if not len(s):
                         continue
                     cut = np.searchsorted(s >> np.uint64(32), np.arange(f + 1, dtype=np.uint64) * np.uint64(2**32) // np.uint64(f))
                     cut[-1] = len(s)
                     sig, v = _signature(s), s.view(np.int64)
                     for k in np.flatnonzero(np.diff(cut)).tolist():
-                        node.append(sig), frag.append(k), toks.append(v[cut[k] : cut[k + 1]])
+                        rows.append(i), node.append(sig), frag.append(k), toks.append(v[cut[k] : cut[k + 1]])
                     size += len(s)
                     if size > 1 << 17:
-                        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(frag, pa.int32()), _lists(toks)], names=["node", "fragment", "toks"])
-                        node, frag, toks, size = [], [], [], 0
+                        yield out(b, rows, node, frag, toks)
+                        rows, node, frag, toks, size = [], [], [], [], 0
                 if node:
-                    yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(frag, pa.int32()), _lists(toks)], names=["node", "fragment", "toks"])
-        return arrow_map(docs.select("doc_id", "text", slot), run, "node long, fragment int, toks array<long>")
+                    yield out(b, rows, node, frag, toks)
+        return arrow_map(docs.select("doc_id", "text", slot), run,
+                         f"doc_id {kind}, node long, fragment int, toks array<long>")
 
     # -- candidates -----------------------------------------------------------------------------------------
     def buckets(self, prefixes: DataFrame) -> DataFrame:
@@ -242,9 +250,14 @@ class JaccardJoin:
         reps: (node, rep), the document whose text stands for a node."""
         pool = pairs.select("a").union(pairs.select("b")).distinct().toDF("node").join(reps, "node")
         cut = stored(self.segments(docs, pool.select(F.col("rep").alias("doc_id"))), "segments")
-        left = cut.select(F.col("node").alias("a"), "fragment", F.col("toks").alias("ta"))
-        right = cut.select(F.col("node").alias("b"), "fragment", F.col("toks").alias("tb"))
-        parts = (pairs.join(left, "a").join(right, ["b", "fragment"])
+        # one document stands for a node: without its id a pair would meet every copy that the bitmap let pass
+        left = cut.select(F.col("node").alias("at"), F.col("doc_id").alias("of_a"), "fragment", F.col("toks").alias("ta"))
+        right = cut.select(F.col("node").alias("to"), F.col("doc_id").alias("of_b"), F.col("fragment").alias("same"),
+                           F.col("toks").alias("tb"))
+        known = pairs.join(reps.toDF("a", "rep_a"), "a").join(reps.toDF("b", "rep_b"), "b")
+        parts = (known.join(left, (F.col("a") == F.col("at")) & F.col("rep_a").eqNullSafe(F.col("of_a")))
+                 .join(right, (F.col("b") == F.col("to")) & (F.col("fragment") == F.col("same"))
+                       & F.col("rep_b").eqNullSafe(F.col("of_b")))
                  .select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("ta", "tb")).alias("part")))
         # a repeated row of a document repeats its segments, hence the maximum
         return (parts.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("part").alias("part"))
