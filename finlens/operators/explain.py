@@ -267,12 +267,14 @@ def sampled_attributions(model: PipelineModel, train: DataFrame, test: DataFrame
     z = j.select(c(key), "__p", "__k", "__perm", *[v.alias(x) for x, v in hyb.items()])
     pred = model.transform(z).select(c(key), "__p", "__k", "__perm", "prediction")
     w = Window.partitionBy(key, "__p").orderBy("__k")
-    m = pred.withColumn("__prev", F.lag("prediction").over(w)).where(F.col("__k") > 0)
-    m = m.withColumn("feature", F.element_at(F.array(*[F.lit(x) for x in feats]),
-                                             F.element_at("__perm", F.col("__k")) + 1))
-    base = pred.where(F.col("__k") == 0).groupBy(key).agg(F.avg("prediction").alias("base"))
-    phi = m.groupBy(key, "feature").agg(F.avg(F.col("prediction") - F.col("__prev")).alias("phi"))
-    return phi.join(base, key)
+    step = pred.withColumn("__step", F.col("prediction") - F.lag("prediction").over(w))
+    # the feature switched on at step k; step 0 is the background itself
+    moved = F.get("__perm", F.col("__k") - 1)
+    out = step.groupBy(key).agg(
+        F.avg(F.when(F.col("__k") == 0, F.col("prediction"))).alias("base"),
+        *[F.avg(F.when((F.col("__k") > 0) & (moved == i), F.col("__step"))).alias(f"__phi{i}") for i in range(d)])
+    return out.select(c(key), F.inline(F.array(*[F.struct(F.lit(x).alias("feature"), F.col(f"__phi{i}").alias("phi"))
+                                                 for i, x in enumerate(feats)])), "base")
 
 
 # -- X4 ------------------------------------------------------------------------------------------

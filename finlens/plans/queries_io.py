@@ -123,7 +123,7 @@ def q_comparison_roundtrip(spark, sf_dir):
 @register("report")
 def q_report(spark, sf_dir):
     from finlens.operators import explain as xp
-    t = comparison(spark, sf_dir, cv=False)
+    t = comparison(spark, sf_dir)
     model, tr, te = _ols_fit(spark, sf_dir)
     att = xp.linear_attributions(model, tr, te, list(OLS_FEATURES), key="id")
     paths = sinks.write_report(_scratch(spark, "report"), t, ev.best_model_name(t), xp.insights(att))

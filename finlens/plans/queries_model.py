@@ -317,9 +317,9 @@ def q_ensemble(spark, sf_dir):
 
 
 # -- M2–M4, M6, M8 (rows) ------------------------------------------------------------------------
-def _family_predict(spark, sf_dir, family: str) -> DataFrame:
+def _family_predict(spark, sf_dir, family: str, params: dict | None = None) -> DataFrame:
     tr, te = _split(spark, sf_dir)
-    model, secs = md.train_model(family, {}, prep.build_prep_pipeline(ACCOUNTS), tr.cache())
+    model, secs = md.train_model(family, params or {}, prep.build_prep_pipeline(ACCOUNTS), tr.cache())
     return model.transform(te).select("id", "prediction", F.lit(family).alias("model"))
 
 
@@ -330,7 +330,7 @@ def q_gbt(spark, sf_dir):
 
 @register("gbt_subsample")
 def q_gbt_subsample(spark, sf_dir):
-    return _family_predict(spark, sf_dir, "XGBoost")
+    return _family_predict(spark, sf_dir, "XGBoost", {"subsample": 0.8})  # every tree sees 80 % of the rows
 
 
 @register("gbt_leaves")
@@ -407,7 +407,22 @@ def q_tree_attrib(spark, sf_dir):
     return xp.tree_attributions(model, tr, te, key="id", background=100, explain_rows=None)
 
 
-@register("sampled_attrib")
+# a linear model's sampled values are exact: slope times distance from the mean of the backgrounds drawn by hash
+_BG_ROWS, _PERMS = 100, 8
+
+
+@register("sampled_attrib", f"""{MF_SQL}, co AS ({ols_coef_sql(OLS_FEATURES, 'tr')}),
+s AS (SELECT * FROM tr ORDER BY md5('s42|' || CAST(id AS VARCHAR)), id LIMIT {_BG_ROWS}),
+bg AS (SELECT *, ROW_NUMBER() OVER (ORDER BY {', '.join(OLS_FEATURES)}) - 1 AS bi, COUNT(*) OVER () AS nb FROM s),
+d AS (SELECT t.id, CAST('0x' || substr(md5('bg42|' || CAST(t.id AS VARCHAR) || '|' || CAST(p AS VARCHAR)), 1, 8) AS BIGINT)
+             % (SELECT COUNT(*) FROM s) AS bi FROM te t, range({_PERMS}) r(p)),
+m AS (SELECT d.id, {', '.join(f'AVG(bg.{x}) AS a{i}' for i, x in enumerate(OLS_FEATURES))} FROM d JOIN bg ON d.bi = bg.bi GROUP BY d.id),
+j AS (SELECT t.*, co.*, {', '.join(f'm.a{i}' for i in range(len(OLS_FEATURES)))} FROM te t JOIN m ON t.id = m.id, co)
+{" UNION ALL ".join(f"SELECT id, '{x}' AS feature, ROUND(b{i + 1} * ({x} - a{i}), 6) + 0.0 AS phi, "
+                    f"ROUND(my + {' + '.join(f'b{k + 1} * (a{k} - m{k + 1})' for k in range(len(OLS_FEATURES)))}, 6) AS base FROM j"
+                    for i, x in enumerate(OLS_FEATURES))}""")
 def q_sampled_attrib(spark, sf_dir):
     model, tr, te = _ols_fit(spark, sf_dir)
-    return xp.sampled_attributions(model, tr, te, list(OLS_FEATURES), key="id", background=100, permutations=8)
+    out = xp.sampled_attributions(model, tr, te, list(OLS_FEATURES), key="id", background=_BG_ROWS, permutations=_PERMS)
+    # rounding may leave a signed zero on either side
+    return rnd(out, {"phi": 6, "base": 6}).withColumn("phi", F.col("phi") + F.lit(0.0))
