@@ -2,10 +2,12 @@
 
 Vectors are scaled to length 1; equal ones are one class.  Coarse centroids and residual codebooks are fitted on a
 bounded sample; every class is indexed: its list, its residual's codes, and the length of its quantisation error.
-A class is compared with its own list and the nearest other lists (``probes``), less those that geometry rules
-out.  Inside a list, asymmetric table lookups give the cosine to the coded vector; as the true cosine differs by no
-more than the error's length, no link is lost there.  What remains is decided by the exact cosine.
-Blocks of a list are compared in tasks; a task returns a row for each linked class (its link count and a spanning
+Neighbouring lists are packed into tiles of bounded size.  A class is compared with its own tile and with every tile
+that holds a list which geometry does not rule out (the plane between two centres, the list's radius); both are
+necessary conditions, and of two tiles one asks the other, so no link is lost and none is met twice.  Inside a tile,
+asymmetric table lookups give the cosine to the coded vector; as the true cosine differs by no more than the error's
+length, no link is lost there either.  What remains is decided by the exact cosine.
+Blocks of a tile are compared in tasks; a task returns a row for each linked class (its link count and a spanning
 tree's edge), never the pairs.
 """
 
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlens.llm.classify import bounded_sample
+from finlens.llm.classify import GRAIN, bounded_sample
 from finlens.llm.components import components
 from finlens.llm.kit import arrow_map, stored
 
@@ -31,6 +33,54 @@ class Index:
     cuts: list[tuple[int, int]]
 
 
+@dataclass(frozen=True)
+class Layout:
+    first: np.ndarray   # of each list: its first tile,
+    spread: np.ndarray  # the number of tiles that its classes are dealt over (1 unless the list is over a tile's size),
+    radius: np.ndarray  # and the distance of its farthest class from the centre
+    lists: np.ndarray   # the lists tile by tile; a tile's begin at cuts[tile]
+    cuts: np.ndarray
+
+
+def _along(c: np.ndarray) -> np.ndarray:
+    """The centres in an order that keeps near ones together: halved again and again along the widest direction."""
+    out, open_ = [], [np.arange(len(c))]
+    while open_:
+        k = open_.pop()
+        if len(k) <= 2:
+            out.append(k)
+            continue
+        x = c[k] - c[k].mean(0)
+        k = k[np.argsort(x @ np.linalg.eigh(x.T @ x)[1][:, -1], kind="stable")]
+        open_ += [k[len(k) // 2 :], k[: len(k) // 2]]
+    return np.concatenate(out)
+
+
+def _layout(index: Index, sizes: dict[int, int], far: dict[int, float], most: int) -> Layout:
+    """Lists packed in order into tiles of about ``most`` classes; a larger list has tiles of its own."""
+    n = len(index.centres)
+    first, spread, radius = np.zeros(n, np.int64), np.ones(n, np.int64), np.full(n, -1.0)
+    tiles: list[list[int]] = []
+    room = 0
+    for k in (k for k in _along(index.centres).tolist() if k in sizes):
+        radius[k], spread[k] = far[k], -(-sizes[k] // most)
+        if spread[k] > 1 or sizes[k] > room:
+            first[k], room = len(tiles), most if spread[k] == 1 else 0
+            tiles += [[] for _ in range(spread[k])]
+        else:
+            first[k] = len(tiles) - 1
+        for t in tiles[first[k] :]:
+            t.append(k)
+        room -= min(room, sizes[k])
+    return Layout(first, spread, radius, np.array([k for t in tiles for k in t], np.int64), np.cumsum([0, *map(len, tiles)])[:-1])
+
+
+def _rows(column) -> np.ndarray:
+    """A list column of equally long lists as a matrix."""
+    c = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return c.flatten().to_numpy(zero_copy_only=False).reshape(len(c), -1)
+
+
 def _k_means(x: np.ndarray, k: int, rng, rounds: int = 12) -> np.ndarray:
     c = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
@@ -68,8 +118,8 @@ class VectorLinks:
     lists: int = 0         # 0: about the square root of the number of classes, 4096 at most
     parts: int = 8
     codes: int = 256
-    probes: int = 24
-    block: int = 1024
+    probes: int = 24       # limits nothing any more: every list within reach is visited
+    block: int = 8192      # classes of a tile, about
     seed: int = 11
 
     def _classes(self, vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -99,56 +149,82 @@ class VectorLinks:
         return Index(centres, books, cuts)
 
     def _indexed(self, classes: DataFrame, index: Index) -> DataFrame:
-        """(node, times, unit, home, codes, err, visits) of every class."""
-        table, reach = classes.sparkSession.sparkContext.broadcast(index), float(np.sqrt(2 - 2 * self.cosine))
-        probes = self.probes
+        """(node, times, unit, home, codes, err, far) of every class; far is the distance to the list's centre."""
+        table = classes.sparkSession.sparkContext.broadcast(index)
 
         def run(batches):
             x_ = table.value
-            c = x_.centres
-            apart = np.sqrt(np.maximum(((c[:, None, :] - c[None, :, :]) ** 2).sum(2), 1e-18)) if len(c) <= 512 else None
             for b in batches:
                 if not b.num_rows:
                     continue
-                x = np.stack([np.array(u) for u in b.column(2).to_pylist()])
-                home = _nearest(x, c)
-                rest = x - c[home]
+                x = _rows(b.column(2))
+                home = _nearest(x, x_.centres)
+                rest = x - x_.centres[home]
                 codes, coded = np.zeros((len(x), len(x_.cuts)), np.uint8), np.zeros_like(x)
                 for i, (lo, hi) in enumerate(x_.cuts):
                     codes[:, i] = _nearest(rest[:, lo:hi], x_.codebooks[i, :, : hi - lo])
                     coded[:, lo:hi] = x_.codebooks[i, codes[:, i], : hi - lo]
                 err = np.sqrt(((rest - coded) ** 2).sum(1))
-                visits = []
-                for r in range(len(x)):
-                    d = ((x[r] - c) ** 2).sum(1)
-                    k = np.argpartition(d, min(probes, len(c) - 1))[: probes + 1]
-                    between = apart[home[r], k] if apart is not None else np.sqrt(np.maximum(((c[k] - c[home[r]]) ** 2).sum(1), 1e-18))
-                    # a vector of another list within reach lies beyond the plane between the two centres
-                    near = (d[k] - d[home[r]]) / (2 * between) <= reach + 1e-9
-                    visits.append(np.sort(k[near & (k != home[r])]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), b.column(2), pa.array(home.astype(np.int32)), pa.array([r.tobytes() for r in codes], pa.binary()),
-                     pa.array(err), pa.array(visits, pa.list_(pa.int32()))], names=["node", "times", "unit", "home", "codes", "err", "visits"])
-        return arrow_map(classes.select("node", "times", "unit"), run, f"node {dict(classes.dtypes)['node']}, times long, unit array<double>, home int, codes binary, err double, visits array<int>")
+                     pa.array(err), pa.array(np.sqrt((rest**2).sum(1)))], names=["node", "times", "unit", "home", "codes", "err", "far"])
+        return arrow_map(classes.select("node", "times", "unit"), run, f"node {dict(classes.dtypes)['node']}, times long, unit array<double>, home int, codes binary, err double, far double")
+
+    def _tiled(self, rows: DataFrame, index: Index, layout: Layout, asks: bool) -> DataFrame:
+        """Rows with their tile, or (asks) a row for each tile that a class is to be compared with."""
+        table, reach = rows.sparkSession.sparkContext.broadcast((index.centres, layout)), float(np.sqrt(2 - 2 * self.cosine))
+        names = ["node", "times", "unit", "home", "codes", "err", "own"]
+        kinds = dict(rows.dtypes) | {"own": "int"}
+
+        def run(batches):
+            c, y = table.value
+            norm, low = (c**2).sum(1), np.maximum(y.radius, 0) + reach
+            for b in batches:
+                home = b.column(3).to_numpy()
+                own = y.first[home] + b.column(6).to_numpy() % y.spread[home]
+                b = pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(own.astype(np.int32))], names=names)
+                if not asks:
+                    yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *b.columns], names=["tile", *names])
+                    continue
+                for lo in range(0, len(home), 256):
+                    part = b.slice(lo, 256)
+                    x, h, o = _rows(part.column(2)), home[lo : lo + 256], own[lo : lo + 256]
+                    d = np.maximum((x**2).sum(1)[:, None] + norm[None, :] - 2 * x @ c.T, 0)
+                    apart = np.sqrt(np.maximum(norm[h][:, None] + norm[None, :] - 2 * c[h] @ c.T, 0))
+                    # a vector of another list within reach lies beyond the plane between the two centres and inside the list's ball
+                    near = (d - d[np.arange(len(h)), h][:, None] <= 2 * apart * (reach + 1e-6) + 1e-6) & (np.sqrt(d) <= low[None, :] + 1e-6)
+                    see = np.logical_or.reduceat(near[:, y.lists], y.cuts, axis=1)
+                    t = np.arange(len(y.cuts))
+                    # of two tiles one asks; it is the lower or the higher by turns, so that all are asked alike
+                    see &= (o[:, None] < t[None, :]) == ((o[:, None] + t[None, :]) % 2 == 1)
+                    see[np.arange(len(h)), o] = True
+                    at, tile = np.nonzero(see)
+                    for k in range(0, len(at), 4096):
+                        got = part.take(pa.array(at[k : k + 4096]))
+                        yield pa.RecordBatch.from_arrays([pa.array(tile[k : k + 4096].astype(np.int32)), *got.columns], names=["tile", *names])
+        return arrow_map(rows.select(*names[:-1], F.pmod(F.xxhash64("node"), F.lit(GRAIN)).alias("own")), run,
+                         "tile int, " + ", ".join(f"{c} {kinds[c]}" for c in names))
 
     def _linked(self, rows: DataFrame, index: Index) -> DataFrame:
         """(node, links, root): for each task's block and class linked there, its linked vectors and a tree's edge."""
-        sizes = rows.groupBy("home").agg(F.ceil(F.count("*") / F.lit(self.block)).cast("int").alias("k")).withColumnRenamed("home", "list")
-        seen = rows.withColumn("list", F.explode(F.concat(F.array("home"), "visits")))
-        asks = seen.groupBy("list").agg(F.ceil(F.count("*") / F.lit(2 * self.block)).cast("int").alias("q"))
-        plan = F.broadcast(sizes.join(asks, "list"))  # a row a list: 4096 at most
-        keep = ("node", "times", "unit", "home", "codes", "err", "visits")
-        stand = (rows.withColumn("list", F.col("home")).join(plan, "list").withColumn("i", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
-                 .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("q") - 1))).select("list", "i", "j", F.lit(0).alias("side"), *keep))
-        ask = (seen.join(plan, "list").withColumn("j", F.pmod(F.xxhash64("node", F.lit(1)), F.col("q")).cast("int"))
-               .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("list", "i", "j", F.lit(1).alias("side"), *keep))
+        lists = rows.groupBy("home").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()  # a row a list: 4096 at most
+        n = sum(r["n"] for r in lists)
+        most = min(self.block, max(256, n // 8))
+        layout = _layout(index, {r["home"]: r["n"] for r in lists}, {r["home"]: r["far"] for r in lists}, most)
+        seen = self._tiled(rows, index, layout, asks=True)
+        plan = F.broadcast(stored(seen.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(2 * most)).cast("int").alias("q")), "tiles"))  # a row a tile
+        keep = ("node", "times", "unit", "home", "codes", "err", "own")
+        stand = (self._tiled(rows, index, layout, asks=False).join(plan, "tile")
+                 .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("q") - 1))).select("tile", "j", F.lit(0).alias("side"), *keep))
+        ask = (seen.join(plan, "tile").withColumn("j", F.pmod(F.xxhash64("node", F.lit(1)), F.col("q")).cast("int"))
+               .select("tile", "j", F.lit(1).alias("side"), *keep))
         table, cosine = rows.sparkSession.sparkContext.broadcast(index), self.cosine
 
         def run(batches):
             now, held = None, []
             for b in batches:
                 t = pa.Table.from_batches([b])
-                key = np.stack([t.column(c).to_numpy() for c in ("list", "i", "j")], 1)
+                key = np.stack([t.column(c).to_numpy() for c in ("tile", "j")], 1)
                 cuts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(1))))
                 for lo, hi in zip(cuts, np.append(cuts[1:], len(key)), strict=True):
                     if held and tuple(key[lo]) != now:
@@ -158,7 +234,7 @@ class VectorLinks:
                     held.append(t.slice(lo, hi - lo))
             if held:
                 yield from _block(pa.concat_tables(held), table.value, cosine)
-        both = stand.union(ask).repartition("list", "i", "j").sortWithinPartitions("list", "i", "j", "side")
+        both = stand.union(ask).repartition("tile", "j").sortWithinPartitions("tile", "j", "side")
         kind = dict(rows.dtypes)["node"]
         return arrow_map(both, run, f"node {kind}, links long, root {kind}")
 
@@ -194,50 +270,61 @@ class VectorLinks:
 
 
 def _block(t: pa.Table, index: Index, cosine: float):
-    """Links between the classes that stand in a list (side 0) and those that ask (side 1)."""
+    """Links between the classes that stand in a tile (side 0) and those that ask (side 1)."""
     side = t.column("side").to_numpy()
-    node, times, home, err = (t.column(c).to_numpy() for c in ("node", "times", "home", "err"))
     stand, ask = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     if not len(stand) or not len(ask):
         return
-    here = home[stand[0]]
-    x = np.stack([np.array(u) for u in t.column("unit").to_pylist()])
+    times, home, err, own = (t.column(c).to_numpy() for c in ("times", "home", "err", "own"))
+    node = t.column("node").combine_chunks().dictionary_encode()
+    names, node = node.dictionary, node.indices.to_numpy()
+    x = _rows(t.column("unit"))
     codes = np.frombuffer(b"".join(t.column("codes").take(pa.array(stand)).to_pylist()), np.uint8).reshape(len(stand), -1)
-    visits = t.column("visits").to_pylist()
-    links, parent = np.zeros(len(node), np.int64), {}
-
-    def root(a):
-        while parent.get(a, a) != a:
-            parent[a] = a = parent.get(parent[a], parent[a])
-        return a
-    for lo in range(0, len(ask), 512):
-        q = ask[lo : lo + 512]
+    lists, at_list = np.unique(home[stand], return_inverse=True)
+    links, label = np.zeros(len(names), np.int64), np.arange(len(names))
+    step = max(1, (1 << 21) // len(stand))
+    for lo in range(0, len(ask), step):
+        q = ask[lo : lo + step]
         # cosine to the coded vectors: to the centre, plus a table entry for each code
-        near = np.repeat((x[q] @ index.centres[here])[:, None], len(stand), 1)
+        near = (x[q] @ index.centres[lists].T)[:, at_list]
         for i, (a, b) in enumerate(index.cuts):
             near += (x[q, a:b] @ index.codebooks[i, :, : b - a].T)[:, codes[:, i]]
-        at, to = np.nonzero(near + err[stand][None, :] >= cosine - 1e-9)
+        near += err[stand][None, :]
+        at, to = np.nonzero(near >= cosine - 1e-9)
         at, to = q[at], stand[to]
-        inner = home[at] == here
-        ok = ~inner | (node[at] < node[to])
+        ok = (own[at] != own[to]) | (node[at] < node[to])
         at, to = at[ok], to[ok]
         exact = np.concatenate([np.einsum("ij,ij->i", x[at[k : k + 65536]], x[to[k : k + 65536]]) for k in range(0, len(at), 65536)]) if len(at) else np.zeros(0)
         at, to = at[exact >= cosine], to[exact >= cosine]
-        # a pair met in both lists counts in the list of the greater number
-        other = home[at]
-        twice = np.array([o in visits[b] for o, b in zip(other.tolist(), to.tolist(), strict=True)], bool) if len(at) else np.zeros(0, bool)
-        ok = (other == here) | ~twice | (other < here)
-        at, to = at[ok], to[ok]
-        np.add.at(links, at, times[to])
-        np.add.at(links, to, times[at])
-        for a, b in zip(node[at].tolist(), node[to].tolist(), strict=True):
-            a, b = root(a), root(b)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-    total: dict = {}
-    for k in np.flatnonzero(links).tolist():
-        total[node[k]] = total.get(node[k], 0) + int(links[k])
-    if total:
-        nodes = list(total)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, t.column("node").type), pa.array(list(total.values()), pa.int64()),
-                                          pa.array([root(n) for n in nodes], t.column("node").type)], names=["node", "links", "root"])
+        np.add.at(links, node[at], times[to])
+        np.add.at(links, node[to], times[at])
+        _join(label, node[at], node[to])
+    kept = np.flatnonzero(links)
+    if len(kept):
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(kept)), pa.array(links[kept]), names.take(pa.array(label[kept]))], names=["node", "links", "root"])
+
+
+def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give each class the label of its component, as these links extend it.  Every round merges each component that
+    still has a link to another one."""
+    while True:
+        x, y = label[a], label[b]
+        out = x != y
+        a, b, x, y = a[out], b[out], x[out], y[out]
+        if not len(a):
+            return
+        picked = np.unique(np.concatenate((np.unique(x, return_index=True)[1], np.unique(y, return_index=True)[1])))
+        parent: dict = {}
+
+        def root(k):
+            while parent.get(k, k) != k:
+                parent[k] = k = parent.get(parent[k], parent[k])
+            return k
+        for u, v in zip(x[picked].tolist(), y[picked].tolist(), strict=True):
+            u, v = root(u), root(v)
+            if u != v:
+                parent[max(u, v)] = min(u, v)
+        to = np.arange(len(label))
+        for k in list(parent):
+            to[k] = root(k)
+        label[:] = to[label]

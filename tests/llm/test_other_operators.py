@@ -130,3 +130,18 @@ def test_warc_round_trip(spark, tmp_path):
     assert read(folder, manifest) == read(folder + "2", again)
     empty = write_archives(pages.limit(0), folder + "3", shards=2)
     assert read_archives(empty, folder + "3").count() == 0
+
+
+def test_vector_links_of_a_dense_group_over_many_lists(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 24))
+    x[:1000] = x[0] + 0.3 * rng.normal(size=(1000, 24))  # near, not equal: about a third of the lists stand in the group
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    true = (x @ x.T >= 0.9) & ~np.eye(3000, dtype=bool)
+    assert true.sum() > 200_000
+    for block in (8192, 40):  # 40: lists over a tile's size
+        got = {g.vec_id: g for g in VectorLinks(lists=330, block=block).links(df).collect()}
+        assert [got[i].n_links for i in range(3000)] == true.sum(1).tolist()
+        linked = np.flatnonzero(true[:1000, :1000].any(1))
+        assert {got[i].component_id for i in linked.tolist()} == {int(linked[0])}
