@@ -154,7 +154,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder("doc_id", 5) == 0
     engine = OrdinalToxicity()
     model = engine.fit(docs, labels.where(~held_out), "toxic")
-    return engine.predict(docs, model, 0.7).select("doc_id", held_out.alias("held_out"), "toxicity", "severity", "grade", "toxic")
+    return engine.predict(docs, model).select("doc_id", held_out.alias("held_out"), "toxicity", "severity", "grade", "toxic")
 
 
 @register("op4_embedding_near_dedup")

@@ -211,6 +211,23 @@ def test_toxicity_orders_grades(spark, stored_docs):
     assert not engine.predict(docs, engine.fit(docs, table.limit(0))).where("toxic").count()
 
 
+def test_toxicity_keeps_every_word_that_stands_out(spark, stored_docs):
+    """More features than 300, and words that always stand together in the training texts, each found alone."""
+    r = random.Random(3)
+    bad = [f"{r.getrandbits(40):010x}" for _ in range(400)]
+    plain = lambda: [r.choice(WORDS) for _ in range(30)]
+    # words 2k and 2k + 1 stand in the same 4 toxic texts; 800 toxic texts in all
+    train = [(i, " ".join([*plain(), *(bad[2 * (i % 200)], bad[2 * (i % 200) + 1])]), 1) for i in range(800)]
+    train += [(i, " ".join(plain()), 0) for i in range(800, 2400)]
+    test = [(5000 + k, " ".join([*plain(), w])) for k, w in enumerate(bad)] + [(6000 + k, " ".join(plain())) for k in range(100)]
+    docs = stored_docs([(d, t, None, None, 0) for d, t, _ in train] + [(d, t, None, None, 0) for d, t in test])
+    table = spark.createDataFrame([(d, y) for d, _, y in train], "doc_id long, toxic int")
+    engine = OrdinalToxicity(train_rows=3000, chi_square=7.0)
+    got = {g.doc_id: g.toxic for g in engine.predict(docs, engine.fit(docs, table), 0.7).where("doc_id >= 5000").collect()}
+    assert sum(got[5000 + k] for k in range(400)) == 400
+    assert sum(got[6000 + k] for k in range(100)) <= 5
+
+
 @pytest.mark.parametrize("make", [lambda d: jaccard_groups(d), lambda d: bpe.digests(d, tokenizer_file())])
 def test_other_id_types(spark, stored_docs, make):
     docs = stored_docs([("a", "x y z"), ("b", "x y z"), (None, None)], "doc_id string, text string")
