@@ -16,8 +16,10 @@ order: ordinary ones by hash, those that repeat most in the corpus behind them,
    fragment, partial overlaps counted separately and summed per pair, and the Jaccard condition is decided on
    the exact sum.
 
-Every linked pair ends up in one component, found directly or through others: ``links`` holds the pairs that
-were verified, which span the components but leave out pairs inside a component already known.
+Every linked pair ends up in one component, found directly or through others: by default the links are the pairs
+that were verified, which span the components but leave out pairs inside a component already known.  The whole join
+(``groups(docs, whole=True)``, ``jaccard_links``) does without that shortcut: step 4 tests all nodes around a centre
+against each other, every linked pair is verified, and each document gets its number of links.
 """
 
 from __future__ import annotations
@@ -264,11 +266,15 @@ class JaccardJoin:
                 .groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("overlap"))
                 .where((F.col("overlap") * self.den) >= self.num * (F.col("na") + F.col("nb") - F.col("overlap"))))
 
-    def rest(self, stars: DataFrame, found: DataFrame, maps: DataFrame) -> DataFrame:
+    def rest(self, stars: DataFrame, found: DataFrame | None, maps: DataFrame) -> DataFrame:
         """(a, b, na, nb): pairs of different components around the same centre, of similar sizes, whose bitmaps allow
-        the similarity.  Nodes that share a bucket share its centre.  found: (node, component)."""
-        held = (stars.select(F.col("a").alias("h"), F.col("b").alias("node"), F.col("nb").alias("n"))
-                .join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        the similarity.  Nodes that share a bucket share its centre.  found: (node, component); None: each node is a
+        component of its own, so all pairs are tested."""
+        held = stars.select(F.col("a").alias("h"), F.col("b").alias("node"), F.col("nb").alias("n"))
+        if found is None:
+            held = held.withColumn("component", F.col("node"))
+        else:
+            held = held.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         # the centre itself was compared with all; centres whose other nodes form one component are done
         open_ = (held.groupBy("h").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"))
                  .where("lo <> hi").withColumn("k", F.ceil(F.col("c") / F.lit(self.block)).cast("int")).select("h", "k"))
@@ -299,13 +305,16 @@ class JaccardJoin:
         return arrow_map(blocks, run, "a long, b long, na int, nb int").distinct()
 
     # -- the whole join -------------------------------------------------------------------------------------
-    def groups(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def groups(self, docs: DataFrame, whole: bool = False) -> tuple[DataFrame, DataFrame]:
         """(doc_id, n_shingles, component_id) for every row of docs, and the verified links (a, b, na, nb, overlap)
         between nodes.
 
         component_id is the least doc_id reachable by links.  A null or wordless text has n_shingles 0 and is its
         own component; a row without doc_id is grouped with equal texts only; rows that share a doc_id are grouped
-        each by its own text.  Columns other than doc_id and text are not read."""
+        each by its own text.  Columns other than doc_id and text are not read.
+
+        Without ``whole`` the links span the components and no more.  With it they are all linked pairs of nodes, once
+        each, and the rows have n_links too: the other rows of equal or linked text."""
         members = stored(self.members(docs), "members")
         prefixes = self.prefixes(docs, self.repeated(docs))
         buckets = stored(self.buckets(prefixes), "buckets")
@@ -314,18 +323,30 @@ class JaccardJoin:
         maps = stored(members.join(pool, "node").where(F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "bits"), "maps")
         stars = stored(self.stars(buckets), "stars")
         near = self.possible(stars.where(self._similar_sizes()), maps)
-        links = stored(self.verified(stored(near, "star-pairs"), docs, pool), "star-links")
-        found = components(links.select("a", "b"))
-        more = self.verified(stored(self.rest(stars, found, maps), "rest-pairs"), docs, pool)
-        links = stored(links.union(more), "links")
+        if whole:
+            turned = F.col("a") > F.col("b")
+            pairs = near.union(self.rest(stars, None, maps)).select(
+                F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                F.when(turned, F.col("nb")).otherwise(F.col("na")).alias("na"), F.when(turned, F.col("na")).otherwise(F.col("nb")).alias("nb"))
+            links = stored(self.verified(stored(pairs.distinct(), "pairs"), docs, pool), "links")
+        else:
+            links = stored(self.verified(stored(near, "star-pairs"), docs, pool), "star-links")
+            found = components(links.select("a", "b"))
+            more = self.verified(stored(self.rest(stars, found, maps), "rest-pairs"), docs, pool)
+            links = stored(links.union(more), "links")
         found = components(links.select("a", "b"))
         named = (reps.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
         least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
         # only nodes that hold several documents or are linked have another component_id than their own doc_id
         names = named.join(least, "component").select("node", "component_id")
-        out = (members.join(names, "node", "left")
-               .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
-        return out, links
+        out, extra = members.join(names, "node", "left"), []
+        if whole:
+            rows = members.where("node is not null").groupBy("node").agg(F.count("*").alias("rows"))
+            ends = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
+            linked = ends.join(rows.toDF("other", "others"), "other").groupBy("node").agg(F.sum("others").alias("others"))
+            count = rows.join(linked, "node", "left").select("node", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+            out, extra = out.join(count, "node", "left"), [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")]
+        return out.select("doc_id", "n_shingles", *extra, F.coalesce("component_id", "doc_id").alias("component_id")), links
 
 
 def _signature(s: np.ndarray) -> int:
@@ -404,3 +425,8 @@ def _across(parts, num: int, den: int):
 
 def jaccard_groups(docs: DataFrame, **parameters) -> DataFrame:
     return JaccardJoin(**parameters).groups(docs)[0]
+
+
+def jaccard_links(docs: DataFrame, **parameters) -> DataFrame:
+    """(doc_id, n_shingles, n_links, component_id) of the whole join."""
+    return JaccardJoin(**parameters).groups(docs, whole=True)[0]

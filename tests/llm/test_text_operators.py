@@ -67,6 +67,20 @@ def test_jaccard_join_equals_brute_force(spark, stored_docs):
     assert jaccard_groups(stored_docs([])).count() == 0
 
 
+def test_whole_join_counts_every_link(spark, stored_docs):
+    rows = near_copies(240, 4) + [(9001, None), (9002, ""), (9004, "one"), (9005, "ONE")]
+    docs = stored_docs([(d, t, "en", "s", 0) for d, t in rows])
+    sets = [shingles(t) for _, t in rows]
+    linked = [[i != j and bool(a & b) and 100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+    part = brute_components(rows)
+    want = {d: (part[d][0], sum(linked[i]), part[d][1]) for i, (d, _) in enumerate(rows)}
+    for block in (1024, 16):
+        out, links = JaccardJoin(block=block).groups(docs, whole=True)
+        assert {r.doc_id: (r.n_shingles, r.n_links, r.component_id) for r in out.collect()} == want
+        different = {frozenset((frozenset(sets[i]), frozenset(sets[j]))) for i in range(len(rows)) for j in range(i) if linked[i][j] and sets[i] != sets[j]}
+        assert links.count() == len(different) > JaccardJoin(block=block).groups(docs)[1].count()
+
+
 def test_repeated_shingles_rank_last_without_changing_results(stored_docs):
     rows = near_copies(120, 9)
     docs = stored_docs([(d, t, "en", "s", 0) for d, t in rows])
