@@ -403,7 +403,7 @@ def q_waterfall(spark, sf_dir):
 @register("tree_attrib")
 def q_tree_attrib(spark, sf_dir):
     tr, te = _split(spark, sf_dir)
-    model, _ = md.train_model("GradientBoosting", {"n_estimators": 20}, prep.build_prep_pipeline(ACCOUNTS), tr.cache())
+    model, _ = md.train_model("GradientBoosting", {}, prep.build_prep_pipeline(ACCOUNTS), tr.cache())
     return xp.tree_attributions(model, tr, te, key="id", background=100, explain_rows=None)
 
 

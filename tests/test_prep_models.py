@@ -160,3 +160,18 @@ def test_one_pass_linear_cv_equals_refit_loop(spark, frame):
                                           LinearRegression(labelCol="y", solver="normal")]), df, "y", k=4)
     for m in ("r2", "mae", "rmse"):
         assert abs(fast[m] - slow[m]) < 1e-9
+
+
+def test_tree_attributions_are_of_the_whole_family_model(spark, monkeypatch):
+    import __spark_entry__  # noqa: F401 — registers in the order that the modules need
+    from finlens.plans import queries_model as qm
+
+    class Asked(Exception):
+        pass
+
+    def ask(name, params, *_, **__):
+        raise Asked(md.gbt_params(name, params))
+    monkeypatch.setattr(qm.md, "train_model", ask)
+    with pytest.raises(Asked) as asked:
+        qm.q_tree_attrib(spark, "/root/testdata/sf0.001")
+    assert asked.value.args[0] == md.gbt_params("GradientBoosting") and asked.value.args[0]["maxIter"] == 100
