@@ -10,10 +10,10 @@ shuffled, and tasks hold the vocabulary and a slice of text.
 from __future__ import annotations
 
 import base64
-import heapq
 from array import array
 from dataclasses import dataclass
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from finlens.llm.kit import _BYTE_KEY, SLICE_BYTES, arrow_map, mix, ranges, span
 
 PIECE_CHARS = 1 << 18  # characters of a text cut into pre-tokens at once, about
 DECODED = 1 << 19  # ids decoded at once, or one row's
-SEEN = 1 << 18  # merged pre-tokens, of 64 bytes at most, that a task keeps for its next slices
+SEEN = 1 << 19  # merged pre-tokens, of 64 bytes at most, that a task keeps for its next slices
 
 
 @dataclass(frozen=True)
@@ -143,30 +143,35 @@ def _hashes(words: list[bytes]) -> np.ndarray:
 def merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a word: of all neighbouring parts whose concatenation has a rank, the one of least rank, leftmost first, is
     joined until none is left.  ``end`` and ``before`` link the parts by their first bytes."""
-    n = len(word)
-    end, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), bytearray(b"\1") * n
-    heap = [(ranks[word[i : i + 2]], i, i + 2) for i in range(n - 1) if word[i : i + 2] in ranks]
-    heapq.heapify(heap)
+    n, get = len(word), ranks.get
+    bits = n.bit_length()
+    mask, high = (1 << bits) - 1, 2 * bits
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # end 0: joined to the part before
+    # a pair in the heap: its rank, its first byte, and the byte behind it
+    heap = [get(word[i : i + 2]) << high | i << bits | i + 2 for i in range(n - 1) if word[i : i + 2] in ranks]
+    heapify(heap)
     while heap:
-        _, i, stop = heapq.heappop(heap)
-        if not alive[i] or end[i] >= n or end[end[i]] != stop:
+        pair = heappop(heap)
+        i, stop = pair >> bits & mask, pair & mask
+        middle = end[i]
+        if not middle or middle >= stop or end[middle] != stop:
             continue  # one of the parts has grown since
-        alive[end[i]] = 0
-        end[i] = stop
+        end[middle], end[i] = 0, stop
         if stop < n:
             before[stop] = i
-            r = ranks.get(word[i : end[stop]])
+            r = get(word[i : end[stop]])
             if r is not None:
-                heapq.heappush(heap, (r, i, end[stop]))
+                heappush(heap, r << high | i << bits | end[stop])
         left = before[i]
         if left >= 0:
-            r = ranks.get(word[left:stop])
+            r = get(word[left:stop])
             if r is not None:
-                heapq.heappush(heap, (r, left, stop))
+                heappush(heap, r << high | left << bits | stop)
     out, i = [], 0
     while i < n:
-        out.append(ranks[word[i : end[i]]])
-        i = end[i]
+        stop = end[i]
+        out.append(ranks[word[i:stop]])
+        i = stop
     return out
 
 
@@ -182,7 +187,7 @@ class Encoder:
         self.flat = np.frombuffer(b"".join(v.pieces), np.uint8)
         self.first = np.cumsum(self.lens) - self.lens
         self.ranks = dict(zip(v.pieces, v.ids.tolist(), strict=True))
-        self.seen: dict[bytes, array] = {}
+        self.seen: dict[bytes, bytes] = {}
 
     def words(self, text: str):
         """Lists of the pattern's matches, a bounded piece of the text at a time.  Pieces end before a space that follows
@@ -215,18 +220,18 @@ class Encoder:
         missed = np.flatnonzero(~known).tolist()
         merged = [self._merged(words[i]) for i in missed]
         count = np.ones(len(words), np.int64)
-        count[missed] = [len(m) for m in merged]
+        count[missed] = [len(m) // 4 for m in merged]
         out = np.zeros(int(count.sum()), np.int32)
         at = np.cumsum(count) - count
         out[at[known]] = self.v.ids[place[known]]
-        for i, m in zip(missed, merged, strict=True):
-            out[at[i] : at[i] + len(m)] = m
+        if missed:
+            out[ranges(at[missed], count[missed])] = np.frombuffer(b"".join(merged), np.int32)
         return out, count
 
-    def _merged(self, word: bytes) -> array:
+    def _merged(self, word: bytes) -> bytes:
         found = self.seen.get(word)
         if found is None:
-            found = array("i", merges(word, self.ranks))
+            found = array("i", merges(word, self.ranks)).tobytes()
             if len(word) <= 64:
                 if len(self.seen) >= SEEN:
                     self.seen.clear()
