@@ -9,10 +9,14 @@ GRAIN = 1 << 30
 
 
 def bounded_sample(rows: DataFrame, most: int, *key: str) -> DataFrame:
-    """About ``most`` rows, never over twice as many, chosen by a hash of the key alone: all rows if there are fewer."""
+    """About ``most`` rows, never over twice as many, chosen by a hash of the key alone: all rows if there are fewer.  Where one
+    key stands on so many rows that twice ``most`` is reached, the first by hash and columns: the same in every run."""
     n = rows.count()
     share = min(GRAIN, -(-GRAIN * most // max(n, 1)))
-    return rows.where(F.pmod(F.xxhash64(*key), F.lit(GRAIN)) < share).limit(2 * most)
+    chosen = rows.where(F.pmod(F.xxhash64(*key), F.lit(GRAIN)) < share)
+    if share == GRAIN or chosen.count() <= 2 * most:
+        return chosen
+    return chosen.orderBy(F.xxhash64(*key), *rows.columns).limit(2 * most)
 
 
 def remainder(doc_id: str, modulus: int) -> Column:
