@@ -183,6 +183,8 @@ def encode(docs: DataFrame, tokenizer_file: str, block_bytes: int = BLOCK_BYTES)
                 sizes = np.array([len(c) // 4 for c in codes], "<i4")
                 out.append(zlib.compress(np.array([place, n], "<i4").tobytes() + sizes.tobytes() + b"".join(codes), 3))
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(np.zeros(b.num_rows, np.int32)), pa.array(out, pa.binary())], names=["block", "kind", "body"])
+        del tokenizer, code_of
+        _tokenizer.cache_clear()  # a worker that goes on to other tasks does not keep it
 
     def texts(batches):
         for t in _blocks(batches, block_bytes):
