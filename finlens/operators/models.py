@@ -4,33 +4,32 @@ The five model families of the surveyed job map to ``pyspark.ml``:
 
 * ``LinearRegression`` — OLS with intercept (normal equations: one
   distributed aggregate of the k x k Gram matrix, solved on the driver);
-* ``GradientBoosting`` / ``XGBoost`` / ``LightGBM`` — ``GBTRegressor``; the
-  row-subsampling and leaf-bounded variants are re-aimed onto
-  ``subsamplingRate`` and a depth bound of ``floor(log2(num_leaves))``;
+* ``GradientBoosting`` — ``GBTRegressor``;
+* ``XGBoost`` / ``LightGBM`` — :class:`~finlens.operators.boosting.HistogramBooster`:
+  second-order gain with row subsampling by level, and best-first growth to a leaf limit;
 * ``Ensemble`` — :class:`VotingRegressor`, a weighted mean of member models.
 
-Tuning is a seeded random search: the parameter maps are drawn on the driver
-(a handful of numbers) and evaluated with ``CrossValidator`` over the key-hash
-folds, each trial a distributed fit.
+Tuning (``search``) proposes parameters on the driver (a handful of numbers) and
+scores them on the key-hash folds, whose preparation all trials share.
 """
 
 from __future__ import annotations
 
 import logging
 import math
-import random
 import time
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finlens.operators.boosting import Boost, HistogramBooster
+from finlens.operators.search import Folds, ParzenSampler, mean_r2, run_trials, weighted_r2
+
 LOG = logging.getLogger("finlens")
 
 MODEL_NAMES = ("LinearRegression", "GradientBoosting", "XGBoost", "LightGBM", "Ensemble")
@@ -53,25 +52,24 @@ SEARCH_SPACE = {
     "Ensemble": {"w0": ("float", 0.1, 1.0), "w1": ("float", 0.1, 1.0), "w2": ("float", 0.1, 1.0)},
 }
 N_TRIALS = 10
-MAX_TREE_DEPTH = 30  # Spark's limit
 
 
-def gbt_params(family: str, params: dict | None = None) -> dict:
-    """Map a family's parameters onto ``GBTRegressor`` arguments."""
+def gbt_params(family: str = "GradientBoosting", params: dict | None = None) -> dict:
+    """The ``GradientBoosting`` family's parameters as ``GBTRegressor`` arguments."""
     p = {**DEFAULTS[family], **(params or {})}
-    out = {"maxIter": int(p["n_estimators"]), "stepSize": float(p["learning_rate"])}
-    depth = int(p["max_depth"])
-    if family == "GradientBoosting":
-        out["maxDepth"] = depth
-        # split size s -> children of at least ceil(s / 2) rows (approximation)
-        out["minInstancesPerNode"] = max(1, math.ceil(int(p["min_samples_split"]) / 2))
-    elif family == "XGBoost":
-        out["maxDepth"] = depth
-        out["subsamplingRate"] = float(p["subsample"])
-    else:  # LightGBM: leaves bound the depth
-        leaf_depth = max(1, int(math.floor(math.log2(max(2, int(p["num_leaves"]))))))
-        out["maxDepth"] = min(depth if depth > 0 else MAX_TREE_DEPTH, leaf_depth)
-    return out
+    # split size s -> children of at least ceil(s / 2) rows (approximation)
+    return {"maxIter": int(p["n_estimators"]), "stepSize": float(p["learning_rate"]), "maxDepth": int(p["max_depth"]),
+            "minInstancesPerNode": max(1, math.ceil(int(p["min_samples_split"]) / 2))}
+
+
+def boost_params(family: str, params: dict | None = None, seed: int = 42) -> Boost:
+    """The other two boosting families' parameters.  Fixed values: an L2 penalty of 1 and leaves of one row (second order), none and
+    20 rows (leaf-wise), which are those libraries' defaults."""
+    p = {**DEFAULTS[family], **(params or {})}
+    shared = {"n_estimators": int(p["n_estimators"]), "learning_rate": float(p["learning_rate"]), "max_depth": int(p["max_depth"]), "seed": seed}
+    if family == "XGBoost":
+        return Boost(**shared, l2=1.0, min_rows=1, subsample=float(p["subsample"]))
+    return Boost(**shared, num_leaves=int(p["num_leaves"]), l2=0.0, min_rows=20)
 
 
 def make_regressor(name: str, params: dict | None = None, features_col: str = "features", label_col: str = "y_log",
@@ -80,8 +78,10 @@ def make_regressor(name: str, params: dict | None = None, features_col: str = "f
     cols = {"featuresCol": features_col, "labelCol": label_col, "predictionCol": prediction_col}
     if name == "LinearRegression":
         return LinearRegression(solver="normal", regParam=0.0, elasticNetParam=0.0, fitIntercept=True, **cols)
-    if name in DEFAULTS:
+    if name == "GradientBoosting":
         return GBTRegressor(seed=seed, cacheNodeIds=True, checkpointInterval=10, **gbt_params(name, params), **cols)
+    if name in DEFAULTS:
+        return HistogramBooster(boost_params(name, params, seed), **cols)
     if name == "Ensemble":
         members = [make_regressor(m, (tuned_members or {}).get(m), features_col, label_col, seed=seed)
                    for m in ("GradientBoosting", "XGBoost", "LightGBM")]
@@ -178,65 +178,39 @@ class _VotingReader(MLReader):
 
 # -- M6 ------------------------------------------------------------------------------------------
 def draw_params(name: str, trials: int = N_TRIALS, seed: int = 42, space: dict | None = None) -> list[dict]:
-    """Seeded random draws from the family's search space (reproducible)."""
+    """Seeded random draws from the family's search space (reproducible); a search starts with these."""
     space = space or SEARCH_SPACE.get(name)
     if not space:
         return []
-    rng = random.Random(f"{name}|{seed}")
-    out = []
-    for _ in range(trials):
-        d = {}
-        for k, (kind, lo, hi) in space.items():
-            d[k] = rng.randint(lo, hi) if kind == "int" else rng.uniform(lo, hi)
-        out.append(d)
-    return out
+    sampler = ParzenSampler(space, f"{name}|{seed}")
+    return [sampler.draw() for _ in range(trials)]
 
 
 def search(name: str, prep: Pipeline, train: DataFrame, label_col: str = "y_log", fold_col: str = "fold",
-           trials: int = N_TRIALS, seed: int = 42, parallelism: int = 2,
-           space: dict | None = None) -> tuple[dict, list[float]]:
-    """M6: maximise mean k-fold R² over seeded draws; returns (best params,
-    per-trial scores).  A failing search returns ``({}, [])`` (defaults)."""
-    draws = draw_params(name, trials, seed, space)
-    if not draws:
+           trials: int = N_TRIALS, seed: int = 42, parallelism: int = 2, space: dict | None = None,
+           folds: Folds | None = None) -> tuple[dict, list[float]]:
+    """M6: maximise mean k-fold R² over a Parzen-estimator search; returns (best params,
+    per-trial scores).  ``folds`` shares prepared folds between families.  A failing search returns ``({}, [])`` (defaults)."""
+    space = space or SEARCH_SPACE.get(name)
+    if not space:
         return {}, []
     try:
-        ests = [make_regressor(name, d, label_col=label_col, seed=seed) for d in draws]
-        # one estimator per trial keeps each trial's parameters private
-        holder = _Choice(ests)
-        maps = [{holder.choice: i} for i in range(len(ests))]
-        cv = CrossValidator(estimator=Pipeline(stages=[*prep.getStages(), holder]), estimatorParamMaps=maps,
-                            evaluator=RegressionEvaluator(labelCol=label_col, metricName="r2"),
-                            foldCol=fold_col, numFolds=int(train.agg(F.max(fold_col)).first()[0]) + 1,
-                            parallelism=parallelism, seed=seed)
-        m = cv.fit(train)
-        scores = [float(x) for x in m.avgMetrics]
-        best = max(range(len(scores)), key=lambda i: scores[i])
-        return draws[best], scores
+        folds = folds or Folds(prep, train, label_col, fold_col)
+        if name in ("XGBoost", "LightGBM"):
+            score = lambda asked: [mean_r2(f) for f in folds.boosted([boost_params(name, p, seed) for p in asked])]
+        elif name == "Ensemble":
+            products = folds.products(make_regressor(name, label_col=label_col, seed=seed).members)
+            score = lambda asked: [weighted_r2(products, [v for _, v in sorted(p.items())]) for p in asked]
+        else:
+            score = lambda asked: [mean_r2(f) for f in folds.estimated(
+                [make_regressor(name, p, label_col=label_col, seed=seed) for p in asked], parallelism)]
+        tried, scores = run_trials(space, score, trials, f"{name}|{seed}", parallelism)
+        return tried[max(range(len(scores)), key=lambda i: scores[i])], scores
     except Exception:  # noqa: BLE001 — parity: a failed search falls back to defaults, and says so
         LOG.exception("search of %s failed; its defaults are used", name)
         return {}, []
 
 
-class _Choice(Estimator):
-    """Picks one of several pre-built estimators by index (search helper)."""
-
-    choice = Param(Params._dummy(), "choice", "index of the estimator to fit", typeConverter=TypeConverters.toInt)
-
-    def __init__(self, estimators):
-        super().__init__()
-        self.estimators = estimators
-        self._setDefault(choice=0)
-
-    def copy(self, extra=None):
-        that = super().copy(extra)
-        that.estimators = self.estimators
-        return that
-
-    def _fit(self, df):
-        return self.estimators[self.getOrDefault("choice")].fit(df)
-
-
 # -- M7 / M8 -------------------------------------------------------------------------------------
 def train_model(name: str, params: dict, prep: Pipeline, train: DataFrame, label_col: str = "y_log",
                 seed: int = 42) -> tuple[PipelineModel, float]:
@@ -253,8 +227,9 @@ def train_all(prep: Pipeline, train: DataFrame, names=MODEL_NAMES, label_col: st
     """M8: search + fit every family; models that fail are skipped.
     Returns ``(models, params, train_times)``."""
     models, params, times = {}, {}, {}
+    folds = Folds(prep, train, label_col) if tune else None
     for name in names:
-        p = search(name, prep, train, label_col, trials=trials, seed=seed)[0] if tune else {}
+        p = search(name, prep, train, label_col, trials=trials, seed=seed, folds=folds)[0] if tune else {}
         try:
             models[name], times[name] = train_model(name, p, prep, train, label_col, seed)
             params[name] = p

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +56,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "finlens", name)
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Send this library to the executors' Python workers through Spark's file server, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_finlens_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="finlens-ship-"), "finlens_lib.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(top):
+            for name in files:
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(top)))
+    sc.addPyFile(out)
+    sc._finlens_shipped = True

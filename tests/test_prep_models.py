@@ -86,7 +86,8 @@ def test_seeded_draws_and_mapping():
     assert a == b and len(a) == 10
     for d in a:
         assert 50 <= d["n_estimators"] <= 300 and 0.5 <= d["subsample"] <= 1.0
-    assert md.gbt_params("LightGBM")["maxDepth"] == 4  # 31 leaves -> depth 4
+    assert md.boost_params("LightGBM").num_leaves == 31 and md.boost_params("LightGBM").max_depth < 1
+    assert md.boost_params("XGBoost", {"subsample": 0.8}).subsample == 0.8
     assert md.gbt_params("GradientBoosting", {"min_samples_split": 7})["minInstancesPerNode"] == 4
     assert md.draw_params("LinearRegression") == []
 
