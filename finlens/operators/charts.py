@@ -14,8 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlens.functions.exprs import c, explode_rows, log_feature
+from finlens.functions.exprs import c, explode_rows, log_feature, no_nan
 from finlens.operators import ranks
+from finlens.operators.positions import number_rows
 
 # Box-plot whisker reach (1.5 IQR) and notch constant (1.57).
 WHISKER = 1.5
@@ -24,12 +25,27 @@ NOTCH = 1.57
 
 def null_patterns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Rows per missing-value pattern; ``pattern`` has one 0/1 flag per
-    column (1 = missing) in column order."""
+    column (1 = missing: null or NaN) in column order."""
     cols = list(cols or df.columns)
+    df = no_nan(df, cols)
     flags = [F.when(c(x).isNull(), F.lit("1")).otherwise(F.lit("0")) for x in cols]
     return df.groupBy(F.concat(*flags).alias("pattern")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def missing_map(df: DataFrame, order: Sequence[str], cols: Sequence[str] | None = None, buckets: int = 50) -> DataFrame:
+    """The missing-value map as a grid ``(bucket, column, rows, missing)``: rows in ``order`` fall into ``buckets`` runs of equal
+    length.  ``order`` must tell rows apart up to equal ones; rows are numbered without a one-task window.  An empty
+    table has no buckets."""
+    cols = list(cols or df.columns)
+    flags = [F.when(c(x).isNull(), 1).otherwise(0).alias(f"__m{i}") for i, x in enumerate(cols)]
+    keys = [c(x).alias(f"__o{i}") for i, x in enumerate(order)]
+    rows = number_rows(no_nan(df, cols).select(*keys, *flags), [f"__o{i}" for i in range(len(order))], name="__pos", count="__n")
+    agg = rows.groupBy(F.floor(F.col("__pos") * buckets / F.col("__n")).cast("int").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(f"__m{i}").alias(f"__s{i}") for i in range(len(cols))])
+    return agg.select("bucket", "rows", F.inline(F.array(*[F.struct(F.lit(x).alias("column"), F.col(f"__s{i}").alias("missing"))
+                                                           for i, x in enumerate(cols)]))).select("bucket", "column", "rows", "missing")
+
+
 def bounds(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
     row = df.agg(*[e for i, x in enumerate(cols) for e in (F.min(c(x)).cast("double").alias(f"lo{i}"),
                                                           F.max(c(x)).cast("double").alias(f"hi{i}"))]).first()
@@ -48,8 +64,8 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30, transform=None
     """``(column, bin, lo_edge, hi_edge, count)`` per numeric column.
     ``transform`` maps a column name to the Column to bin (C3 passes a log)."""
     cols = list(cols)
-    src = df.select(*[(transform(x) if transform else c(x)).cast("double").alias(f"__v{i}")
-                      for i, x in enumerate(cols)])
+    src = no_nan(df, cols)
+    src = src.select(*[(transform(x) if transform else c(x)).cast("double").alias(f"__v{i}") for i, x in enumerate(cols)])
     bd = bounds(src, [f"__v{i}" for i in range(len(cols))])
     entries = []
     for i, x in enumerate(cols):
@@ -99,6 +115,7 @@ def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     """C4: 2-D binned counts for every pair of ``cols`` (the scalable form of a
     pair plot): ``(a, b, bin_a, bin_b, count)`` over rows where both exist."""
     cols = list(cols)
+    df = no_nan(df, cols)
     bd = bounds(df, cols)
     ok = [x for x in cols if bd[x][0] is not None]
     bx = {x: bin_expr(c(x).cast("double"), bd[x][0], bd[x][1], bins) for x in ok}
@@ -123,6 +140,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Dat
     into a broadcast when the stats table is small and splits skewed groups
     otherwise."""
     by = list(by)
+    df = no_nan(df, cols)
     q = ranks.exact_quantiles(df, cols, (0.25, 0.5, 0.75), ("q1", "median", "q3"), by=by)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     keep = F.lit(True)
@@ -144,6 +162,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Dat
 
 def outlier_points(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
     """C8 outlier markers: ``(key, column, value)`` beyond the whisker fences."""
+    df = no_nan(df, cols)
     st = ranks.exact_quantiles(df, cols, (0.25, 0.75), ("q1", "q3")).withColumn("iqr", F.col("q3") - F.col("q1"))
     lv = _long(df, cols, [key])
     j = lv.join(st, "column")

@@ -10,8 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlens.functions.exprs import (METRIC_DIGITS, R2_DIGITS, bias_factor, c, find_column, in_units,
-                                     inverse_target, round_half_away)
+from finlens.functions.exprs import METRIC_DIGITS, R2_DIGITS, c, find_column, inverse_target, nan_to_null, round_half_away
 
 METRIC_COLS = ("r2_log_cv", "mae_log_cv", "rmse_log_cv", "r2_log", "mae_log", "rmse_log",
                "r2_real", "mae_real", "rmse_real")
@@ -21,9 +20,9 @@ SERVING_FALLBACK = "LightGBM"
 
 # -- A17 -----------------------------------------------------------------------------------------
 def metric_aggs(label: str, pred: str) -> list[Column]:
-    y, p = c(label), c(pred)
-    e = y - p
-    return [F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"), F.var_pop(y).alias("var_y"),
+    y, p = nan_to_null(c(label).cast("double")), nan_to_null(c(pred).cast("double"))
+    e = y - p  # null where either side is missing: such a row is left out
+    return [F.count(e).alias("n"), F.sum(e * e).alias("sse"), F.var_pop(F.when(p.isNotNull(), y)).alias("var_y"),
             F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse")]
 
 
@@ -178,7 +177,8 @@ def _div(x, unit):
 def _finish(row, prefix: str) -> dict:
     n, sse, var_y = row[f"{prefix}n"], row[f"{prefix}sse"], row[f"{prefix}var_y"]
     mse = row[f"{prefix}mse"]
-    r2 = None if not n or var_y in (None, 0.0) else 1.0 - sse / (n * var_y)
+    # a constant label: 1 if predicted exactly, else 0, as in metric_cols()
+    r2 = None if not n or var_y is None else 1.0 - sse / (n * var_y) if var_y > 0 else float(sse == 0)
     return {"r2": r2, "mae": row[f"{prefix}mae"], "rmse": None if mse is None else math.sqrt(mse)}
 
 

@@ -19,7 +19,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlens.functions.exprs import c, safe_name
+from finlens.functions.exprs import c, nan_to_null, no_nan, safe_name
 from finlens.operators import ranks
 from finlens.operators.clean import derived_exprs
 from finlens.spec import Spec
@@ -33,7 +33,7 @@ class _HasSurrogates(Params):
 
 
 def _exact(df: DataFrame, cols, probs, names):
-    q = ranks.exact_quantiles(df, cols, probs, names)
+    q = ranks.exact_quantiles(no_nan(df, cols), cols, probs, names)
     got = {r["column"]: r for r in q.collect()}  # one row per column: bounded
     return [got.get(x) for x in cols]
 
@@ -62,7 +62,7 @@ class ExactMedianImputerModel(Model, HasInputCols, HasOutputCols, _HasSurrogates
         self._set(**self._input_kwargs)
 
     def _transform(self, df):
-        return df.withColumns({o: F.coalesce(c(i).cast("double"), F.lit(s)) for i, o, s in
+        return df.withColumns({o: F.coalesce(nan_to_null(c(i).cast("double")), F.lit(s)) for i, o, s in
                                zip(self.getInputCols(), self.getOutputCols(), self.getOrDefault("surrogates"))})
 
 
@@ -115,7 +115,7 @@ class ModeImputer(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, D
 
     def _fit(self, df):
         col = self.getInputCol()
-        top = (df.where(c(col).isNotNull()).groupBy(c(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        top = (no_nan(df, [col]).where(c(col).isNotNull()).groupBy(c(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
                .orderBy(F.col("n").desc(), F.col("v")).limit(1).collect())
         return ModeImputerModel(inputCol=col, outputCol=self.getOutputCol(),
                                 fill=str(top[0]["v"]) if top else "")
@@ -130,7 +130,9 @@ class ModeImputerModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable,
         self._set(**self._input_kwargs)
 
     def _transform(self, df):
-        return df.withColumn(self.getOutputCol(), F.coalesce(c(self.getInputCol()), F.lit(self.getOrDefault("fill"))))
+        col = c(self.getInputCol())
+        col = nan_to_null(col) if dict(df.dtypes).get(self.getInputCol()) in ("double", "float") else col
+        return df.withColumn(self.getOutputCol(), F.coalesce(col, F.lit(self.getOrDefault("fill"))))
 
 
 # -- D1 ------------------------------------------------------------------------------------------

@@ -8,13 +8,18 @@ one-row result and applies it in a second pass.  Results are long tables
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from statistics import NormalDist
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finlens.functions.exprs import c, correlation, explode_rows, guarded_ratio, no_nan
 from finlens.operators import ranks
+from finlens.operators.positions import number_rows
+from finlens.session import ship_library
 
 
 def _stack(rows: list[Column]) -> Column:
@@ -75,23 +80,94 @@ def value_counts(df: DataFrame, col: str, with_pos: bool = True) -> DataFrame:
     """A4: ``(value, count[, pos])`` most frequent first, missing excluded.
 
     The aggregate is partial (map-side), so a hot value costs one row per task.
-    ``pos`` comes from a global window, which runs in one partition: keep it for
-    categorical columns (bounded distinct values).  ``with_pos=False`` returns a
-    range-partitioned ``orderBy`` instead, fit for unbounded value sets."""
-    out = df.where(c(col).isNotNull()).groupBy(c(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+    ``pos`` comes from range partitions and their row counts (:func:`number_rows`), so a column may have as many values
+    as rows.  ``with_pos=False`` returns a plain ``orderBy`` instead."""
+    out = no_nan(df, [col]).where(c(col).isNotNull()).groupBy(c(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
     if not with_pos:
         return out.orderBy(F.col("count").desc(), F.col("value"))
-    return out.withColumn("pos", F.row_number().over(Window.orderBy(F.col("count").desc(), F.col("value"))))
+    return number_rows(out, [F.col("count").desc(), F.col("value")], name="pos").withColumn("pos", F.col("pos") + 1)
 
 
 def nunique(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """A5: distinct non-missing values per column (exact, or HLL when ``approx``)."""
+    df = no_nan(df, cols)
     fn = (lambda x: F.approx_count_distinct(c(x))) if approx else (lambda x: F.count_distinct(c(x)))
     agg = df.agg(*[fn(x).alias(f"__d{i}") for i, x in enumerate(cols)])
     return agg.select(_stack([F.struct(F.lit(x).alias("column"), F.col(f"__d{i}").cast("long").alias("nunique"))
                               for i, x in enumerate(cols)]))
 
 
+# -- A8, small columns ---------------------------------------------------------------------------
+SHAPIRO_LIMIT = 5000  # fixed value: columns with fewer non-missing values are tested by Shapiro-Wilk
+# The polynomials of Royston's algorithm (Applied Statistics R94), constant term first.
+_C1 = (0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056)
+_C2 = (0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633)
+_C3 = (0.5440, -0.39978, 0.025054, -6.714e-4)
+_C4 = (1.3822, -0.77857, 0.062767, -0.0020322)
+_C5 = (-1.5861, -0.31082, -0.083751, 0.0038915)
+_C6 = (-0.4803, -0.082676, 0.0030302)
+_G = (-2.273, 0.459)
+
+
+def shapiro_wilk(values) -> tuple[float | None, float | None]:
+    """W and p of 3 to 5000 values; none for fewer or without spread."""
+    x = sorted(float(v) for v in values)
+    n = len(x)
+    if n < 3 or x[0] == x[-1]:
+        return None, None
+    poly = lambda c, t: sum(k * t**i for i, k in enumerate(c))
+    normal = NormalDist()
+    m = [normal.inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
+    square, u = sum(v * v for v in m), n**-0.5
+    if n == 3:
+        a = [-(0.5**0.5), 0.0, 0.5**0.5]
+    else:
+        last = poly(_C1, u) + m[-1] / square**0.5
+        ends = [last]
+        if n > 5:
+            ends.append(poly(_C2, u) + m[-2] / square**0.5)
+        k = len(ends)
+        phi = (square - 2 * sum(v * v for v in m[n - k:])) / (1 - 2 * sum(v * v for v in ends))
+        a = [v / phi**0.5 for v in m]
+        for j, e in enumerate(ends):
+            a[n - 1 - j], a[j] = e, -e
+    mean = sum(x) / n
+    w = min(1.0, sum(p * q for p, q in zip(a, x, strict=True)) ** 2 / sum((v - mean) ** 2 for v in x))
+    if n == 3:
+        return w, max(0.0, 6 / math.pi * (math.asin(w**0.5) - math.asin(0.75**0.5)))
+    if w >= 1.0:
+        return w, 1.0
+    y = math.log(1 - w)
+    if n <= 11:
+        gamma = poly(_G, n)
+        if y >= gamma:
+            return w, 0.0
+        y, mu, s = -math.log(gamma - y), poly(_C3, n), math.exp(poly(_C4, n))
+    else:
+        t = math.log(n)
+        mu, s = poly(_C5, t), math.exp(poly(_C6, t))
+    return w, 1 - normal.cdf((y - mu) / s)
+
+
+def normality(df: DataFrame, cols: Sequence[str], alpha: float = 0.05) -> DataFrame:
+    """``(column, n, test, statistic, p, normal)``: Shapiro-Wilk for columns of 3 to ``SHAPIRO_LIMIT`` - 1 non-missing values,
+    whose values are one bounded group, Jarque-Bera from the moments for the others; ``test`` says which."""
+    ship_library(df.sparkSession)
+    df = no_nan(df, cols)
+    m = moments(df, cols)
+    few = [r["column"] for r in m.where((F.col("n") >= 3) & (F.col("n") < SHAPIRO_LIMIT)).select("column").collect()]  # one row per column
+    big = m.where(~F.col("column").isin(few)).select("column", "n", F.lit("jarque-bera").alias("test"), F.col("jb").alias("statistic"), F.col("jb_p").alias("p"))
+    out = big
+    if few:
+        values = explode_rows(df, [(c(x).isNotNull(), [F.lit(x).alias("column"), c(x).cast("double").alias("value")]) for x in few])
+
+        def test(pdf):
+            w, p = shapiro_wilk(pdf["value"])
+            return pd.DataFrame([(pdf["column"].iloc[0], len(pdf), "shapiro-wilk", w, p)], columns=["column", "n", "test", "statistic", "p"])
+        out = big.unionByName(values.groupBy("column").applyInPandas(test, "column string, n long, test string, statistic double, p double"))
+    return out.withColumn("normal", F.col("p") > alpha)
+
+
 # -- A6 / A7 / A8 --------------------------------------------------------------------------------
 def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A6, A7, A8 in one pass: ``(column, n, skew, kurt, jb, jb_p, normal)``.

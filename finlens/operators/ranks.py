@@ -29,6 +29,7 @@ Exact linear quantiles read the values at ranks ``floor(h)+1`` and
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -48,9 +49,6 @@ MAX_CUT_ACCURACY = 1_000_000
 DEFAULT_ACCURACY = 10000
 # rows a single (key, target) selection bracket may hold before it is narrowed
 MAX_BRACKET = 2_000_000
-# narrowing rounds (each divides a bracket by ``accuracy``; doubles run out of
-# distinct values long before this)
-MAX_ROUNDS = 8
 # log buckets per power of two in the first histogram pass
 LOG_STEPS = 16
 # targets (#keys x #probs rows, ~100 bytes each) broadcast up to this many rows;
@@ -171,31 +169,6 @@ def rank_table(long_df: DataFrame, keys: Sequence[str] = ("column",)) -> DataFra
     ).withColumn("avg_rank", F.col("cum") - (F.col("cnt") - 1) / 2.0)
 
 
-def quantiles_from_ranks(ranks: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                         names: Sequence[str] | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles per key: one column per prob."""
-    keys = list(keys)
-    names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
-    n = F.col("n")
-    lo_start = F.col("cum") - F.col("cnt") + 1
-    aggs = []
-    for p, name in zip(probs, names):
-        h = (n - 1).cast("double") * F.lit(float(p))
-        rl = F.floor(h) + 1
-        ru = F.ceil(h) + 1
-        aggs += [
-            F.max(F.when((lo_start <= rl) & (F.col("cum") >= rl), F.col("value"))).alias(f"__lo_{name}"),
-            F.max(F.when((lo_start <= ru) & (F.col("cum") >= ru), F.col("value"))).alias(f"__hi_{name}"),
-            F.max(h - F.floor(h)).alias(f"__fr_{name}"),
-        ]
-    agg = ranks.groupBy(*keys).agg(F.max("n").alias("n"), *aggs)
-    out = [F.col(k) for k in keys] + [F.col("n")]
-    for name in names:
-        lo, hi, fr = F.col(f"__lo_{name}"), F.col(f"__hi_{name}"), F.col(f"__fr_{name}")
-        out.append((lo + (hi - lo) * fr).alias(name))
-    return agg.select(*out)
-
-
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     names: Sequence[str] | None = None, by: Sequence[str] = (),
                     accuracy: int = DEFAULT_ACCURACY, approx_accuracy: int | None = None,
@@ -237,123 +210,103 @@ def _linear_bucket(v: Column, lo: Column, hi: Column, steps: int) -> Column:
     return F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(steps))).cast("long"), F.lit(steps - 1))
 
 
-def _band_join(long_df: DataFrame, keys: Sequence[str], targets: DataFrame) -> DataFrame:
-    """Rows of ``long_df`` inside each target's ``[lo, hi]``: a null-safe
-    equi-join on the keys with the band test evaluated inside the join."""
-    tk = targets.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                        *[x for x in targets.columns if x not in keys])
+def _band_join(long_df: DataFrame, keys: Sequence[str], brackets: DataFrame) -> DataFrame:
+    """Rows of ``long_df`` inside a bracket ``[lo, hi]`` of their key (brackets of a key are disjoint, so a row comes
+    once at most): a null-safe equi-join on the keys with the band test evaluated inside the join."""
+    tk = brackets.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                         *[x for x in brackets.columns if x not in keys])
     on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     on += [F.col("value") >= F.col("lo"), F.col("value") <= F.col("hi")]
     return long_df.join(tk, on).drop(*[f"__k{i}" for i in range(len(keys))])
 
 
-def _brackets(hist: DataFrame, keys: Sequence[str], bucket: str, offset: str | None = None) -> DataFrame:
-    """From ``(keys..., bucket, bc, bmin, bmax)`` with absolute cumulative
-    counts, the bucket holding each target rank gives an exact bracket:
-    every row of an earlier bucket is smaller than ``bmin`` (the bucket id
-    never decreases with the value), so the value at rank ``r`` lies in
-    ``[bmin, bmax]`` of the bucket whose cumulative range covers ``r``.
-    ``offset`` names a column of rows below the histogram's range."""
-    w = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hb = hist.withColumn("bcum", F.sum("bc").over(w) + (F.col(offset) if offset else F.lit(0)))
-    first = F.col("bcum") - F.col("bc") + 1
-    covers_l = (first <= F.col("rl")) & (F.col("bcum") >= F.col("rl"))
-    covers_u = (first <= F.col("ru")) & (F.col("bcum") >= F.col("ru"))
-    overlaps = (F.col("bcum") >= F.col("rl")) & (first <= F.col("ru"))
-    return hb.groupBy(*keys).agg(
-        F.first("n").alias("n"), F.first("rl").alias("rl"), F.first("ru").alias("ru"), F.first("fr").alias("fr"),
-        F.min(F.when(covers_l, F.col("bmin"))).alias("lo"), F.max(F.when(covers_u, F.col("bmax"))).alias("hi"),
-        F.min(F.when(covers_l, first - 1)).alias("below"),
-        F.sum(F.when(overlaps, F.col("bc")).otherwise(F.lit(0))).alias("rows"))
+def _brackets(hist: DataFrame, part: Sequence[str], keys: Sequence[str], bucket: str) -> DataFrame:
+    """From ``(part..., bucket, bc, bmin, bmax, below, wanted, n)`` the buckets that hold a wanted rank.
+
+    Every row of an earlier bucket is smaller (the bucket id never decreases with the value), so the running count says which
+    ranks a bucket holds, and its ``[min, max]`` is an exact bracket for them.  ``below`` counts the rows under the
+    histogram's range."""
+    w = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    under = F.sum("bc").over(w) - F.col("bc") + F.col("below")
+    out = hist.withColumn("below", under)
+    own = F.filter("wanted", lambda r: (r > F.col("below")) & (r <= F.col("below") + F.col("bc")))
+    return out.select(*keys, "n", "below", F.col("bc").alias("rows"), F.col("bmin").alias("lo"), F.col("bmax").alias("hi"),
+                      own.alias("wanted")).where(F.size("wanted") > 0)
+
+
+def _held(df: DataFrame) -> tuple[DataFrame, bool]:
+    """A small table fixed where it is: up to MAX_BROADCAST_TARGETS rows as a local relation, whose size the planner knows,
+    otherwise checkpointed."""
+    rows = df.take(MAX_BROADCAST_TARGETS + 1)
+    if len(rows) <= MAX_BROADCAST_TARGETS:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), True
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True), False
+
+
+def rounds_needed(accuracy: int) -> int:
+    """Narrowing rounds after which no bracket can hold two values: a log bucket's doubles lie within two powers of two, so
+    at most 2^53 of them, and a round keeps an ``accuracy``-th of the range."""
+    return 2 + math.ceil(53 / math.log2(max(2, accuracy)))
 
 
 def bracket_quantiles(long_df: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str],
                       accuracy: int = DEFAULT_ACCURACY, max_bracket: int = MAX_BRACKET) -> DataFrame:
     """Exact quantiles by histogram selection (distributed, sketch-free).
 
-    1. *histogram* — one partial aggregate of ``(key, log bucket) -> count,
-       min, max`` (a few thousand rows per key at most, whatever the size);
-       cumulative counts over it locate, for each target rank, the bucket
-       that holds it, and that bucket's ``[min, max]`` is an exact bracket;
-    2. *narrow* (only for brackets over ``max_bracket`` rows whose ends
-       differ) — the same over ``accuracy`` equal-width sub-buckets of the
-       bracket (only bracket rows pass the join; the rows below it are
-       already counted);
-    3. *select* — a window over the distinct bracket values of each
-       ``(key, target)`` gives the values at the exact ranks.
-
-    A value holding a third of all rows is one histogram entry and one
-    distinct bracket value; no task ever sorts a whole column."""
+    1. *histogram* — one partial aggregate of ``(key, log bucket) -> count, min, max`` (a few thousand rows per key at
+       most, whatever the size); running counts locate the bucket of every wanted rank.  The two ranks around a
+       quantile are wanted each for itself, so a bracket never spans a gap between buckets;
+    2. *narrow* (only brackets over ``max_bracket`` rows whose ends differ) — the same over ``accuracy`` equal-width
+       sub-buckets of the bracket; only its rows pass the join, the rows below it are already counted.  Within one
+       log bucket doubles are evenly spaced, so the rounds are bounded (:func:`rounds_needed`) whatever the values;
+    3. *select* — running counts over the distinct values of a bracket, at most ``max_bracket`` of them.  A bracket of
+       one value needs no rows at all.
+
+    A value holding a third of all rows is one histogram entry and one distinct bracket value; no task ever sorts a
+    whole column."""
     keys = list(keys)
-    tk = [*keys, "t"]
-    spark = long_df.sparkSession
-    ensure_checkpoint_dir(spark)
-    tg = []
-    for t, p in enumerate(probs):
-        h = (F.col("n") - 1).cast("double") * F.lit(float(p))
-        tg.append(F.struct(F.lit(t).alias("t"), (F.floor(h) + 1).alias("rl"), (F.ceil(h) + 1).alias("ru"),
-                           (h - F.floor(h)).alias("fr")))
     hist = long_df.groupBy(*keys, _log_bucket(F.col("value")).alias("b")).agg(
         F.count(F.lit(1)).alias("bc"), F.min("value").alias("bmin"), F.max("value").alias("bmax"))
-    hist = hist.withColumn("n", F.sum("bc").over(Window.partitionBy(*keys)))
-    hist = hist.select("*", F.inline(F.array(*tg)))
-    # #keys x #probs rows, written to the shared checkpoint folder: the
-    # histogram pass runs once and the lineage is cut
-    targets = _brackets(hist, tk, "b").checkpoint(eager=True)
-    # narrow only finite brackets whose ends differ (a one-value bracket is a
-    # single distinct value however many rows it holds)
-    wide = (F.col("rows") > max_bracket) & (F.col("lo") < F.col("hi")) & ~F.isnan("hi") & \
-        (F.col("hi") - F.col("lo") < F.lit(_INF))
-    st = targets.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(wide, 1)).alias("wide")).first()
-    # a checkpointed table has no size estimate, so the planner would pick the
-    # wrong build side: broadcast it explicitly once its row count is checked
-    small = st["n"] <= MAX_BROADCAST_TARGETS
-    side = F.broadcast if small else (lambda x: x)
+    h = [(F.col("n") - 1).cast("double") * F.lit(float(p)) for p in probs]
+    ranks = [e for x in h for e in (F.floor(x) + 1, F.ceil(x) + 1)]
+    hist = hist.withColumn("n", F.sum("bc").over(Window.partitionBy(*keys))).withColumns(
+        {"below": F.lit(0).cast("long"), "wanted": F.array_distinct(F.array(*ranks))})
+    targets, small = _held(_brackets(hist, keys, keys, "b"))
     steps = max(2, int(accuracy))
-    rounds = 0
-    while st["wide"] and rounds < MAX_ROUNDS:
-        j = _band_join(long_df, keys, side(targets.where(wide)))
-        sub = j.groupBy(*tk, _linear_bucket(F.col("value"), F.col("lo"), F.col("hi"), steps).alias("sb")).agg(
+    wide = (F.col("rows") > max_bracket) & (F.col("lo") < F.col("hi"))
+    for _ in range(rounds_needed(steps)):
+        if not targets.where(wide).take(1):
+            break
+        part = [*keys, "below"]
+        sub = _band_join(long_df, keys, _side(targets.where(wide), small)).groupBy(
+            *part, _linear_bucket(F.col("value"), F.col("lo"), F.col("hi"), steps).alias("sb")).agg(
             F.count(F.lit(1)).alias("bc"), F.min("value").alias("bmin"), F.max("value").alias("bmax"),
-            F.first("n").alias("n"), F.first("rl").alias("rl"), F.first("ru").alias("ru"), F.first("fr").alias("fr"),
-            F.first("below").alias("below0"))
-        targets = targets.where(~wide).unionByName(_brackets(sub, tk, "sb", "below0")).checkpoint(eager=True)
-        st = targets.agg(F.count(F.when(wide, 1)).alias("wide")).first()
-        rounds += 1
-    res = _select(long_df, keys, side(targets))
-    out = res.select(*keys, "n", "t", (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.col("fr")).alias("q"))
-    result = out.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("t") == t, F.col("q"))).alias(nm)
-                                                              for t, nm in enumerate(names)])
-    # one row per key (fewer than the targets, whose count was checked): callers
-    # join it back to the data on the keys, and a table read from a checkpoint
-    # has no size estimate, so it is marked for broadcast explicitly — else the
-    # planner builds from the data side or shuffles the data on a few keys
-    result = result.checkpoint(eager=True)
-    return side(result)
-
-
-def _select(long_df, keys, targets):
-    """Exact values at ranks ``rl`` / ``ru``: only rows inside each bracket
-    pass the join, and ``below`` (rows under the bracket, known from the
-    histogram) makes the in-bracket running counts absolute ranks.
-    ``targets`` holds ``#keys x #probs`` rows."""
-    j = _band_join(long_df, keys, targets)
-    d = j.groupBy(*keys, "t", F.col("value").alias("v")).agg(
-        F.count(F.lit(1)).alias("cnt"), F.first("n").alias("n"), F.first("rl").alias("rl"),
-        F.first("ru").alias("ru"), F.first("fr").alias("fr"), F.first("below").alias("below"))
-    w = Window.partitionBy(*keys, "t").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    r = d.withColumn("cum", F.sum("cnt").over(w) + F.col("below"))
-    start = F.col("cum") - F.col("cnt") + 1
-    return r.groupBy(*keys, "t").agg(
-        F.first("n").alias("n"), F.first("fr").alias("fr"),
-        F.max(F.when((start <= F.col("rl")) & (F.col("cum") >= F.col("rl")), F.col("v"))).alias("lo_v"),
-        F.max(F.when((start <= F.col("ru")) & (F.col("cum") >= F.col("ru")), F.col("v"))).alias("hi_v"))
-
-
-def median_and_iqr(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    return exact_quantiles(df, cols, (0.25, 0.5, 0.75), ("q1", "median", "q3"), by=by)
-
-
-def quantile_map(qdf: DataFrame, name: str) -> dict[str, float]:
-    """Small ``column -> quantile`` dict from a global (ungrouped) result."""
-    return {r["column"]: r[name] for r in qdf.select("column", name).collect()}
+            F.first("n").alias("n"), F.first("wanted").alias("wanted"))
+        targets, small = _held(targets.where(~wide).unionByName(_brackets(sub, part, keys, "sb")))
+    else:
+        if targets.where(wide).take(1):
+            raise RuntimeError("quantile brackets did not shrink")
+    one = F.col("lo") == F.col("hi")
+    known = targets.where(one | F.isnan("lo")).select(*keys, "n", F.explode("wanted").alias("r"), F.col("lo").alias("v"))
+    some = targets.where(~one & ~F.isnan("lo"))
+    found = known
+    if some.take(1):
+        d = _band_join(long_df, keys, _side(some, small)).groupBy(*keys, "below", F.col("value").alias("v")).agg(
+            F.count(F.lit(1)).alias("cnt"), F.first("n").alias("n"), F.first("wanted").alias("wanted"))
+        w = Window.partitionBy(*keys, "below").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        d = d.withColumn("cum", F.sum("cnt").over(w) + F.col("below"))
+        own = F.filter("wanted", lambda r: (r > F.col("cum") - F.col("cnt")) & (r <= F.col("cum")))
+        found = known.unionByName(d.select(*keys, "n", F.explode(own).alias("r"), "v"))
+    at = lambda rank: F.max(F.when(F.col("r") == rank, F.col("v")))
+    got = found.groupBy(*keys, "n").agg(*[e for t, x in enumerate(h) for e in (at(F.floor(x) + 1).alias(f"__lo{t}"), at(F.ceil(x) + 1).alias(f"__hi{t}"))])
+    # equal ends are the quantile: infinite ones have no difference
+    between = lambda t, x: F.when(F.col(f"__lo{t}") == F.col(f"__hi{t}"), F.col(f"__lo{t}")).otherwise(
+        F.col(f"__lo{t}") + (F.col(f"__hi{t}") - F.col(f"__lo{t}")) * (x - F.floor(x)))
+    result = got.select(*keys, "n", *[between(t, x).alias(nm) for t, (x, nm) in enumerate(zip(h, names, strict=True))])
+    # one row per key: callers join it back to the data on the keys
+    return _held(result)[0]
+
+
+def _side(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlens.operators import charts as ch
+from finlens.operators import evaluate as ev
+from finlens.operators import prep
 from finlens.operators import profile as pf
 from finlens.plans.registry import ACC_NUM, ACC_WITH, LI_NUM, accounts, load_table, register, rnd
 from finlens.spec import ACCOUNTS
@@ -138,3 +143,50 @@ SELECT l.id, l."column", l.value FROM l JOIN q ON l."column" = q."column"
 WHERE l.value < q.q1 - 1.5 * (q.q3 - q.q1) OR l.value > q.q3 + 1.5 * (q.q3 - q.q1)""")
 def q_outlier_points(spark, sf_dir):
     return ch.outlier_points(accounts(spark, sf_dir), ACC_NUM, "id")
+
+
+# -- C1 as a grid ----------------------------------------------------------------------------------
+_MAP_COLS = ("sector", "price", "ebitda", "pe", "target")
+
+
+@register("missing_map", f"""{ACC_WITH},
+n AS (SELECT *, ROW_NUMBER() OVER (ORDER BY id) - 1 AS pos, COUNT(*) OVER () AS n FROM accounts),
+b AS (SELECT *, CAST(pos * 50 // n AS INTEGER) AS bucket FROM n)
+{" UNION ALL ".join(f"SELECT bucket, '{x}' AS column, COUNT(*) AS rows, COUNT(*) - COUNT({x}) AS missing FROM b GROUP BY bucket" for x in _MAP_COLS)}""")
+def q_missing_map(spark, sf_dir):
+    return ch.missing_map(accounts(spark, sf_dir), ["id"], _MAP_COLS, buckets=50)
+
+
+# -- NaN is a missing value everywhere -------------------------------------------------------------
+_NAN = """WITH v AS (SELECT l_quantity, CASE WHEN l_orderkey % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_tax END AS tax FROM lineitem),
+ok AS (SELECT * FROM v WHERE NOT isnan(tax)), e AS (SELECT MIN(tax) AS lo, MAX(tax) AS hi, MIN(l_quantity) AS qlo, MAX(l_quantity) AS qhi FROM ok),
+q AS (SELECT MIN(l_quantity) AS qlo, MAX(l_quantity) AS qhi FROM v)"""
+
+
+@register("nan_missing", f"""{_NAN}
+SELECT 'pattern' AS operator, CASE WHEN isnan(tax) THEN '01' ELSE '00' END AS name, CAST(COUNT(*) AS DOUBLE) AS value FROM v GROUP BY isnan(tax)
+UNION ALL SELECT 'hist', CAST(LEAST(FLOOR((tax - lo) / ((hi - lo) / 4)), 3)::INTEGER AS VARCHAR), COUNT(*) FROM ok, e GROUP BY 2
+UNION ALL SELECT 'pairs', CAST(LEAST(FLOOR((l_quantity - q.qlo) / ((q.qhi - q.qlo) / 2)), 1)::INTEGER AS VARCHAR) || '-' || CAST(LEAST(FLOOR((tax - lo) / ((hi - lo) / 2)), 1)::INTEGER AS VARCHAR), COUNT(*) FROM ok, e, q GROUP BY 2
+UNION ALL SELECT 'box', 'n', COUNT(*) FROM ok UNION ALL SELECT 'box', 'median', ROUND(QUANTILE_CONT(tax, 0.5), 6) FROM ok
+UNION ALL SELECT 'nunique', 'tax', COUNT(DISTINCT tax) FROM ok
+UNION ALL SELECT 'impute', 'sum', ROUND(SUM(CASE WHEN isnan(tax) THEN m ELSE tax END), 2) FROM v, (SELECT QUANTILE_CONT(tax, 0.5) AS m FROM ok)
+UNION ALL SELECT 'metrics', 'n', COUNT(*) FROM ok UNION ALL SELECT 'metrics', 'mae', ROUND(AVG(ABS(tax - l_quantity / 1000)), 6) FROM ok
+UNION ALL SELECT 'map', 'missing', COUNT(*) FILTER (isnan(tax)) FROM v""")
+def q_nan_missing(spark, sf_dir):
+    li = load_table(spark, sf_dir, "lineitem")
+    v = li.select("l_quantity", F.when(F.col("l_orderkey") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("tax"), (F.col("l_quantity") / 1000).alias("p"), "l_orderkey", "l_linenumber")
+    row = lambda df, op, name, value: df.select(F.lit(op).alias("operator"), name.cast("string").alias("name"), value.cast("double").alias("value"))
+    box = ch.box_stats(v, ["tax"])
+    filled = prep.ExactMedianImputer(inputCols=["tax"], outputCols=["tax"]).fit(v).transform(v)
+    fit = ev.regression_metrics(v, "tax", "p")
+    parts = [
+        row(ch.null_patterns(v, ["l_quantity", "tax"]), "pattern", F.col("pattern"), F.col("rows")),
+        row(ch.histogram(v, ["tax"], 4), "hist", F.col("bin"), F.col("count")),
+        row(ch.pair_bins(v, ["l_quantity", "tax"], 2), "pairs", F.concat_ws("-", "bin_a", "bin_b"), F.col("count")),
+        row(box, "box", F.lit("n"), F.col("n")), row(box, "box", F.lit("median"), F.round("median", 6)),
+        row(pf.nunique(v, ["tax"]), "nunique", F.col("column"), F.col("nunique")),
+        row(filled.agg(F.round(F.sum("tax"), 2).alias("s")), "impute", F.lit("sum"), F.col("s")),
+        row(fit, "metrics", F.lit("n"), F.col("n")), row(fit, "metrics", F.lit("mae"), F.round("mae", 6)),
+        row(ch.missing_map(v, ["l_orderkey", "l_linenumber"], ["tax"]).agg(F.sum("missing").alias("m")), "map", F.lit("missing"), F.col("m")),
+    ]
+    return reduce(DataFrame.unionByName, parts)

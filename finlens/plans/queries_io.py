@@ -38,6 +38,23 @@ def q_csv_roundtrip(spark, sf_dir):
     return files.read_csv(spark, p, ACC_SCHEMA)
 
 
+def _inferred(x: str, kind: str) -> str:
+    """pandas' type: a column that has a missing value is floating point, and so is one of missing values only."""
+    if kind == "text":
+        return f"SELECT '{x}' AS column, CASE WHEN COUNT({x}) = 0 THEN 'double' ELSE 'string' END AS type FROM accounts"
+    return (f"SELECT '{x}' AS column, CASE WHEN COUNT({x}) = COUNT(*) AND COUNT(*) FILTER (CAST({x} AS VARCHAR) NOT SIMILAR TO '[-+]?[0-9]+') = 0 "
+            f"THEN 'bigint' ELSE 'double' END AS type FROM accounts")
+
+
+@register("csv_inferred", f"""{ACC_WITH}
+{" UNION ALL ".join(_inferred(f.name, "text" if f.dataType == StringType() else "number") for f in ACC_SCHEMA.fields)}""")
+def q_csv_inferred(spark, sf_dir):
+    p = _scratch(spark, "accounts-csv")
+    files.write_csv(accounts(spark, sf_dir), p, na="NA")
+    got = files.read_csv_inferred(spark, p)
+    return spark.createDataFrame(got.dtypes, "column string, type string")
+
+
 @register("csv_bad_values", f"""{ACC_WITH}
 SELECT 'id' AS column, 0 AS bad_values UNION ALL SELECT 'name', COUNT(name) FROM accounts
 UNION ALL SELECT 'price', 0 UNION ALL SELECT 'target', 0""")

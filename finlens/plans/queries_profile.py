@@ -135,6 +135,14 @@ def q_value_counts_li(spark, sf_dir):
     return pf.value_counts(load_table(spark, sf_dir, "lineitem"), "l_returnflag")
 
 
+@register("value_counts_wide", """
+SELECT l_extendedprice AS value, COUNT(*) AS count, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, l_extendedprice) AS pos
+FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY l_extendedprice
+""")
+def q_value_counts_wide(spark, sf_dir):
+    return pf.value_counts(load_table(spark, sf_dir, "lineitem"), "l_extendedprice")
+
+
 @register("nunique", f"""
 {ACC_WITH}
 {union_sql(f"SELECT '{x}' AS column, COUNT(DISTINCT {x}) AS nunique FROM accounts" for x in ACC_COLS)}
@@ -143,6 +151,14 @@ def q_nunique(spark, sf_dir):
     return pf.nunique(accounts(spark, sf_dir), ACC_COLS)
 
 
+# -- A8 ------------------------------------------------------------------------------------------
+@register("normality_tests")
+def q_normality_tests(spark, sf_dir):
+    """Shapiro-Wilk or Jarque-Bera by the number of values; the normal quantiles have no SQL."""
+    both = pf.normality(load_table(spark, sf_dir, "lineitem"), list(LI_NUM))
+    return both.unionByName(pf.normality(accounts(spark, sf_dir), list(ACC_NUM)))
+
+
 # -- A6 / A7 / A8 --------------------------------------------------------------------------------
 @register("moments", union_sql(
     f"SELECT '{x}' AS column, COUNT({x}) AS n, ROUND(SKEWNESS({x}), 6) AS skew, ROUND(KURTOSIS({x}), 6) AS kurt "

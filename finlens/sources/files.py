@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from finlens.functions.exprs import c
 
@@ -41,6 +41,54 @@ def read_csv_raw(spark: SparkSession, path: str, schema: StructType, multi_line:
         raise
 
 
+# The texts that the pandas CSV reader takes for booleans.
+TRUE_TOKENS, FALSE_TOKENS = ("True", "TRUE", "true"), ("False", "FALSE", "false")
+
+
+def infer_types(raw: DataFrame, tokens=NA_TOKENS) -> StructType:
+    """The column types that the pandas CSV reader would choose for text columns, from one aggregate.
+
+    A type holds if every value that is no missing token reads as it: boolean, else integer, else floating point, else text.
+    Missing values make an integer column floating point and a boolean one text; a column of missing values
+    only is floating point, one without rows text."""
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, x in enumerate(raw.columns):
+        col = c(x)
+        text, there = F.trim(col), ~_missing(col, tokens)
+        number = text.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$") | F.lower(text).rlike(r"^[+-]?inf(inity)?$")
+        whole = text.rlike(r"^[+-]?\d+$") & text.try_cast("bigint").isNotNull()
+        aggs += [F.count(F.when(there, 1)).alias(f"n{i}"), F.count(F.when(there & text.isin(*TRUE_TOKENS, *FALSE_TOKENS), 1)).alias(f"b{i}"),
+                 F.count(F.when(there & whole, 1)).alias(f"i{i}"), F.count(F.when(there & number, 1)).alias(f"f{i}")]
+    r = raw.agg(*aggs).first()
+    out = StructType()
+    for i, x in enumerate(raw.columns):
+        n, full = r[f"n{i}"], r[f"n{i}"] == r["rows"]
+        if not r["rows"]:
+            kind = StringType()
+        elif not n:
+            kind = DoubleType()
+        elif r[f"b{i}"] == n:
+            kind = BooleanType() if full else StringType()
+        elif r[f"i{i}"] == n:
+            kind = LongType() if full else DoubleType()
+        else:
+            kind = DoubleType() if r[f"f{i}"] == n else StringType()
+        out.add(x, kind, True)
+    return out
+
+
+def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A CSV file with a header, its types inferred from all of its rows."""
+    try:
+        header = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path).columns
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            raise FileNotFoundError(path) from e
+        raise
+    raw = read_csv_raw(spark, path, StructType([StructField(n, StringType(), True) for n in header]), multi_line)
+    return typed(raw, infer_types(raw))
+
+
 def _missing(col, tokens) -> F.Column:
     return col.isNull() | F.trim(col).isin(*tokens)
 

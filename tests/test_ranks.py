@@ -105,3 +105,39 @@ def test_null_group_keeps_its_quantiles(spark):
         q = {r["g"]: r["med"] for r in ranks.exact_quantiles(sdf, ["v"], (0.5,), ("med",), by=("g",), **kw).collect()}
         assert q[None] == np.median([v for v, g in rows if g is None])
         assert q["a"] == np.median([v for v, g in rows if g == "a"])
+
+
+def test_brackets_end_whatever_the_values(spark, monkeypatch):
+    """Passes over the data are counted: one histogram, then joins."""
+    inf = float("inf")
+    cases = {
+        "two clusters": [1 + i * 1e-6 for i in range(500)] + [1e9 + i for i in range(500)],
+        "infinite": [-inf] * 3 + [float(i) for i in range(300)] + [inf] * 400,
+        "one value": [3.25] * 900,
+        "close doubles": [1.0 + i * 2.0**-52 for i in range(700)],
+        "tiny": [i * 5e-324 for i in range(600)],
+        "signs": [-5.0] * 400 + [5.0] * 400,
+        "single": [2.5],
+    }
+    rows = [(k, v) for k, vs in cases.items() for v in vs]
+    sdf = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    probs = (0.0, 0.25, 0.5, 0.75, 1.0)
+    joins = []
+    real = ranks._band_join
+    monkeypatch.setattr(ranks, "_band_join", lambda *a: joins.append(1) or real(*a))
+    for kw, most in (({}, 1), ({"max_bracket": 10}, ranks.rounds_needed(10000) + 1), ({"max_bracket": 1, "accuracy": 2}, ranks.rounds_needed(2) + 1)):
+        joins.clear()
+        q = {r["k"]: r for r in ranks.exact_quantiles(sdf, ["v"], probs, by=("k",), **kw).collect()}
+        assert len(joins) <= most
+        for k, vs in cases.items():
+            with np.errstate(invalid="ignore"):
+                s = np.sort(vs)
+                at = (len(s) - 1) * np.array(probs)
+                lo, hi = s[np.floor(at).astype(int)], s[np.ceil(at).astype(int)]
+                want = np.where(lo == hi, lo, lo + (hi - lo) * (at - np.floor(at)))
+            got = np.array([q[k][f"q{int(100 * p)}"] for p in probs])
+            assert np.array_equal(got, want), (k, kw, got, want)
+    joins.clear()
+    ranks.exact_quantiles(sdf.where("k = 'one value'"), ["v"], probs).collect()
+    assert not joins  # a bracket of one value needs no rows
+    assert ranks.exact_quantiles(sdf.where("false"), ["v"], probs).count() == 0
