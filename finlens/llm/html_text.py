@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -20,9 +21,11 @@ from pyspark.sql import DataFrame
 
 from finlens.llm.kit import arrow_map
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|textarea|title|noscript|svg|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(.*?)(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_EVENT = re.compile("[>\"']")
+# Elements whose content is no markup up to their end tag.
+RAW = frozenset("script style template textarea title noscript svg iframe".split())
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 # HTML's inline elements, which do not end a block, and elements without content.
@@ -34,24 +37,108 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 SCOPES = frozenset("ul ol dl table article aside section div nav header footer main form body html select".split())
 
 
-def blocks(page: str) -> list[tuple[str, list[str], float]]:
-    """(text, features, share of link text) of the leaf blocks with text, in page order."""
-    out, stack, chunks, linked, links = [], [], [], 0, 0
+def _tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """Positions of ``>`` and quotes, and for each where a tag that reaches it outside quotes ends (-1: nowhere).  One pass
+    from the right; a quote that is never closed is an ordinary character."""
+    at = [m.start() for m in _EVENT.finditer(page)]
+    ends = [-1] * len(at)
+    plain, within = -1, {'"': None, "'": None}  # where a tag ends from here: outside quotes, and inside each kind
+    for k in range(len(at) - 1, -1, -1):
+        sign = page[at[k]]
+        if sign == ">":
+            plain = at[k]
+        else:
+            inside = within[sign]
+            within[sign] = plain  # this quote closes an earlier one
+            plain = plain if inside is None else inside
+        ends[k] = plain
+    return at, ends
+
+
+def _tokens(page: str):
+    """(kind, value, attributes) of a page: text, raw (name and content), start and end tags.  Time is linear in the page, cut
+    off or ill-formed as it may be; what looks like a tag but ends nowhere is text."""
+    at, ends = _tag_ends(page)
+    done = pos = 0
+    while True:
+        i = page.find("<", pos)
+        if i < 0:
+            break
+        name = _NAME.match(page, i)
+        if name:
+            k = bisect_left(at, name.end())
+            stop = ends[k] if k < len(at) else -1
+        elif page.startswith("<!--", i):
+            stop = page.find("-->", i + 4)
+            stop = len(page) if stop < 0 else stop + 2
+        elif page.startswith(("<!", "<?"), i):
+            stop = page.find(">", i)
+        else:
+            stop = -1
+        if stop < 0:
+            if not at or i > at[-1]:
+                break  # nothing ends behind here
+            pos = i + 1
+            continue
+        if i > done:
+            yield "text", page[done:i], ""
+        done = pos = min(stop + 1, len(page))
+        if name:
+            tag = name[2].lower()
+            if name[1]:
+                yield "end", tag, ""
+            elif tag in RAW:
+                close = _RAW_END[tag].search(page, done)
+                yield "raw", tag, page[done : close.start() if close else len(page)]
+                done = pos = close.end() if close else len(page)
+            else:
+                yield "start", tag, page[name.end() : stop]
+    if done < len(page):
+        yield "text", page[done:], ""
+
+
+def _without_tags(text: str) -> str:
+    cut = text.rfind(">") + 1
+    return re.sub(r"<[^>]*>", " ", text[:cut]) + text[cut:]
+
+
+def blocks(page: str, known=None) -> list[tuple]:
+    """(text, features of the ancestors, share of link text, parent's tag) of the leaf blocks with text, in page order.
+
+    An open element shares its parent's feature set unless it adds to it; ``known`` names the features that count, so a set
+    stays small however deep the page nests."""
+    out, chunks, linked, links = [], [], 0, 0
+    stack: list[tuple[str, frozenset]] = []
+    open_: dict[str, int] = {}            # open elements by name,
+    scopes: list[dict[str, int]] = [{}]   # and by name since the last scope element
 
     def flush():
         nonlocal chunks, linked
         if chunks:
             text = " ".join("".join(chunks).split())
             if text:
-                out.append((text, [f for _, fs in stack for f in fs], linked / max(1, sum(map(len, chunks))), stack[-1][0] if stack else ""))
+                out.append((text, stack[-1][1] if stack else frozenset(), linked / max(1, sum(map(len, chunks))), stack[-1][0] if stack else ""))
             chunks, linked = [], 0
 
+    def push(name: str, features):
+        base = stack[-1][1] if stack else frozenset()
+        new = {f for f in features if known is None or f in known} - base
+        stack.append((name, base | new if new else base))
+        open_[name] = open_.get(name, 0) + 1
+        if name in SCOPES:
+            scopes.append({})
+        scopes[-1][name] = scopes[-1].get(name, 0) + 1
+
     def close(name: str, within: bool = False):
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == name:
-                del stack[k:]
-                return
-            if within and stack[k][0] in SCOPES:
+        if not (scopes[-1] if within else open_).get(name):
+            return
+        while True:
+            top = stack.pop()[0]
+            open_[top] -= 1
+            scopes[-1][top] -= 1
+            if top in SCOPES:
+                scopes.pop()
+            if top == name:
                 return
 
     def add(raw: str):
@@ -60,56 +147,47 @@ def blocks(page: str) -> list[tuple[str, list[str], float]]:
         chunks.append(text)
         linked += len(text) if links else 0
 
-    at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        if m[1]:
-            flush_raw = m[1].lower()
-            if flush_raw in ("title", "noscript", "textarea"):
+    for kind, name, rest in _tokens(page):
+        if kind == "text":
+            add(name)
+        elif kind == "raw":
+            if name in ("title", "noscript", "textarea"):
                 flush()
-                stack.append((flush_raw, ["in:" + flush_raw]))
-                add(re.sub(r"<[^>]*>", " ", m[2]))
+                push(name, ["in:" + name])
+                add(_without_tags(rest))
                 flush()
-                stack.pop()
-            continue
-        if not m[4]:
-            continue
-        name, end = m[4].lower(), bool(m[3])
-        if name in INLINE:
+                close(name)
+        elif name in INLINE:
             if name == "a":
-                links = max(0, links + (-1 if end else 1))
+                links = max(0, links + (-1 if kind == "end" else 1))
             elif name == "br":
                 chunks.append(" ")
-            continue
-        flush()
-        if end:
-            close(name)
-            continue
-        if not any(x[0] == "button" for x in stack[-3:]):
-            close("p", within=True)
-        for other in CLOSES.get(name, ()):
-            close(other, within=other not in ("head",))
-        if name in VOID:
-            continue
-        features = ["in:" + name]
-        for a in _ATTR.finditer(m[5]) if m[5] else ():
-            features += ["at:" + t for t in _SPLIT.split((a[2] or a[3] or a[4] or "").lower()) if t and not t.isdigit()]
-        stack.append((name, features))
-        links = 0
-    if at < len(page):
-        add(page[at:])
+        else:
+            flush()
+            if kind == "end":
+                close(name)
+                continue
+            if not any(x[0] == "button" for x in stack[-3:]):
+                close("p", within=True)
+            for other in CLOSES.get(name, ()):
+                close(other, within=other not in ("head",))
+            if name in VOID:
+                continue
+            features = ["in:" + name]
+            for a in _ATTR.finditer(rest):
+                features += ["at:" + t for t in _SPLIT.split((a[2] or a[3] or a[4] or "").lower()) if t and not t.isdigit()]
+            push(name, features)
+            links = 0
     flush()
-    return [(t, [*set(f), "tag:" + p], d) for t, f, d, p in out]
+    return out
 
 
 def _described(items) -> list[list[str]]:
-    """Features of each block of a page."""
+    """Features of each block of a page besides its ancestors'."""
     out, n = [], len(items)
-    for i, (text, inside, density) in enumerate(items):
+    for i, (text, _, density, parent) in enumerate(items):
         words, size = text.count(" ") + 1, len(text)
-        f = [*inside, "bias", f"words:{min(words, 1 << 8).bit_length()}", f"links:{int(density * 4)}",
+        f = ["tag:" + parent, "bias", f"words:{min(words, 1 << 8).bit_length()}", f"links:{int(density * 4)}",
              "stop" if text[-1] in ".!?…\"'»”" else "open", f"commas:{min(text.count(','), 4)}"]
         if size < 60 and not text[-1] in ".!?":
             f.append("short")
@@ -134,8 +212,11 @@ class Field:
         """Most likely labels of a page's blocks, by Viterbi."""
         w, ((a, b), (c, d)) = self.weights, self.move
         back, other, main = [], 0.0, 0.0
-        for k, f in enumerate(_described(items)):
-            gain = sum(w.get(x, 0.0) for x in f)
+        inside: dict[frozenset, float] = {}  # blocks under the same elements share their set
+        for k, (f, item) in enumerate(zip(_described(items), items, strict=True)):
+            if item[1] not in inside:
+                inside[item[1]] = sum(w.get(x, 0.0) for x in sorted(item[1]))
+            gain = inside[item[1]] + sum(w.get(x, 0.0) for x in f)
             if k:
                 from_main = (c + main > a + other, d + main > b + other)
                 other, main = max(a + other, c + main), max(b + other, d + main)
@@ -148,14 +229,14 @@ class Field:
 
 
 def train(pages: list[list[tuple]], rounds: int = 8, rate: float = 0.2, penalty: float = 1e-4, seed: int = 5) -> Field:
-    """pages: for each, its blocks as (text, features, density, label).  Stochastic gradient ascent (Adagrad) on the
+    """pages: for each, its blocks as blocks() gives them, and a label.  Stochastic gradient ascent (Adagrad) on the
     conditional log-likelihood, whose expectations come from the forward-backward recursions."""
     number: dict[str, int] = {}
     rows = []
     for p in pages:
         if p:
-            f = [np.array([number.setdefault(x, len(number)) for x in fs]) for fs in _described([b[:3] for b in p])]
-            rows.append((f, np.array([b[3] for b in p], int)))
+            f = [np.array([number.setdefault(x, len(number)) for x in [*sorted(b[1]), *fs]]) for fs, b in zip(_described([b[:4] for b in p]), p, strict=True)]
+            rows.append((f, np.array([b[4] for b in p], int)))
     w, move = np.zeros(len(number)), np.zeros((2, 2))
     gw, gm = np.full(len(number), 1e-6), np.full((2, 2), 1e-6)
     rng = random.Random(seed)
@@ -268,7 +349,7 @@ def labelled_pages(n: int = 500, seed: int = 3) -> list[list[tuple]]:
         if r.random() < 0.3:
             body = f"<div class={r.choice(['wrapper', 'container', 'page', 'site'])}>{body}</div>"
         page = f"<html><head><title>{text(2, 8, False)}</title><script>var x='<p>';</script></head><body>{body}</body></html>"
-        out.append([(t.replace(mark, "") or " ", f, d, mark in t) for t, f, d in blocks(page)])
+        out.append([(t.replace(mark, "") or " ", f, d, p, mark in t) for t, f, d, p in blocks(page)])
     return out
 
 
@@ -278,7 +359,7 @@ def default_field() -> Field:
 
 
 def main_text(page: str | None, field: Field) -> str:
-    items = blocks(page or "")
+    items = blocks(page or "", field.weights)
     return "\n".join(b[0] for b, main in zip(items, field.label(items), strict=True) if main)
 
 
