@@ -103,7 +103,7 @@ def _without_tags(text: str) -> str:
 
 
 def blocks(page: str, known=None) -> list[tuple]:
-    """(text, features of the ancestors, share of link text, parent's tag) of the leaf blocks with text, in page order.
+    """(text, (features of the ancestors, parent's tag), share of link text) of the leaf blocks with text, in page order.
 
     An open element shares its parent's feature set unless it adds to it; ``known`` names the features that count, so a set
     stays small however deep the page nests."""
@@ -117,7 +117,7 @@ def blocks(page: str, known=None) -> list[tuple]:
         if chunks:
             text = " ".join("".join(chunks).split())
             if text:
-                out.append((text, stack[-1][1] if stack else frozenset(), linked / max(1, sum(map(len, chunks))), stack[-1][0] if stack else ""))
+                out.append((text, (stack[-1][1], stack[-1][0]) if stack else (frozenset(), ""), linked / max(1, sum(map(len, chunks)))))
             chunks, linked = [], 0
 
     def push(name: str, features):
@@ -185,7 +185,7 @@ def blocks(page: str, known=None) -> list[tuple]:
 def _described(items) -> list[list[str]]:
     """Features of each block of a page besides its ancestors'."""
     out, n = [], len(items)
-    for i, (text, _, density, parent) in enumerate(items):
+    for i, (text, (_, parent), density) in enumerate(items):
         words, size = text.count(" ") + 1, len(text)
         f = ["tag:" + parent, "bias", f"words:{min(words, 1 << 8).bit_length()}", f"links:{int(density * 4)}",
              "stop" if text[-1] in ".!?…\"'»”" else "open", f"commas:{min(text.count(','), 4)}"]
@@ -198,6 +198,18 @@ def _described(items) -> list[list[str]]:
         if i == n - 1:
             f.append("last")
         out.append(f)
+    # what stands around a block: prose before and after it, a heading above, its place
+    prose = [density < 0.5 and text[-1] in ".!?…\"'»”" and text.count(" ") >= 5 for text, _, density in items]
+    headed = False
+    for i, f in enumerate(out):
+        f += [f"before:{i > 0 and prose[i - 1]}", f"after:{i < n - 1 and prose[i + 1]}", f"place:{4 * i // n}"]
+        if prose[i]:
+            f.append("prose")
+            if (i and prose[i - 1]) or (i < n - 1 and prose[i + 1]):
+                f.append("prose run")
+        if headed:
+            f.append("headed")
+        headed = headed or items[i][1][1] in ("h1", "h2")
     return out
 
 
@@ -214,9 +226,10 @@ class Field:
         back, other, main = [], 0.0, 0.0
         inside: dict[frozenset, float] = {}  # blocks under the same elements share their set
         for k, (f, item) in enumerate(zip(_described(items), items, strict=True)):
-            if item[1] not in inside:
-                inside[item[1]] = sum(w.get(x, 0.0) for x in sorted(item[1]))
-            gain = inside[item[1]] + sum(w.get(x, 0.0) for x in f)
+            around = item[1][0]
+            if around not in inside:
+                inside[around] = sum(w.get(x, 0.0) for x in sorted(around))
+            gain = inside[around] + sum(w.get(x, 0.0) for x in f)
             if k:
                 from_main = (c + main > a + other, d + main > b + other)
                 other, main = max(a + other, c + main), max(b + other, d + main)
@@ -235,8 +248,8 @@ def train(pages: list[list[tuple]], rounds: int = 8, rate: float = 0.2, penalty:
     rows = []
     for p in pages:
         if p:
-            f = [np.array([number.setdefault(x, len(number)) for x in [*sorted(b[1]), *fs]]) for fs, b in zip(_described([b[:4] for b in p]), p, strict=True)]
-            rows.append((f, np.array([b[4] for b in p], int)))
+            f = [np.array([number.setdefault(x, len(number)) for x in [*sorted(b[1][0]), *fs]]) for fs, b in zip(_described([b[:3] for b in p]), p, strict=True)]
+            rows.append((f, np.array([b[3] for b in p], int)))
     w, move = np.zeros(len(number)), np.zeros((2, 2))
     gw, gm = np.full(len(number), 1e-6), np.full((2, 2), 1e-6)
     rng = random.Random(seed)
@@ -291,8 +304,13 @@ def _box(spec: str, body: str) -> str:
     return f"<{spec}>{body}</{spec.split()[0]}>"
 
 
-def labelled_pages(n: int = 500, seed: int = 3) -> list[list[tuple]]:
-    """Blocks with labels of pages made from the templates above, in words of random letters; the same for a seed."""
+# Kinds that their links and short texts tell from an article even in a box without a name.
+_NAMELESS = ("nav", "footer", "form")
+
+
+def labelled_pages(n: int = 700, seed: int = 3, plain: float = 0.3) -> list[list[tuple]]:
+    """Blocks with labels of pages made from the templates above, in words of random letters; the same for a seed.  A share ``plain``
+    has its article in a box without a telling name, or in none."""
     r = random.Random(seed)
     word = lambda: "".join(r.choice("abcdefghiklmnoprstuvwz") for _ in range(r.randint(2, 9)))
     mark = "\x02"  # stands at the start of each main block until it is read off as the label
@@ -324,6 +342,8 @@ def labelled_pages(n: int = 500, seed: int = 3) -> list[list[tuple]]:
         else:
             one = lambda: r.choice([f"<li><p>{prose()}</p></li>", f"<div class=comment><b>{word()}</b><p>{prose()}</p></div>", f"<p>{prose()}</p>", f"<div class=reply>{prose()}</div>"])
             body = (f"<h2>{text(1, 3, False)}</h2>" if r.random() < 0.6 else "") + "".join(one() for _ in range(r.randint(1, 5)))
+        if kind in _NAMELESS and r.random() < 0.2:
+            return _box(r.choice(["div", f"div class={word()}", f"div id={word()}"]), body)
         return _box(r.choice(_OTHER[kind]), body)
 
     def article():
@@ -338,18 +358,26 @@ def labelled_pages(n: int = 500, seed: int = 3) -> list[list[tuple]]:
                 parts.append(other(r.choice(["ad", "side", "notice", "form", "nav", "comments"])))
         if r.random() < 0.1:
             parts.insert(0, f"<header><h1>{mark}{text(2, 9, False)}</h1></header>")
+        if r.random() < plain:
+            box = r.choice(["div", "div", f"div class={word()}", f"div id={word()}", "section", "td", "", "", "", ""])
+            body = "".join(parts)
+            return body if not box else f"<table><tr>{_box(box, body)}</tr></table>" if box == "td" else _box(box, body)
         return _box(r.choice(_MAIN), "".join(parts))
 
     out = []
     for _ in range(n):
         before = [other(k) for k in ("nav", "header", "notice", "ad", "form") if r.random() < 0.5]
         after = [other(k) for k in ("side", "ad", "notice", "form", "comments", "nav", "footer") if r.random() < 0.5]
+        if r.random() < 0.2:
+            before, after = [], []  # a page that is its article
         r.shuffle(before)
         body = "".join(before) + article() + "".join(after)
         if r.random() < 0.3:
             body = f"<div class={r.choice(['wrapper', 'container', 'page', 'site'])}>{body}</div>"
         page = f"<html><head><title>{text(2, 8, False)}</title><script>var x='<p>';</script></head><body>{body}</body></html>"
-        out.append([(t.replace(mark, "") or " ", f, d, p, mark in t) for t, f, d, p in blocks(page)])
+        if r.random() < 0.15:
+            page = body  # end and start tags of html, head and body may be left out
+        out.append([(t.replace(mark, "") or " ", f, d, mark in t) for t, f, d in blocks(page)])
     return out
 
 
