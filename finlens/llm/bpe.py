@@ -289,8 +289,8 @@ def decode(encoded: DataFrame, tokenizer_file: str) -> DataFrame:
     return arrow_map(encoded.select("doc_id", "ids"), run, f"doc_id {kind}, ids binary, text string")
 
 
-def digests(docs: DataFrame, tokenizer_file: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
-    both = decode(encode(docs, tokenizer_file), tokenizer_file)
+def digests(docs: DataFrame, tokenizer_file: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document.  Smaller blocks take less memory and shuffle more."""
+    both = decode(encode(docs, tokenizer_file, block_bytes), tokenizer_file)
     return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
