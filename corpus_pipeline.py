@@ -19,6 +19,9 @@ from finlens.llm.queries import tokenizer_file
 from finlens.llm.toxicity import OrdinalToxicity
 
 
+TOKEN_BLOCK = 4 << 20  # bytes of text in a block of the last stage, which shares its executors with what earlier stages left
+
+
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
@@ -50,7 +53,7 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: token counts and digests of the ids and of the text decoded from them."""
-    return bpe.digests(docs, tokenizer_file())
+    return bpe.digests(docs, tokenizer_file(), TOKEN_BLOCK)
 
 
 STAGES = [
