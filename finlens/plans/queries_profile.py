@@ -11,7 +11,6 @@ from finlens.plans.registry import (ACC_NUM, ACC_WITH, D_MONEY, D_STAT, LI_NUM,
 from finlens.spec import ACCOUNTS
 
 ACC_COLS = ("id", "name", "sector", "price", "ebitda", "eps", "pe", "volume", "low52", "high52", "target")
-LI_ALL_NUM = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber") + LI_NUM
 EV_NUM = ("event_id", "user_id", "value")
 
 
@@ -109,7 +108,7 @@ def q_null_profile(spark, sf_dir):
     f"""SELECT '{x}' AS column, COUNT({x}) AS count, ROUND(AVG({x}), 6) AS mean, ROUND(STDDEV_SAMP({x}), 6) AS std,
        ROUND(MIN({x}), 6) AS min, ROUND(MAX({x}), 6) AS max, ROUND(QUANTILE_CONT({x}, 0.25), 6) AS q25,
        ROUND(QUANTILE_CONT({x}, 0.5), 6) AS q50, ROUND(QUANTILE_CONT({x}, 0.75), 6) AS q75 FROM lineitem"""
-    for x in LI_ALL_NUM))
+    for x in LI_NUM))
 def q_describe(spark, sf_dir):
     li = load_table(spark, sf_dir, "lineitem")
     cols = cl.numeric_columns(li)
@@ -225,6 +224,13 @@ def q_target_corr(spark, sf_dir):
     return rnd(pf.target_corr(pf.pearson(accounts(spark, sf_dir), ACC_NUM), "target"), {"r": 6})
 
 
+@register("spearman_target", f"""
+SELECT a AS column, r, ROW_NUMBER() OVER (ORDER BY r DESC, a) AS pos FROM ({ORACLE["spearman"]}) s WHERE b = 'target'
+""")
+def q_spearman_target(spark, sf_dir):
+    return pf.target_corr(q_spearman(spark, sf_dir), "target")
+
+
 # -- A14 / A15 -----------------------------------------------------------------------------------
 @register("outliers_zscore", union_sql(
     [f"""SELECT '{x}' AS column, CAST(SUM(CASE WHEN ABS(({x} - m) / s) > 3 THEN 1 ELSE 0 END) AS BIGINT) AS z_outliers

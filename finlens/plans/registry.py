@@ -46,7 +46,7 @@ def rnd(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 
 # Numeric columns of the accounts view that are profiled.
 ACC_NUM = ("price", "ebitda", "eps", "pe", "volume", "low52", "high52", "target")
-LI_NUM = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+LI_NUM = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 from finlens.plans import queries_profile  # noqa: E402,F401  (registers)
 from finlens.plans import queries_charts  # noqa: E402,F401
