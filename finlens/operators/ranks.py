@@ -32,9 +32,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from finlens.functions.exprs import c, explode_rows
 from finlens.session import ensure_checkpoint_dir
@@ -234,14 +236,19 @@ def _brackets(hist: DataFrame, part: Sequence[str], keys: Sequence[str], bucket:
                       own.alias("wanted")).where(F.size("wanted") > 0)
 
 
-def _held(df: DataFrame) -> tuple[DataFrame, bool]:
-    """A small table fixed where it is: up to MAX_BROADCAST_TARGETS rows as a local relation, whose size the planner knows,
-    otherwise checkpointed."""
-    rows = df.take(MAX_BROADCAST_TARGETS + 1)
+def _held(df: DataFrame) -> tuple[DataFrame, list | None]:
+    """A small table fixed where it is: up to MAX_BROADCAST_TARGETS rows as a local relation, whose size the planner knows, and
+    its rows; otherwise checkpointed."""
+    rows = [r.asDict() for r in df.take(MAX_BROADCAST_TARGETS + 1)]
     if len(rows) <= MAX_BROADCAST_TARGETS:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), True
+        return _local(df, rows), rows
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True), False
+    return df.checkpoint(eager=True), None
+
+
+def _local(like: DataFrame, rows: list) -> DataFrame:
+    table = pa.Table.from_pylist(rows, schema=to_arrow_schema(like.schema))  # an Arrow table becomes a local relation
+    return F.broadcast(like.sparkSession.createDataFrame(table, like.schema))
 
 
 def rounds_needed(accuracy: int) -> int:
@@ -272,32 +279,40 @@ def bracket_quantiles(long_df: DataFrame, keys: Sequence[str], probs: Sequence[f
     ranks = [e for x in h for e in (F.floor(x) + 1, F.ceil(x) + 1)]
     hist = hist.withColumn("n", F.sum("bc").over(Window.partitionBy(*keys))).withColumns(
         {"below": F.lit(0).cast("long"), "wanted": F.array_distinct(F.array(*ranks))})
-    targets, small = _held(_brackets(hist, keys, keys, "b"))
+    targets, rows = _held(_brackets(hist, keys, keys, "b"))
     steps = max(2, int(accuracy))
     wide = (F.col("rows") > max_bracket) & (F.col("lo") < F.col("hi"))
+
+    def parted(test: Column, plain) -> tuple[DataFrame, DataFrame, bool]:
+        """The targets that pass a test, the others, and whether any passes; without a job where the rows are at hand."""
+        if rows is None:
+            return targets.where(test), targets.where(~test), bool(targets.where(test).take(1))
+        yes = [r for r in rows if plain(r)]
+        return _local(targets, yes), _local(targets, [r for r in rows if not plain(r)]), bool(yes)
+
     for _ in range(rounds_needed(steps)):
-        if not targets.where(wide).take(1):
+        some, done, any_ = parted(wide, lambda r: r["rows"] > max_bracket and r["lo"] < r["hi"])
+        if not any_:
             break
         part = [*keys, "below"]
-        sub = _band_join(long_df, keys, _side(targets.where(wide), small)).groupBy(
+        sub = _band_join(long_df, keys, some).groupBy(
             *part, _linear_bucket(F.col("value"), F.col("lo"), F.col("hi"), steps).alias("sb")).agg(
             F.count(F.lit(1)).alias("bc"), F.min("value").alias("bmin"), F.max("value").alias("bmax"),
             F.first("n").alias("n"), F.first("wanted").alias("wanted"))
-        targets, small = _held(targets.where(~wide).unionByName(_brackets(sub, part, keys, "sb")))
+        targets, rows = _held(done.unionByName(_brackets(sub, part, keys, "sb")))
     else:
-        if targets.where(wide).take(1):
+        if parted(wide, lambda r: r["rows"] > max_bracket and r["lo"] < r["hi"])[2]:
             raise RuntimeError("quantile brackets did not shrink")
-    one = F.col("lo") == F.col("hi")
-    known = targets.where(one | F.isnan("lo")).select(*keys, "n", F.explode("wanted").alias("r"), F.col("lo").alias("v"))
-    some = targets.where(~one & ~F.isnan("lo"))
-    found = known
-    if some.take(1):
-        d = _band_join(long_df, keys, _side(some, small)).groupBy(*keys, "below", F.col("value").alias("v")).agg(
+    # a bracket of one value (or of NaN) needs no rows; NaN is above all others, so lo < hi fails for it
+    some, known, any_ = parted((F.col("lo") < F.col("hi")) & ~F.isnan("hi"), lambda r: r["lo"] < r["hi"])
+    found = known.select(*keys, "n", F.explode("wanted").alias("r"), F.col("lo").alias("v"))
+    if any_:
+        d = _band_join(long_df, keys, some).groupBy(*keys, "below", F.col("value").alias("v")).agg(
             F.count(F.lit(1)).alias("cnt"), F.first("n").alias("n"), F.first("wanted").alias("wanted"))
         w = Window.partitionBy(*keys, "below").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         d = d.withColumn("cum", F.sum("cnt").over(w) + F.col("below"))
         own = F.filter("wanted", lambda r: (r > F.col("cum") - F.col("cnt")) & (r <= F.col("cum")))
-        found = known.unionByName(d.select(*keys, "n", F.explode(own).alias("r"), "v"))
+        found = found.unionByName(d.select(*keys, "n", F.explode(own).alias("r"), "v"))
     at = lambda rank: F.max(F.when(F.col("r") == rank, F.col("v")))
     got = found.groupBy(*keys, "n").agg(*[e for t, x in enumerate(h) for e in (at(F.floor(x) + 1).alias(f"__lo{t}"), at(F.ceil(x) + 1).alias(f"__hi{t}"))])
     # equal ends are the quantile: infinite ones have no difference
@@ -306,7 +321,3 @@ def bracket_quantiles(long_df: DataFrame, keys: Sequence[str], probs: Sequence[f
     result = got.select(*keys, "n", *[between(t, x).alias(nm) for t, (x, nm) in enumerate(zip(h, names, strict=True))])
     # one row per key: callers join it back to the data on the keys
     return _held(result)[0]
-
-
-def _side(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
