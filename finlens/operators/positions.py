@@ -19,7 +19,8 @@ from finlens.session import scratch_path
 _LOCAL = (1 << 33) - 1  # monotonically_increasing_id: partition in the upper bits, row in the lower 33
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df from a table below the shared checkpoint folder, so that later passes read the same ones."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -36,11 +37,11 @@ def number_rows(df: DataFrame, order: list[Column | str], by: list[str] | None =
     spark = df.sparkSession
     parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     sort = [F.col(f"`{c}`").asc_nulls_first() for c in by] + [F.col(f"`{c}`").asc_nulls_first() if isinstance(c, str) else c for c in order]
-    rows = _written(df.repartitionByRange(parts, *sort).sortWithinPartitions(*sort).withColumn("_m", F.monotonically_increasing_id()), "numbered")
+    rows = written(df.repartitionByRange(parts, *sort).sortWithinPartitions(*sort).withColumn("_m", F.monotonically_increasing_id()), "numbered")
     rows = rows.withColumn("_p", F.shiftright("_m", 33)).withColumn("_m", F.col("_m").bitwiseAND(F.lit(_LOCAL)))
     here = rows.groupBy("_p", *by).agg(F.count(F.lit(1)).alias("_here"), F.min("_m").alias("_first"))
     if by:
-        here = _written(here, "numbered-groups")  # one row for each partition and group in it
+        here = written(here, "numbered-groups")  # one row for each partition and group in it
     before, total = [], 0
     for r in here.groupBy("_p").agg(F.sum("_here").alias("n")).orderBy("_p").collect():  # one row for each partition
         before.append((r["_p"], total))

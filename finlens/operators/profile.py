@@ -210,58 +210,27 @@ def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def spearman(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> DataFrame:
     """A11 via W1: pairwise-complete Spearman, long ``(a, b, r, abs_r)``.
 
-    For the pair (a, b) the ranks are taken over rows where both are present.
-    The rank of ``a`` then depends only on whether ``b`` is missing on a row
-    where ``a`` is present, so one rank table keyed by ``(column, cond)``
-    serves every pair (cond = the other column when that happens, else "").
-    Pair rows are pre-aggregated to distinct ``(pair, va, vb)`` with a weight
-    before the rank joins.
-    ``buckets`` defaults to the session's shuffle partitions
-    (:func:`ranks.session_buckets`), so the rank windows shrink as the cluster
-    is sized up for the data.
+    For the pair (a, b) the ranks are taken over rows where both are present.  The ranks are columns of the rows
+    (:func:`ranks.rank_columns`), so all pairs come from one aggregate of products of centred ranks; no row is multiplied by
+    the number of pairs.  A pair without rows, or with a column that is constant on them, has no correlation (null).
+    ``buckets`` is the number of range partitions of the values (default: the session's shuffle partitions).
     """
-    df = no_nan(df, cols)
-    # one pass: cut points and, per ordered pair (a, b), the rows where a is
-    # present and b missing.  Only when there are such rows does the rank of a
-    # within the pair differ from its plain rank, so only those (column,
-    # condition) variants are built (exact either way, far fewer rows when
-    # columns go missing together).
-    ordered = [(i, a, j, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i != j]
-    splits = ranks.cut_points(df, cols, buckets, extra=[
-        F.sum(F.when(c(a).isNotNull() & c(b).isNull(), 1).otherwise(0)).alias(f"__x{i}_{j}")
-        for i, a, j, b in ordered] + [(F.min(c(a)) < F.max(c(a))).alias(f"__v{i}") for i, a in enumerate(cols)])
-    stats = splits["__extra"]
-    need = {(a, b) for i, a, j, b in ordered if (stats[f"__x{i}_{j}"] or 0) > 0}
-    conds = {b: c(b).isNotNull() for _, b in need}
-    rt = ranks.rank_table(ranks.long_values(df, cols, splits=splits, conds=conds, only=need),
-                          keys=("column", "cond"))
-    rt = rt.select("column", "cond", "value", "avg_rank")
-
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    entries = [(c(a).isNotNull() & c(b).isNotNull(), [
-        F.lit(a).alias("a"), F.lit(b).alias("b"),
-        F.lit(b if (a, b) in need else "").alias("cond_a"), F.lit(a if (b, a) in need else "").alias("cond_b"),
-        ranks.as_value(c(a)).alias("va"), ranks.as_value(c(b)).alias("vb")]) for a, b in pairs]
-    pr = explode_rows(df, entries)
-    pr = pr.groupBy("a", "b", "cond_a", "cond_b", "va", "vb").agg(F.count(F.lit(1)).alias("w"))
-    ra = rt.select(F.col("column").alias("a"), F.col("cond").alias("cond_a"), F.col("value").alias("va"),
-                   F.col("avg_rank").alias("ra"))
-    rb = rt.select(F.col("column").alias("b"), F.col("cond").alias("cond_b"), F.col("value").alias("vb"),
-                   F.col("avg_rank").alias("rb"))
-    j = pr.join(ra, ["a", "cond_a", "va"]).join(rb, ["b", "cond_b", "vb"])
-    w = F.col("w").cast("double")
-    s = j.groupBy("a", "b").agg(
-        F.sum(w).alias("sw"), F.sum(w * F.col("ra")).alias("sa"), F.sum(w * F.col("rb")).alias("sb"),
-        F.sum(w * F.col("ra") * F.col("ra")).alias("saa"), F.sum(w * F.col("rb") * F.col("rb")).alias("sbb"),
-        F.sum(w * F.col("ra") * F.col("rb")).alias("sab"))
-    cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("sw")
-    va = F.col("saa") - F.col("sa") * F.col("sa") / F.col("sw")
-    vb = F.col("sbb") - F.col("sb") * F.col("sb") / F.col("sw")
-    # a column that is constant on the pair's rows has no correlation; its variance may be rounding noise
-    r = s.select("a", "b", F.when((va > F.col("saa") * 1e-12) & (vb > F.col("sbb") * 1e-12), cov / F.sqrt(va * vb)).alias("r"))
-    both = r.unionByName(r.select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
-    diag = df.sparkSession.createDataFrame([(x, x, 1.0 if stats[f"__v{i}"] else None) for i, x in enumerate(cols)], "a string, b string, r double")
-    return both.unionByName(diag).withColumn("abs_r", F.abs("r"))
+    rc = ranks.rank_columns(df, cols, buckets)
+    d = range(len(cols))
+    # a column's spread differs only between the places of its rank array
+    spread = {(i, rc.slot[i][j]): rc.centred(i, j) for i in d for j in (*d[:i], *d[i + 1:], i)}
+    row = rc.table.agg(F.count(F.lit(1)),
+                       *[F.expr(f"SUM({x} * {x}) AS s{i}_{k}") for (i, k), x in spread.items()],
+                       *[F.expr(f"SUM({rc.centred(i, j)} * {rc.centred(j, i)}) AS p{i}_{j}") for i in d for j in d[i + 1:]])
+
+    def cell(i, j):
+        var = f"s{i}_{rc.slot[i][j]} * s{j}_{rc.slot[j][i]}"
+        value = "1D" if i == j else f"p{min(i, j)}_{max(i, j)} / SQRT({var})"
+        return f"IF({var} > 0, {value}, NULL)"
+    pairs = [(i, j) for i in d for j in d]
+    values = row.select(F.posexplode(F.expr(f"array({', '.join(cell(i, j) for i, j in pairs)})")).alias("pos", "r"))
+    names = [F.array(*[F.lit(cols[p[k]]) for p in pairs]) for k in (0, 1)]
+    return values.select(names[0][F.col("pos")].alias("a"), names[1][F.col("pos")].alias("b"), "r").withColumn("abs_r", F.abs("r"))
 
 
 def target_corr(corr_long: DataFrame, target: str) -> DataFrame:

@@ -19,6 +19,9 @@ The result, one row per distinct ``(key, value)``, gives each value the 1-based
 rank interval ``[cum - cnt + 1, cum]``; its average (pandas ``rank()``) is
 ``cum - (cnt - 1) / 2``.
 
+Ranks *attached to rows* (:func:`rank_columns`, Spearman) need no cut points: range partitions over the distinct values,
+running counts within a partition and one small table of partition counts, then every row's ranks come back as columns.
+
 Quantiles need only the values at two ranks per target, so they skip the full
 rank table: a histogram over a data-independent monotone bucket locates exact
 brackets, and only the rows inside them are ranked (:func:`bracket_quantiles`).
@@ -31,6 +34,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
@@ -38,7 +42,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from finlens.functions.exprs import c, explode_rows
+from finlens.functions.exprs import c, explode_rows, nan_to_null
+from finlens.operators.positions import written
 from finlens.session import ensure_checkpoint_dir
 
 DEFAULT_BUCKETS = 64
@@ -171,6 +176,71 @@ def rank_table(long_df: DataFrame, keys: Sequence[str] = ("column",)) -> DataFra
     ).withColumn("avg_rank", F.col("cum") - (F.col("cnt") - 1) / 2.0)
 
 
+@dataclass
+class RankColumns:
+    """Rows with their ranks: ``table`` has one row per input row with ``__r{i}``, an array of average ranks of column ``i``;
+    ``slot[i][j]`` is the place in it of the rank among the rows where column ``j`` is present too (0: among all rows where
+    ``i`` is present), ``size[i][k]`` the number of rows ranked at place ``k``."""
+
+    table: DataFrame
+    slot: list[list[int]]
+    size: list[list[int]]
+
+    def centred(self, i: int, j: int) -> str:
+        """SQL: rank of ``i`` among the rows where ``j`` is present, less the mean rank ``(n + 1) / 2``; null outside them."""
+        k = self.slot[i][j]
+        return f"IF(__r{j} IS NULL, NULL, __r{i}[{k}] - {(self.size[i][k] + 1) / 2!r}D)"
+
+
+def rank_columns(df: DataFrame, cols: Sequence[str], parts: int | None = None) -> RankColumns:
+    """Average ranks of every column attached to its rows, also pairwise-complete ones.
+
+    1. the columns are written once as doubles, with a row id, so that every later pass reads the same rows;
+    2. one aggregate finds the ordered pairs (a, b) with rows where a is present and b missing: only there does the rank of
+       a among the rows of b differ from its plain rank;
+    3. ``(column, value) -> counts``, one counter for all rows and one for each such b (hot values collapse map-side), range
+       partitioned by (column, value); running counts within a partition, and offsets from one row per (partition, column);
+    4. the rows' values meet their ranks on (column, value), where AQE splits a hot value's rows, and one grouping by
+       the row id makes them columns.
+
+    Every shuffle carries at most ``#cols x rows`` short rows, whatever the number of pairs.  A row without any value gets no
+    ranks.  ``parts`` is the number of range partitions (the session's shuffle partitions)."""
+    spark, cols = df.sparkSession, list(cols)
+    d = range(len(cols))
+    parts = parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    base = written(df.select(*[as_value(nan_to_null(c(x).cast("double"))).alias(f"v{i}") for i, x in enumerate(cols)],
+                             F.monotonically_increasing_id().alias("rid")), "ranked-rows")
+    gaps = base.agg(F.count(F.lit(1)), *[F.expr(f"count_if(v{i} IS NOT NULL AND v{j} IS NULL) AS x{i}_{j}")
+                                               for i in d for j in d if i != j]).first()
+    need = [[j for j in d if j != i and gaps[f"x{i}_{j}"]] for i in d]
+    asked = sorted({j for js in need for j in js})
+    slot = [[1 + need[i].index(j) if j in need[i] else 0 for j in d] for i in d]
+    present = lambda i: F.col(f"v{i}").isNotNull()
+    values = explode_rows(base, [(present(i), [F.lit(i).alias("i"), F.col(f"v{i}").alias("value"),
+                                               *[present(j).alias(f"p{j}") for j in asked]]) for i in d])
+    kinds = ["all", *[str(j) for j in asked]]
+    counts = values.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n_all"), *[F.count_if(F.col(f"p{j}")).alias(f"n_{j}") for j in asked])
+    counts = written(counts.repartitionByRange(parts, "i", "value").withColumn("part", F.spark_partition_id()), "ranked-values")
+    totals = [[0] * len(kinds) for _ in d]
+    before = []
+    for r in counts.groupBy("part", "i").agg(*[F.sum(f"n_{k}").alias(f"n_{k}") for k in kinds]).orderBy("i", "part").collect():
+        # one row per range partition, and one more per column that begins inside a partition
+        before.append((r["part"], r["i"], *totals[r["i"]]))
+        totals[r["i"]] = [t + r[f"n_{k}"] for t, k in zip(totals[r["i"]], kinds, strict=True)]
+    schema = "part int, i int" + "".join(f", o_{k} long" for k in kinds)
+    w = Window.partitionBy("part", "i").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rank = lambda k: F.col(f"o_{k}") + F.sum(f"n_{k}").over(w) - (F.col(f"n_{k}") - 1) / 2.0
+    ranked = counts.join(F.broadcast(spark.createDataFrame(before, schema)), ["part", "i"]).select(
+        "i", "value", *[rank(k).alias(f"r_{k}") for k in kinds])
+    # the places of a column's array follow its own list of conditions
+    own = F.coalesce(*[F.when(F.col("i") == i, F.array(F.col("r_all"), *[F.col(f"r_{j}") for j in need[i]])) for i in d])
+    rows = explode_rows(base, [(present(i), [F.lit(i).alias("i"), F.col(f"v{i}").alias("value")]) for i in d], keep=("rid",))
+    table = rows.join(ranked.select("i", "value", own.alias("r")), ["i", "value"]).groupBy("rid").agg(
+        *[F.max(F.when(F.col("i") == i, F.col("r"))).alias(f"__r{i}") for i in d])
+    size = [[totals[i][0], *[totals[i][1 + asked.index(j)] for j in need[i]]] for i in d]
+    return RankColumns(table, slot, size)
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     names: Sequence[str] | None = None, by: Sequence[str] = (),
                     accuracy: int = DEFAULT_ACCURACY, approx_accuracy: int | None = None,

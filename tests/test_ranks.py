@@ -141,3 +141,36 @@ def test_brackets_end_whatever_the_values(spark, monkeypatch):
     ranks.exact_quantiles(sdf.where("k = 'one value'"), ["v"], probs).collect()
     assert not joins  # a bracket of one value needs no rows
     assert ranks.exact_quantiles(sdf.where("false"), ["v"], probs).count() == 0
+
+
+def test_spearman_of_columns_with_own_gaps(spark):
+    from finlens.operators import profile as pf
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"hot": np.where(rng.random(900) < 0.4, 7.0, rng.integers(0, 40, 900)), "x": rng.normal(size=900),
+                        "y": rng.integers(-3, 3, 900) * 0.5, "flat": 2.0, "it's `odd`": rng.random(900)})
+    for i, col in enumerate(("hot", "x", "y")):
+        pdf.loc[rng.choice(900, 60 * (i + 1), replace=False), col] = np.nan
+    pdf["none"] = np.nan
+    pdf.loc[pdf["y"] == 0, "y"] = -0.0
+    sdf = spark.createDataFrame([tuple(map(float, r)) for r in pdf.itertuples(index=False)],
+                                ", ".join(f"`{x.replace('`', '``')}` double" for x in pdf.columns)).withColumnRenamed("it's `odd`", "it's odd")
+    pdf = pdf.rename(columns={"it's `odd`": "it's odd"})
+    want = pdf.corr(method="spearman")
+    for parts in (1, 3, None):
+        got = pf.spearman(sdf, list(pdf.columns), parts).collect()
+        assert len(got) == len(pdf.columns) ** 2
+        for r in got:
+            w = want.loc[r.a, r.b]
+            assert (r.r is None) == bool(np.isnan(w)) and (r.r is None or abs(r.r - w) < 1e-9), (r, w)
+    assert all(r.r is None for r in pf.spearman(sdf.limit(0), ["hot", "x"]).collect())
+
+
+def test_rank_columns_match_pandas_and_are_not_multiplied_by_pairs(spark):
+    pdf, sdf = _frame(spark, n=500)
+    rc = ranks.rank_columns(sdf, ["a", "b"], 4)
+    assert (rc.slot, rc.size) == ([[0, 0], [1, 0]], [[400], [500, 400]])  # b's ranks differ where a is missing
+    assert rc.table.count() == 500
+    got = rc.table.selectExpr("__r0[0] AS a", "__r1[0] AS b", "__r1[1] AS ba").toPandas()
+    both = pdf[pdf["a"].notna()]
+    for x, w in (("a", pdf["a"].dropna().rank()), ("b", pdf["b"].rank()), ("ba", both["b"].rank())):
+        assert sorted(got[x].dropna() if x != "ba" else got.loc[got["a"].notna(), "ba"]) == sorted(w)
