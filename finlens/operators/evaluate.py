@@ -149,12 +149,12 @@ def linear_cv_metrics(train: DataFrame, feats: Sequence[str], label: str = "y_lo
 # -- M10 / J3 / U1 / F4 / F6 ---------------------------------------------------------------------
 def evaluate_model(name: str, model: PipelineModel, pipeline: Pipeline | None, train: DataFrame, test: DataFrame,
                    label: str = "y_log", target: str = "target", fold_col: str = "fold", k: int = 5,
-                   unit: float = 1e9, cv: bool = True) -> DataFrame:
+                   unit: float = 1e9, cv: bool = True, cvm: dict | None = None) -> DataFrame:
     """One comparison row: CV-log, test-log and test-real metrics (real scale
-    bias-corrected with the training factor, MAE/RMSE in ``unit``)."""
+    bias-corrected with the training factor, MAE/RMSE in ``unit``).  ``cvm`` gives CV metrics that are known already."""
     spark = train.sparkSession
-    cvm = cv_metrics(pipeline, train, label, fold_col, k) if (cv and pipeline is not None) else \
-        {"r2": None, "mae": None, "rmse": None}
+    cvm = cvm or (cv_metrics(pipeline, train, label, fold_col, k) if (cv and pipeline is not None) else
+                  {"r2": None, "mae": None, "rmse": None})
     factor = bias_correction(model.transform(train), label)
     scored = to_real(model.transform(test), factor=factor).withColumn("__y", c(target).cast("double"))
     # log and real metrics in one aggregate pass over the scored test rows

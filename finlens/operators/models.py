@@ -15,10 +15,13 @@ scores them on the key-hash folds, whose preparation all trials share.
 
 from __future__ import annotations
 
+import itertools
 import logging
 import math
 import time
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
@@ -27,12 +30,14 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlens.operators.boosting import Boost, HistogramBooster
+from finlens.operators.boosting import Boost, HistogramBooster, HistogramBoosterModel, dumps
+from finlens.operators.evaluate import metric_aggs, metric_cols
 from finlens.operators.search import Folds, ParzenSampler, mean_r2, run_trials, weighted_r2
 
 LOG = logging.getLogger("finlens")
 
 MODEL_NAMES = ("LinearRegression", "GradientBoosting", "XGBoost", "LightGBM", "Ensemble")
+MEMBERS = ("GradientBoosting", "XGBoost", "LightGBM")  # of the vote
 
 # Library defaults of the three boosting families and the search
 # ranges of the surveyed job (trees 50–300, rate .01–.3, depth 3–10, split
@@ -84,7 +89,7 @@ def make_regressor(name: str, params: dict | None = None, features_col: str = "f
         return HistogramBooster(boost_params(name, params, seed), **cols)
     if name == "Ensemble":
         members = [make_regressor(m, (tuned_members or {}).get(m), features_col, label_col, seed=seed)
-                   for m in ("GradientBoosting", "XGBoost", "LightGBM")]
+                   for m in MEMBERS]
         w = None
         if params:
             w = [float(v) for _, v in sorted(params.items())]
@@ -222,17 +227,89 @@ def train_model(name: str, params: dict, prep: Pipeline, train: DataFrame, label
     return model, time.time() - t0
 
 
+def _fits(name: str, params: dict | None) -> list[tuple[tuple, float]]:
+    """The single models a family consists of, as ``(family, its parameters)``, with their weights in its vote."""
+    if name != "Ensemble":
+        return [((name, tuple(sorted((params or {}).items()))), 1.0)]
+    weights = [float(v) for _, v in sorted((params or {}).items())] or [1.0] * len(MEMBERS)
+    return [((m, ()), w) for m, w in zip(MEMBERS, weights, strict=True)]
+
+
 def train_all(prep: Pipeline, train: DataFrame, names=MODEL_NAMES, label_col: str = "y_log", tune: bool = True,
-              trials: int = N_TRIALS, seed: int = 42) -> tuple[dict, dict, dict]:
-    """M8: search + fit every family; models that fail are skipped.
-    Returns ``(models, params, train_times)``."""
-    models, params, times = {}, {}, {}
-    folds = Folds(prep, train, label_col) if tune else None
-    for name in names:
-        p = search(name, prep, train, label_col, trials=trials, seed=seed, folds=folds)[0] if tune else {}
+              trials: int = N_TRIALS, seed: int = 42, folds: Folds | None = None, space: dict | None = None,
+              params: dict | None = None) -> tuple[dict, dict, dict]:
+    """M8: search + fit every family; models that fail are skipped and logged.  Returns ``(models, params, train_times)``.
+
+    The preparation is fitted once and its rows are kept for all families.  A member of the vote that was already fitted with
+    the same parameters is not fitted again; a family's time is that of the preparation and of all the models in it.  ``params`` gives
+    parameters of families that are not searched, ``space`` replaces search spaces by family."""
+    models, times, fitted = {}, {}, {}
+    chosen = {name: dict((params or {}).get(name, {})) for name in names}
+    if tune:
+        folds = folds or Folds(prep, train, label_col)
+        for name in names:
+            chosen[name] = search(name, prep, train, label_col, trials=trials, seed=seed, folds=folds, space=(space or {}).get(name))[0]
+    t0 = time.time()
+    ready = prep.fit(train)
+    rows = ready.transform(train).select(label_col, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    shared = time.time() - t0
+    try:
+        for name in names:
+            try:
+                for key, _ in _fits(name, chosen[name]):
+                    if key not in fitted:
+                        t0 = time.time()
+                        model = make_regressor(key[0], dict(key[1]), label_col=label_col, seed=seed).fit(rows)
+                        fitted[key] = (model, time.time() - t0)
+                if name == "Ensemble":
+                    own = [m.copy({m.predictionCol: f"__vote{i}"}) for i, m in enumerate(fitted[k][0] for k, _ in _fits(name, chosen[name]))]
+                    last = VotingModel(own, [w for _, w in _fits(name, chosen[name])])
+                else:
+                    last = fitted[_fits(name, chosen[name])[0][0]][0]
+                models[name] = PipelineModel(stages=[*ready.stages, last])
+                times[name] = shared + sum(fitted[k][1] for k, _ in _fits(name, chosen[name]))
+            except Exception:  # noqa: BLE001 — a failing family is left out and reported, the others go on
+                LOG.exception("training of %s failed; it is left out", name)
+    finally:
+        rows.unpersist()
+    return models, {name: chosen[name] for name in models}, times
+
+
+# -- M9 over all families ------------------------------------------------------------------------
+def cross_validate(folds: Folds, params: dict[str, dict], seed: int = 42, threads: int = 2) -> dict[str, dict]:
+    """M9 of several families: ``family -> {r2, mae, rmse}`` (mean R², mean MAE, root of the mean MSE over the folds that hold
+    rows).  Every fold is prepared once; the histogram boosters of all families and folds grow in the same jobs; a model that
+    several families hold is fitted once for each fold, and the vote is taken of its members' held-out predictions."""
+    keys = sorted({k for name, p in params.items() for k, _ in _fits(name, p)}, key=str)
+    joint = [k for k in keys if k[0] in ("XGBoost", "LightGBM")]
+    grown = iter(folds.grown([boost_params(k[0], dict(k[1]), seed) for k in joint]))
+    trees = {k: list(itertools.islice(grown, len(folds.numbers))) for k in joint}
+
+    def one(i):
+        fit_rows, held = (x.persist(StorageLevel.MEMORY_AND_DISK) for x in folds.part(i))
         try:
-            models[name], times[name] = train_model(name, p, prep, train, label_col, seed)
-            params[name] = p
-        except Exception:  # noqa: BLE001 — a failing family is left out and reported, the others go on
-            LOG.exception("training of %s failed; it is left out", name)
-    return models, params, times
+            scored = held
+            for j, k in enumerate(keys):
+                if k in trees:
+                    model = HistogramBoosterModel(featuresCol=folds.features, predictionCol=f"__m{j}", trees=dumps(trees[k][i]), boost="{}")
+                else:
+                    model = make_regressor(k[0], dict(k[1]), folds.features, folds.label, f"__m{j}", seed).fit(fit_rows)
+                scored = model.transform(scored)
+            votes = {n: _fits(n, p) for n, p in params.items()}
+            mean = lambda v: sum((F.col(f"__m{keys.index(k)}") * F.lit(w) for k, w in v), F.lit(0.0)) / F.lit(sum(w for _, w in v))
+            scored = scored.select(folds.label, *[mean(v).alias(f"__p{n}") for n, v in enumerate(votes.values())])
+            sums = [F.struct(*[x.alias(a) for x, a in zip(metric_aggs(folds.label, f"__p{n}"), ("n", "sse", "var_y", "mae", "mse"), strict=True)])
+                    for n in range(len(votes))]
+            return scored.agg(F.array(*sums).alias("f")).select(F.inline("f")).select("n", *metric_cols()).collect()  # one row per family
+        finally:
+            fit_rows.unpersist()
+            held.unpersist()
+
+    with ThreadPool(threads) as pool:
+        got = pool.map(one, range(len(folds.numbers)))
+    out = {}
+    for n, name in enumerate(params):
+        rows = [g[n] for g in got if g[n]["n"]]
+        mean = lambda x: sum(r[x] for r in rows) / len(rows) if rows else None  # noqa: B023,E731
+        out[name] = {"r2": mean("r2"), "mae": mean("mae"), "rmse": math.sqrt(mean("mse")) if rows else None}
+    return out

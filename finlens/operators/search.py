@@ -128,9 +128,17 @@ class Folds:
         f = self.numbers[i]
         return rows.where(c(self.fold) != f), rows.where(c(self.fold) == f)
 
+    def _fits(self, trials: Sequence[boosting.Boost]) -> list[boosting.Fit]:
+        return [boosting.Fit(b, version=i, held=f) for b in trials for i, f in enumerate(self.numbers)]
+
+    def grown(self, trials: Sequence[boosting.Boost]) -> list[boosting.Ensemble]:
+        """The models of every trial and fold (the folds of a trial in a row), fitted together."""
+        fits = self._fits(trials)
+        return [m for lo in range(0, len(fits), FITS_AT_ONCE) for m in boosting.boost(self.binned, fits[lo : lo + FITS_AT_ONCE])]
+
     def boosted(self, trials: Sequence[boosting.Boost]) -> list[list[dict]]:
         """Held-out metrics of every trial and fold, fitted together."""
-        fits = [boosting.Fit(b, version=i, held=f) for b in trials for i, f in enumerate(self.numbers)]
+        fits = self._fits(trials)
         scores = []
         for lo in range(0, len(fits), FITS_AT_ONCE):
             some = fits[lo : lo + FITS_AT_ONCE]

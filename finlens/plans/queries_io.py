@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from finlens.operators import clean as cl
 from finlens.operators import evaluate as ev
 from finlens.plans import eda
-from finlens.plans.queries_model import (MF_SQL, OLS_FEATURES, UNIT, _cmp_sql, _ols_fit, comparison, ols_coef_sql,
+from finlens.plans.queries_model import (COMPARE, MF_SQL, OLS_FEATURES, UNIT, _cmp_sql, _ols_fit, comparison, ols_coef_sql,
                                          ols_pred_sql)
 from finlens.plans.registry import ACC_WITH, D_PRED, accounts, load_table, register, rnd
 from finlens.session import scratch_path
@@ -128,6 +128,33 @@ def q_model_roundtrip(spark, sf_dir):
     return rnd(loaded.transform(te).select("id", "prediction"), {"prediction": D_PRED})
 
 
+# -- T3 -> S6 -> R1: the stored table names the model that serves -----------------------------------
+def _served_sql() -> str:
+    need = " AND ".join(f"t.{x} IS NOT NULL" for x in REQUEST)
+    rows = " UNION ALL ".join(
+        f"""SELECT t.id, sv.model, ROUND((EXP({ols_pred_sql(feats)}) - 1) / {UNIT}, 4) AS predicted, NULL AS reason
+FROM (SELECT DISTINCT * FROM accounts) t, ({ols_coef_sql(feats, 'tr')}) co, sv WHERE sv.model = '{name}' AND {need}""" for name, feats in COMPARE)
+    return f"""{_cmp_sql()}, sv AS (SELECT model FROM cmp ORDER BY r2_real DESC, row_no LIMIT 1)
+{rows}
+UNION ALL SELECT id, sv.model, NULL AS predicted, reason FROM (SELECT id, {_REASON} AS reason FROM (SELECT DISTINCT * FROM accounts) d) r, sv
+WHERE reason IS NOT NULL"""
+
+
+@register("served", _served_sql())
+def q_served(spark, sf_dir):
+    """Every compared model is stored, the stored table selects one, which is read back and scores the records; records that
+    it cannot score come with the reason."""
+    base = _scratch(spark, "served")
+    table = comparison(spark, sf_dir, save=lambda name, model: sinks.save_model(model, f"{base}/models", name))
+    sinks.write_table(table, f"{base}/comparison")
+    name = ev.serving_model_name(sinks.read_table(spark, f"{base}/comparison"))
+    model = sinks.load_model(f"{base}/models", name, required=True)
+    recs = _records(spark, sf_dir)
+    ok = sc.score(model, recs, REQUEST).select("id", (F.col("predicted") / UNIT).alias("predicted"), F.lit(None).cast("string").alias("reason"))
+    bad = sc.rejects(recs, REQUEST).select(F.get_json_object("record", "$.id").cast("long").alias("id"), F.lit(None).cast("double").alias("predicted"), "reason")
+    return rnd(ok.unionByName(bad).select("id", F.lit(name).alias("model"), "predicted", "reason"), {"predicted": 4})
+
+
 # -- S3 / S4 -------------------------------------------------------------------------------------
 @register("comparison_roundtrip", f"{_cmp_sql()} SELECT * FROM cmp")
 def q_comparison_roundtrip(spark, sf_dir):

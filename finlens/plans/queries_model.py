@@ -278,13 +278,16 @@ def _cmp_sql() -> str:
 cmp AS (SELECT model, {sel}, 0.0 AS train_time, row_no FROM raw)"""
 
 
-def comparison(spark, sf_dir, cv: bool = True) -> DataFrame:
+def comparison(spark, sf_dir, cv: bool = True, save=None) -> DataFrame:
+    """The comparison table; ``save(name, model)`` is called for every fitted model."""
     tr, te = _split(spark, sf_dir)
     tr, te = tr.cache(), te.cache()
     rows = []
     for name, feats in COMPARE:
         pipe = ols_pipeline(feats)
         model = pipe.fit(tr)
+        if save:
+            save(name, model)
         rows.append(ev.evaluate_model(name, model, pipe, tr, te, unit=UNIT, cv=cv))
     return ev.comparison_table(rows)
 
