@@ -4,7 +4,7 @@ The five model families of the surveyed job map to ``pyspark.ml``:
 
 * ``LinearRegression`` — OLS with intercept (normal equations: one
   distributed aggregate of the k x k Gram matrix, solved on the driver);
-* ``GradientBoosting`` — ``GBTRegressor``;
+* ``GradientBoosting`` — ``GBTRegressor``, over as many partitions as its rows fill;
 * ``XGBoost`` / ``LightGBM`` — :class:`~finlens.operators.boosting.HistogramBooster`:
   second-order gain with row subsampling by level, and best-first growth to a leaf limit;
 * ``Ensemble`` — :class:`VotingRegressor`, a weighted mean of member models.
@@ -30,8 +30,10 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finlens.functions.exprs import c
 from finlens.operators.boosting import Boost, HistogramBooster, HistogramBoosterModel, dumps
 from finlens.operators.evaluate import metric_aggs, metric_cols
+from finlens.operators.positions import written
 from finlens.operators.search import Folds, ParzenSampler, mean_r2, run_trials, weighted_r2
 
 LOG = logging.getLogger("finlens")
@@ -57,6 +59,7 @@ SEARCH_SPACE = {
     "Ensemble": {"w0": ("float", 0.1, 1.0), "w1": ("float", 0.1, 1.0), "w2": ("float", 0.1, 1.0)},
 }
 N_TRIALS = 10
+FIT_ROWS = 20_000  # rows in a partition of a boosted fit, about: its hundreds of jobs each run one task for every partition
 
 
 def gbt_params(family: str = "GradientBoosting", params: dict | None = None) -> dict:
@@ -77,6 +80,20 @@ def boost_params(family: str, params: dict | None = None, seed: int = 42) -> Boo
     return Boost(**shared, num_leaves=int(p["num_leaves"]), l2=0.0, min_rows=20)
 
 
+class CompactGBTRegressor(GBTRegressor):
+    """``GBTRegressor`` whose hundreds of jobs do not run a task for every partition of whatever made its rows: the label and features
+    are written once, in partitions of about ``FIT_ROWS`` rows at least, and read back without the plan that made them."""
+
+    def _fit(self, df):
+        cols = [self.getLabelCol(), self.getFeaturesCol(), *([self.getWeightCol()] if self.isSet(self.weightCol) else [])]
+        rows = df.select(*[c(x) for x in dict.fromkeys(cols)]).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            few = written(rows.coalesce(max(1, -(-rows.count() // FIT_ROWS))), "fit-rows")
+        finally:
+            rows.unpersist()
+        return super()._fit(few)
+
+
 def make_regressor(name: str, params: dict | None = None, features_col: str = "features", label_col: str = "y_log",
                    prediction_col: str = "prediction", seed: int = 42, tuned_members: dict | None = None):
     """One estimator per model family (M1–M5)."""
@@ -84,7 +101,7 @@ def make_regressor(name: str, params: dict | None = None, features_col: str = "f
     if name == "LinearRegression":
         return LinearRegression(solver="normal", regParam=0.0, elasticNetParam=0.0, fitIntercept=True, **cols)
     if name == "GradientBoosting":
-        return GBTRegressor(seed=seed, cacheNodeIds=True, checkpointInterval=10, **gbt_params(name, params), **cols)
+        return CompactGBTRegressor(seed=seed, cacheNodeIds=True, checkpointInterval=10, **gbt_params(name, params), **cols)
     if name in DEFAULTS:
         return HistogramBooster(boost_params(name, params, seed), **cols)
     if name == "Ensemble":

@@ -132,6 +132,21 @@ def test_tree_shap_exact_and_additive(spark):
     assert np.allclose(s["s"] + s["base"], pred.loc[s.index], atol=1e-9)
 
 
+def test_gradient_boosting_runs_on_as_many_partitions_as_its_rows_fill(spark, frame, monkeypatch):
+    df = VectorAssembler(inputCols=["b"], outputCol="features").transform(frame).repartition(16, "id")
+    seen, real = [], GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, d: seen.append((d.rdd.getNumPartitions(), d.count())) or real(self, d))
+    few = {"n_estimators": 3}
+    plain = GBTRegressor(seed=42, cacheNodeIds=True, checkpointInterval=10, labelCol="y", **md.gbt_params("GradientBoosting", few)).fit(df)
+    want = {r.id: r.prediction for r in plain.transform(df).collect()}
+    for rows in (md.FIT_ROWS, 50):
+        monkeypatch.setattr(md, "FIT_ROWS", rows)
+        model = md.make_regressor("GradientBoosting", few, label_col="y").fit(df)
+        assert all(abs(r.prediction - want[r.id]) < 1e-9 for r in model.transform(df).collect())
+    (before, _), (one, n), (some, m) = seen
+    assert before == 16 and one == 1 and 1 < some <= 4 and n == m == 200
+
+
 def test_linear_and_sampled_attribution_additivity(spark, frame):
     df = frame.where("a is not null")
     pm = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"),
