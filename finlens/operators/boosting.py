@@ -1,8 +1,8 @@
 """Histogram gradient boosting as Spark jobs (M3, M4) and the cross-validated fits of the search (M6).
 
 Feature values become bin numbers once (one byte each), written below the shared checkpoint folder.  A tree grows from
-aggregates ``(node, feature, bin) -> sum of gradients, rows``: one job for each batch of nodes, with the rows counted
-for the smaller child only and the sibling got by subtraction.  Gradients are summed as scaled integers, so a sum, and
+aggregates ``(node, feature, bin) -> sum of gradients, rows``: one job over cached blocks of rows for each batch of nodes, with
+the rows counted for the smaller child only and the sibling got by subtraction.  Gradients are summed as scaled integers, so a sum, and
 with it the model, does not depend on partitions or on which task is run again.  The driver holds histograms of the
 nodes in hand (nodes x features x 256 numbers) and the trees.
 
@@ -27,7 +27,7 @@ from dataclasses import asdict, dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel, keyword_only
+from pyspark import RDD, StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -37,12 +37,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlens.functions.exprs import c
-from finlens.session import scratch_path, ship_library
+from finlens.session import ensure_checkpoint_dir, scratch_path, ship_library
 
 BINS = 255
 BIN_ROWS = 100_000      # rows that bin edges are taken from, about, chosen by hash; all rows if there are fewer
 PART_BYTES = 1 << 20    # of binned rows in a partition, before compression
-REFRESH = 10            # trees after which the rows' predictions are written anew
+REFRESH = 10            # trees after which the rows' predictions are checkpointed
 _WORD = 1 << 32
 
 
@@ -307,13 +307,17 @@ def boost(data: Binned, fits: Sequence[Fit]) -> list[Ensemble]:
     scale = 2.0 ** min(40, 59 - total.bit_length()) / spread
     limit = 4.0 * spread * scale
     done = [0] * len(fits)        # trees already in the rows' predictions
-    rows = data.rows.withColumn("p", F.array(*[F.lit(e.base) for e in out])).persist(StorageLevel.MEMORY_AND_DISK)
-    kept = rows
+    ensure_checkpoint_dir(spark)
+    blocks = _blocks(data.rows, [e.base for e in out]).persist(StorageLevel.MEMORY_AND_DISK)
+    kept, refreshes = [blocks], 0
     growing = {k: _Growing(fits[k].boost, data.edges[fits[k].version], scale) for k in live}
     try:
         while growing:
             slots = [(k, node) for k in sorted(growing) for node in growing[k].want]
-            counted = _count(rows, fits, out, done, growing, slots, width, scale, limit, data.parts)
+            counted = _count(blocks, fits, out, done, growing, slots, width, scale, limit)
+            for old in kept[:-1]:
+                old.unpersist()  # that job has read the blocks with the newer predictions
+            del kept[:-1]
             for k in list(growing):
                 own = {node: counted[i] for i, (j, node) in enumerate(slots) if j == k}
                 growing[k].take(own)
@@ -324,15 +328,31 @@ def boost(data: Binned, fits: Sequence[Fit]) -> list[Ensemble]:
                         del growing[k]  # enough trees, or nothing left to split
                         break
                     growing[k] = _Growing(fits[k].boost, data.edges[fits[k].version], scale)
-            if growing and max(len(out[k].trees) - done[k] for k in growing) >= REFRESH:
-                rows, old = _refreshed(rows, fits, out, done, width), kept
-                kept = rows
-                old.unpersist()
+            if growing and sum(len(out[k].trees) - done[k] for k in growing) >= len(growing):
+                refreshes += 1
+                blocks = _refreshed(blocks, fits, out, done, width, refreshes % REFRESH == 0)
+                kept.append(blocks)
     finally:
-        kept.unpersist()
+        for old in kept:
+            old.unpersist()
     return out
 
 
+def _blocks(rows: DataFrame, start: list[float]) -> RDD:
+    """The rows as blocks (h, y, fold, bins, predictions of every fit) of arrays, one for each Arrow batch.  The hundreds of small jobs of
+    a fit run over these: a job over rows would be planned, and its rows taken apart, each time."""
+    def pack(batches):
+        for b in batches:
+            if b.num_rows:
+                own = [b.column(0).to_numpy().tobytes(), b.column(1).to_numpy().tobytes(), b.column(2).fill_null(-1).to_numpy().tobytes(), b"".join(b.column(3).to_pylist())]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in own], names=["h", "y", "fold", "bins"])
+
+    def block(r):
+        h, y, fold = (np.frombuffer(x, t) for x, t in zip(r[:3], (np.int64, np.float64, np.int32), strict=True))
+        return h, y, fold, np.frombuffer(r[3], np.uint8).reshape(len(y), -1), np.tile(np.array(start), (len(y), 1))
+    return rows.mapInArrow(pack, "h binary, y binary, fold binary, bins binary").rdd.map(block)
+
+
 def _added(bins_of, fits, out, done, p: np.ndarray, k: int) -> np.ndarray:
     """Predictions of fit k: the stored ones and the trees since."""
     got = p[:, k].copy()
@@ -342,28 +362,22 @@ def _added(bins_of, fits, out, done, p: np.ndarray, k: int) -> np.ndarray:
     return got
 
 
-def _predictions(batch) -> np.ndarray:
-    p = batch.column(4)
-    return p.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+def _versions(bins: np.ndarray, width: int):
+    return lambda v: bins[:, v * width : (v + 1) * width]
 
 
-def _count(rows, fits, out, done, growing, slots, width, scale, limit, parts) -> list[tuple[np.ndarray, np.ndarray]]:
+def _count(blocks, fits, out, done, growing, slots, width, scale, limit) -> list[tuple[np.ndarray, np.ndarray]]:
     """Sums of gradients and rows for each asked node, feature and bin: one job."""
     now = {k: (np.array(g.feature), np.array(g.bin), np.array(g.left), np.array(g.right), len(out[k].trees)) for k, g in growing.items()}
     recent = [Ensemble(e.base, e.trees[done[k]:] if k in growing else []) for k, e in enumerate(out)]
     fresh = [0] * len(fits)
     place = {k: {node: i for i, (j, node) in enumerate(slots) if j == k} for k in growing}
-    size = width * 256
+    size, n_slots = width * 256, len(slots)
 
-    def run(batches):
-        g_sum, n_sum = np.zeros(len(slots) * size, np.int64), np.zeros(len(slots) * size, np.int64)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            h, y = b.column(0).to_numpy(), b.column(1).to_numpy()
-            fold = b.column(2).fill_null(-1).to_numpy()
-            p, versions = _predictions(b), {}
-            bins_of = lambda v: versions.setdefault(v, _state(b, v, width))  # noqa: B023, E731
+    def run(part):
+        g_sum, n_sum = np.zeros(n_slots * size, np.int64), np.zeros(n_slots * size, np.int64)
+        for h, y, fold, bins, p in part:
+            bins_of = _versions(bins, width)
             for k, (f, t, l, r, tree) in now.items():
                 use = drawn(h, tree, fits[k].boost.seed, fits[k].boost.subsample)
                 if fits[k].held is not None:
@@ -379,36 +393,32 @@ def _count(rows, fits, out, done, growing, slots, width, scale, limit, parts) ->
                 key = (slot[at] * size)[:, None] + np.arange(width)[None, :] * 256 + bins_of(fits[k].version)[at]
                 np.add.at(g_sum, key.ravel(), np.repeat(g, width))
                 n_sum += np.bincount(key.ravel(), minlength=len(n_sum))
-        some = np.flatnonzero(n_sum)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(g_sum[some]), pa.array(n_sum[some])], names=["k", "g", "n"])
+        for i in range(n_slots):
+            yield i, (g_sum[i * size : (i + 1) * size], n_sum[i * size : (i + 1) * size])
 
-    sums = rows.mapInArrow(run, "k long, g long, n long")
-    if parts > 1:
-        sums = sums.groupBy("k").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
-    sums = sums.toPandas()  # slots x features x bins at most
-    g, n = np.zeros(len(slots) * size, np.int64), np.zeros(len(slots) * size, np.int64)
-    at = sums["k"].to_numpy(np.int64)  # one partition emits each key once
-    g[at], n[at] = sums["g"].to_numpy(np.int64), sums["n"].to_numpy(np.int64)
-    return list(zip(g.reshape(-1, width, 256), n.reshape(-1, width, 256), strict=True))
+    sums = blocks.mapPartitions(run)
+    if (parts := blocks.getNumPartitions()) > 1:
+        sums = sums.reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1]), min(parts, n_slots))
+    sums = dict(sums.collect())  # slots x features x bins
+    return [(sums[i][0].reshape(width, 256), sums[i][1].reshape(width, 256)) for i in range(n_slots)]
 
 
-def _refreshed(rows, fits, out, done, width) -> DataFrame:
-    """Rows with the predictions of all finished trees, written, so that neither lineage nor trees to replay grow."""
+def _refreshed(blocks, fits, out, done, width, checkpoint: bool) -> RDD:
+    """Blocks with the predictions of all finished trees, made by the next job, so that it is the last one to walk these trees;
+    checkpointed now and then, so that the lineage does not grow."""
     recent = [Ensemble(e.base, e.trees[done[k]:]) for k, e in enumerate(out)]
     fresh = [0] * len(fits)
 
-    def run(batches):
-        for b in batches:
-            p, versions = _predictions(b), {}
-            bins_of = lambda v: versions.setdefault(v, _state(b, v, width))  # noqa: B023, E731
-            got = np.stack([_added(bins_of, fits, recent, fresh, p, k) for k in range(len(fits))], 1) if b.num_rows else p
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * len(fits), pa.int32()), pa.array(got.ravel(), pa.float64()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], lists], names=["h", "y", "fold", "bins", "p"])
-    path = scratch_path(rows.sparkSession, f"boosted-{uuid.uuid4().hex[:12]}")
-    rows.mapInArrow(run, "h long, y double, fold int, bins binary, p array<double>").write.parquet(path)
+    def run(block):
+        h, y, fold, bins, p = block
+        bins_of = _versions(bins, width)
+        return h, y, fold, bins, np.stack([_added(bins_of, fits, recent, fresh, p, k) for k in range(len(fits))], 1)
+    new = blocks.map(run).persist(StorageLevel.MEMORY_AND_DISK)
+    if checkpoint:
+        new.checkpoint()
     for k, e in enumerate(out):
         done[k] = len(e.trees)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+    return new
 
 
 def held_out_scores(data: Binned, fits: Sequence[Fit], models: Sequence[Ensemble]) -> list[dict]:

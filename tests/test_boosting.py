@@ -97,6 +97,19 @@ def test_model_does_not_depend_on_partitions_and_saves(spark, tmp_path, monkeypa
     assert a == c
 
 
+def test_a_fit_plans_its_rows_once(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    df, _ = table(spark)
+    data = B.bin_rows(df.withColumn("z", F.array("a", "b", "d")), ["z"], "y", key=F.col("id"))
+    calls, real = [], DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda self, *a, **k: calls.append(1) or real(self, *a, **k))
+    fit = B.Fit(B.Boost(n_estimators=12, max_depth=0, num_leaves=6, min_rows=5))
+    model = B.boost(data, [fit])[0]
+    assert len(model.trees) == 12 and len(calls) == 1  # not once for each batch of nodes
+    monkeypatch.setattr(B, "REFRESH", 3)  # predictions checkpointed in between
+    assert B.dumps(B.boost(data, [fit])[0]) == B.dumps(model)
+
+
 def test_fits_together_equal_fits_alone(spark):
     df, _ = table(spark)
     data = B.bin_rows(df.withColumn("z", F.array("a", "b", "d")), ["z"], "y", key=F.col("id"), fold="fold")
