@@ -131,17 +131,17 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
                              for x in cols], keep=by)
 
 
-def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), fitted: DataFrame | None = None) -> DataFrame:
     """Quartiles, whiskers (last datum inside 1.5·IQR), notch and the
     number of points beyond the whiskers, per ``(by..., column)``.
 
     Quartiles come from the distributed rank table; the per-group stats (one row
     per group and column) are joined back to the values — AQE turns that join
     into a broadcast when the stats table is small and splits skewed groups
-    otherwise."""
+    otherwise.  ``fitted`` gives quartiles that are known already, maybe of more columns."""
     by = list(by)
     df = no_nan(df, cols)
-    q = ranks.exact_quantiles(df, cols, (0.25, 0.5, 0.75), ("q1", "median", "q3"), by=by)
+    q = fitted if fitted is not None else ranks.exact_quantiles(df, cols, (0.25, 0.5, 0.75), ("q1", "median", "q3"), by=by)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     keep = F.lit(True)
     for b in by:

@@ -44,7 +44,12 @@ def shape_info(df: DataFrame) -> DataFrame:
 
 
 # -- A2 ------------------------------------------------------------------------------------------
-def describe(df: DataFrame, cols: Sequence[str], approx_accuracy: int | None = None) -> DataFrame:
+def quartiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Exact ``(by..., column, n, q1, median, q3)``, which the functions below take as ``fitted`` to share it."""
+    return ranks.exact_quantiles(no_nan(df, cols), cols, (0.25, 0.5, 0.75), ("q1", "median", "q3"), by=by)
+
+
+def describe(df: DataFrame, cols: Sequence[str], approx_accuracy: int | None = None, fitted: DataFrame | None = None) -> DataFrame:
     """A2: pandas ``describe`` — count, mean, sample std, min, 25/50/75 %, max.
     Moments in one pass; quartiles exact through the distributed rank table."""
     df = no_nan(df, cols)
@@ -55,8 +60,10 @@ def describe(df: DataFrame, cols: Sequence[str], approx_accuracy: int | None = N
         F.struct(F.lit(x).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"mean{i}").alias("mean"),
                  F.col(f"std{i}").alias("std"), F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max"))
         for i, x in enumerate(cols)]))
-    q = ranks.exact_quantiles(df, cols, (0.25, 0.5, 0.75), ("q25", "q50", "q75"),
-                              approx_accuracy=approx_accuracy).drop("n")
+    if fitted is not None:
+        q = fitted.select("column", F.col("q1").alias("q25"), F.col("median").alias("q50"), F.col("q3").alias("q75"))
+    else:
+        q = ranks.exact_quantiles(df, cols, (0.25, 0.5, 0.75), ("q25", "q50", "q75"), approx_accuracy=approx_accuracy).drop("n")
     return moments.join(q, "column", "left")
 
 
@@ -76,13 +83,18 @@ def missing_table(df: DataFrame, only_missing: bool = True) -> DataFrame:
 
 
 # -- A4 / A5 -------------------------------------------------------------------------------------
+def counts_of(df: DataFrame, col: str) -> DataFrame:
+    """``(value, count)`` of the non-missing values, in no order."""
+    return no_nan(df, [col]).where(c(col).isNotNull()).groupBy(c(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+
+
 def value_counts(df: DataFrame, col: str, with_pos: bool = True) -> DataFrame:
     """A4: ``(value, count[, pos])`` most frequent first, missing excluded.
 
     The aggregate is partial (map-side), so a hot value costs one row per task.
     ``pos`` comes from range partitions and their row counts (:func:`number_rows`), so a column may have as many values
     as rows.  ``with_pos=False`` returns a plain ``orderBy`` instead."""
-    out = no_nan(df, [col]).where(c(col).isNotNull()).groupBy(c(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+    out = counts_of(df, col)
     if not with_pos:
         return out.orderBy(F.col("count").desc(), F.col("value"))
     return number_rows(out, [F.col("count").desc(), F.col("value")], name="pos").withColumn("pos", F.col("pos") + 1)
@@ -240,7 +252,7 @@ def target_corr(corr_long: DataFrame, target: str) -> DataFrame:
 
 
 # -- A13 -----------------------------------------------------------------------------------------
-def group_profile(df: DataFrame, group: str, target: str, second: str | None = None) -> DataFrame:
+def group_profile(df: DataFrame, group: str, target: str, second: str | None = None, fitted: DataFrame | None = None) -> DataFrame:
     """Per category — target mean / median / sample std / count and the
     second column's mean / median; missing category dropped; sorted by target
     mean descending (``pos``).  Medians are exact (distributed rank table)."""
@@ -252,7 +264,10 @@ def group_profile(df: DataFrame, group: str, target: str, second: str | None = N
         aggs.append(F.avg(c(second)).alias("second_mean"))
         cols.append(second)
     stats = base.groupBy(c(group).alias("group")).agg(*aggs)
-    med = ranks.exact_quantiles(base.withColumn("group", c(group)), cols, (0.5,), ("median",), by=("group",))
+    if fitted is not None:
+        med = fitted.select(c(group).alias("group"), "column", "median").where(F.col("group").isNotNull())
+    else:
+        med = ranks.exact_quantiles(base.withColumn("group", c(group)), cols, (0.5,), ("median",), by=("group",))
     med_w = med.groupBy("group").pivot("column", cols).agg(F.first("median"))
     med_w = med_w.withColumnRenamed(target, "target_median")
     if second:
@@ -281,19 +296,18 @@ def zscore_outliers(df: DataFrame, cols: Sequence[str], threshold: float = 3.0)
                               for i, x in enumerate(cols)]))
 
 
-def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, by: Sequence[str] = ()) -> DataFrame:
+def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, by: Sequence[str] = (), fitted: DataFrame | None = None) -> DataFrame:
     """Exact quartiles + Tukey fences per column (and group)."""
-    df = no_nan(df, cols)
-    q = ranks.exact_quantiles(df, cols, (0.25, 0.5, 0.75), ("q1", "median", "q3"), by=by)
+    q = fitted if fitted is not None else quartiles(df, cols, by)
     iqr = F.col("q3") - F.col("q1")
     return q.withColumn("iqr", iqr).withColumn("lo_fence", F.col("q1") - k * iqr).withColumn(
         "hi_fence", F.col("q3") + k * iqr)
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, fitted: DataFrame | None = None) -> DataFrame:
     """Strict ``x < Q1 - k·IQR or x > Q3 + k·IQR`` counts per column."""
     df = no_nan(df, cols)
-    f = {r["column"]: (r["lo_fence"], r["hi_fence"]) for r in iqr_fences(df, cols, k).collect()}
+    f = {r["column"]: (r["lo_fence"], r["hi_fence"]) for r in iqr_fences(df, cols, k, fitted=fitted).collect()}
     counts = []
     for i, x in enumerate(cols):
         lo, hi = f.get(x, (None, None))

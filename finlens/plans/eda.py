@@ -3,6 +3,7 @@
 Seven profilers run in order over one (cached) input; each section is written
 below the checkpoint folder and read back inside its own ``try``, so it fails on
 its own, and the error is reported in the result, never swallowed silently.
+Quartiles, moments and correlations that several sections read are computed once.
 """
 
 from __future__ import annotations
@@ -33,33 +34,46 @@ def profile(df: DataFrame, spec: Spec, bins: int = 30, persist: bool = True) ->
         df = df.persist()
     num = [x for x in (*spec.numeric, spec.target) if x in df.columns]
     cats = [x for x in (*spec.identifiers, spec.category) if x in df.columns and x != spec.key]
+    second = spec.clip_cols[1] if len(spec.clip_cols) > 1 else None
+    numeric = cl.numeric_columns(df, exclude=(spec.key,))
+    out, errors, shared = {}, {}, {}
+
+    def quartiles(*by):
+        if by not in shared:  # small local tables; what cannot be made fails in each section that asks for it
+            own = list(dict.fromkeys([spec.target, *([second] if second else [])])) if by else num
+            shared[by] = pf.quartiles(df, own, by)
+        return shared[by]
+
+    def target_corr():
+        if "pearson" in out and set(num) <= set(numeric):
+            own = out["pearson"].where(F.col("a").isin(num) & F.col("b").isin(num))
+        else:
+            own = pf.pearson(df, num)
+        return pf.target_corr(own, spec.target)
     sections = {
         "shape": lambda: pf.shape_info(df),
-        "describe": lambda: pf.describe(df, num),
+        "describe": lambda: pf.describe(df, num, fitted=quartiles()),
         "missing": lambda: pf.missing_table(df),
         "null_patterns": lambda: ch.null_patterns(df),
         "value_counts": lambda: pf.value_counts(df, spec.category),
         "value_counts_all": lambda: reduce(DataFrame.unionByName, [
-            pf.value_counts(df, x, with_pos=False).select(F.lit(x).alias("column"), F.col("value").cast("string").alias("value"), "count")
+            pf.counts_of(df, x).select(F.lit(x).alias("column"), F.col("value").cast("string").alias("value"), "count")
             for x in cats]),
         "nunique": lambda: pf.nunique(df, cats),
         "moments": lambda: pf.moments(df, num),
         "hist": lambda: ch.histogram(df, num, bins),
-        "log_hist": lambda: ch.log_histogram(df, pf.skewed_columns(pf.moments(df, num)), bins),
+        "log_hist": lambda: ch.log_histogram(df, pf.skewed_columns(out["moments"] if "moments" in out else pf.moments(df, num)), bins),
         "pair_bins": lambda: ch.pair_bins(df, [x for x in spec.key_columns if x in df.columns]),
-        "pearson": lambda: pf.pearson(df, cl.numeric_columns(df, exclude=(spec.key,))),
-        "spearman": lambda: pf.spearman(df, cl.numeric_columns(df, exclude=(spec.key,))),
-        "target_corr": lambda: pf.target_corr(pf.pearson(df, num), spec.target),
-        "group_profile": lambda: pf.group_profile(df, spec.category, spec.target,
-                                                  spec.clip_cols[1] if len(spec.clip_cols) > 1 else None),
-        "box_by_group": lambda: ch.box_stats(df, [spec.target], by=(spec.category,)),
+        "pearson": lambda: pf.pearson(df, numeric),
+        "spearman": lambda: pf.spearman(df, numeric),
+        "target_corr": target_corr,
+        "group_profile": lambda: pf.group_profile(df, spec.category, spec.target, second, quartiles(spec.category)),
+        "box_by_group": lambda: ch.box_stats(df, [spec.target], by=(spec.category,), fitted=shared.get((spec.category,))),
         "z_outliers": lambda: pf.zscore_outliers(df, num),
-        "iqr_outliers": lambda: pf.iqr_outliers(df, num),
-        "box_wide": lambda: ch.box_stats(df, num),
+        "iqr_outliers": lambda: pf.iqr_outliers(df, num, fitted=quartiles()),
+        "box_wide": lambda: ch.box_stats(df, num, fitted=quartiles()),
         "feature_check": lambda: pf.feature_check(df, spec.target, spec.ratios),
     }
-    out = {}
-    errors = {}
     run = f"eda-{uuid.uuid4().hex[:12]}"
     for name, fn in sections.items():
         try:

@@ -2,6 +2,7 @@
 rejected records."""
 
 import math
+import random
 
 import pytest
 from pyspark.ml import Pipeline
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from finlens.operators import charts as ch
 from finlens.operators import evaluate as ev
 from finlens.operators import profile as pf
+from finlens.operators import ranks
 from finlens.operators.split import test_flag as flag
 from finlens.plans import eda
 from finlens.sources import files
@@ -60,6 +62,22 @@ def test_eda_sections_fail_on_their_own(spark):
     assert broken["errors"].count() > 0
 
 
+def test_eda_shares_quartiles_and_correlations(spark, monkeypatch):
+    r = random.Random(4)
+    rows = [(i, f"n{i}", [None, "s0", "s1"][i % 3], *[None if r.random() < 0.1 else round(r.gauss(0, 2), 1) for _ in range(8)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, name string, sector string, price double, ebitda double, eps double, pe double, volume double, low52 double, high52 double, target double")
+    num = [*ACCOUNTS.numeric, "target"]
+    want = {"describe": pf.describe(df, num), "iqr_outliers": pf.iqr_outliers(df, num), "box_wide": ch.box_stats(df, num),
+            "box_by_group": ch.box_stats(df, ["target"], by=("sector",)), "group_profile": pf.group_profile(df, "sector", "target", ACCOUNTS.clip_cols[1]),
+            "target_corr": pf.target_corr(pf.pearson(df, num), "target")}
+    want = {k: sorted(map(repr, d.collect())) for k, d in want.items()}
+    asked, real = [], ranks.exact_quantiles
+    monkeypatch.setattr(ranks, "exact_quantiles", lambda *a, **k: asked.append(1) or real(*a, **k))
+    out = eda.profile(df, ACCOUNTS)
+    assert set(want) <= set(out) and len(asked) == 2  # of all columns, and by category
+    assert {k: sorted(map(repr, out[k].collect())) for k in want} == {k: want[k] for k in want}
+
+
 def test_csv_binds_by_header_and_reads_doubled_quotes(spark, tmp_path):
     (tmp_path / "a.csv").write_text('x,extra,id,s\n1.5,e,7,"Foo ""Bar"" Inc"\nNaN,e,8,"a,b"\n')
     got = files.read_csv(spark, str(tmp_path / "a.csv"), spark.createDataFrame([], "id long, x double, s string").schema).collect()
